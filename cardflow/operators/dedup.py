@@ -2,16 +2,22 @@
 
 `dropDuplicates(keys)` keeps an arbitrary row; a window `row_number()` over the
 key is deterministic but sends every row of a key to one task, which breaks
-when one key holds a large share of the data.  Here the whole row is packed
-into one orderable struct (NULLs last per column):
-
-1. `distinct` on that struct (partial aggregation collapses exact copies
-   map-side, and the result is hash-partitioned by the struct);
-2. the winner per key is a `min` of the struct, again with partial
-   aggregation, so a hot key is reduced inside each map task;
-3. winners are joined back on the struct itself.  The big side is already
-   partitioned by it, so only the (one row per key) winner side is shuffled,
-   and rows of a hot key spread over all partitions.
+when one key holds a large share of the data.  Here:
+
+1. every row is packed into one struct `_row` (its identity) and made
+   distinct with a count -- partial aggregation collapses copies map-side,
+   and the result is hash-partitioned by `_row`;
+2. the winner per key is the `min` of an ordering struct (ascending, NULLs
+   last per column) carrying `_row`, again with partial aggregation, so a hot
+   key is reduced inside each map task to one row before its shuffle;
+3. winners (one row per key) are joined back on `_row`.  The distinct side is
+   already partitioned by `_row`, so it is not shuffled again, and rows of a
+   hot key spread over all partitions.
+
+Floating-point columns enter `_row` as their exact text (a double's string
+form reads back to the same double), because Spark normalizes floating join
+keys, which would otherwise force a second shuffle of the big side.  Ordering
+still uses the numbers.  Steps 1-3 share one scan of the input.
 """
 
 from __future__ import annotations
@@ -20,34 +26,43 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 ROW = "_row"
 
 
-def _packed(cols: Sequence[str]):
-    # (is_null, value) pairs order each column ascending with NULLs last.
-    parts = []
-    for i, c in enumerate(cols):
-        parts += [F.col(c).isNull().alias(f"z{i}"), F.col(c).alias(f"v{i}")]
-    return F.struct(*parts)
+def _is_float(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, (DoubleType, FloatType))
 
 
 def flag_first_per_key(df: DataFrame, key: Sequence[str], flag: str = "is_first",
                        order: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of `df` plus a boolean `flag`: TRUE for the first row of
-    each `key` in ascending order over `order` (default: the key, then all
-    other columns in schema order), NULLs last; FALSE for the others."""
+    each `key` in ascending order over `order` (default: all columns in
+    schema order), NULLs last; FALSE for the others."""
     key = list(key)
-    rest = [c for c in (order or df.columns) if c not in key]
-    ordered = key + rest + [c for c in df.columns if c not in key and c not in rest]
-    idx = {c: i for i, c in enumerate(ordered)}
-    packed = df.select(_packed(ordered).alias(ROW)).distinct()
-    key_fields = [F.col(f"{ROW}.v{idx[k]}").alias(f"_k{i}") for i, k in enumerate(key)]
-    winners = (packed.groupBy(*key_fields).agg(F.min(ROW).alias(ROW))
-               .select(ROW, F.lit(True).alias(flag)))
-    joined = packed.join(winners, on=ROW, how="left")
-    return joined.select(*[F.col(f"{ROW}.v{idx[c]}").alias(c) for c in df.columns],
-                         F.coalesce(F.col(flag), F.lit(False)).alias(flag))
+    cols = list(df.columns)
+    ordering = list(order or cols)
+    ident = F.struct(*[(F.col(c).cast("string") if _is_float(df, c) else F.col(c)).alias(f"v{i}")
+                       for i, c in enumerate(cols)])
+    rows = df.groupBy(ident.alias(ROW)).agg(F.count(F.lit(1)).alias("_n"))
+
+    def field(c):
+        v = F.col(f"{ROW}.v{cols.index(c)}")
+        return v.cast(df.schema[c].dataType) if _is_float(df, c) else v
+
+    sort_key = F.struct(*[e for i, c in enumerate(ordering)
+                          for e in (field(c).isNull().alias(f"z{i}"), field(c).alias(f"o{i}"))])
+    winners = (rows.groupBy(*[field(k).alias(f"_k{i}") for i, k in enumerate(key)])
+               # `_n` rides along so the distinct below stays needed: both
+               # branches then share its shuffle (one scan of the input).
+               .agg(F.min(F.struct(sort_key.alias("o"), F.col(ROW).alias("r"), F.col("_n").alias("n"))).alias("_w"))
+               .select(F.col("_w.r").alias(ROW), F.lit(True).alias(flag)))
+    joined = rows.join(winners, on=ROW, how="left")
+    # `_n >= 1` always holds; reading it keeps the count in this branch too,
+    # so both branches are the same plan and Spark reuses one shuffle.
+    first = F.coalesce(F.col(flag), F.lit(False)) & (F.col("_n") >= 1)
+    return joined.select(*[field(c).alias(c) for c in cols], first.alias(flag))
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:

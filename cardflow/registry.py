@@ -101,7 +101,7 @@ def scan_corrupt_records(spark, d):
     """Raw account rows that do not fit the typed account layout."""
     path = csv.stage(spark, fixtures.raw_accounts(spark, d), "raw-account")
     bad = csv.corrupt_records(spark, path, csv.ACCOUNT_TYPED_DDL, fixed.ACCOUNT_DATE_FORMAT)
-    return bad.select("cust_id", "Account_num", F.col(csv.CORRUPT).alias("raw_line"))
+    return bad.withColumnRenamed(csv.CORRUPT, "raw_line")
 
 
 @query

@@ -58,7 +58,8 @@ def read_sanctioned(spark: SparkSession, path: str) -> DataFrame:
 
 def corrupt_records(spark: SparkSession, path: str, ddl: str, date_format: str | None = None) -> DataFrame:
     """Rows of a CSV file that do not fit `ddl`: the raw line in
-    `_corrupt_record`, fields that did parse alongside."""
+    `_corrupt_record`, fields that did parse alongside.  All fields are
+    projected: a pruned field is not parsed, so it could not fail."""
     df = _reader(spark, f"{ddl}, {CORRUPT} string", date_format=date_format) \
         .option("columnNameOfCorruptRecord", CORRUPT).load(path)
     return df.filter(F.col(CORRUPT).isNotNull())

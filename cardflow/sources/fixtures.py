@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardflow.operators.joins import broadcast_if_small
 from cardflow.sources.tables import table
 
 # Fixed values of the fixture mapping (dates, card and account number bases).
@@ -39,6 +38,13 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _copies(k: Column, changed: tuple[int, int], exact: tuple[int, int]) -> Column:
+    """Copy number of each source row, exploded in one scan: 0 = the row,
+    1 = a changed copy when k % n = r, 2 = an exact copy when k % n = r."""
+    return F.explode(F.array_compact(F.array(
+        F.lit(0), F.when(_m(k, *changed), F.lit(1)), F.when(_m(k, *exact), F.lit(2)))))
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw customer file: customer x nation x region, plus a changed copy
     (duplicate key) for k%50=7 and an exact copy for k%60=11."""
@@ -46,10 +52,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                F.col("n_regionkey") == F.col("r_regionkey"))
            .select("n_nationkey", "r_name"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    base = cust.join(broadcast_if_small(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-    rows = base.withColumn("_copy", F.lit(0)).unionByName(
-        base.filter(_m(F.col("c_custkey"), 50, 7)).withColumn("_copy", F.lit(1))).unionByName(
-        base.filter(_m(F.col("c_custkey"), 60, 11)).withColumn("_copy", F.lit(2)))
+    # nation x region is a dimension of a few rows: the planner broadcasts it
+    # from its file-size statistics, no hint or extra job needed.
+    base = cust.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = base.withColumn("_copy", _copies(F.col("c_custkey"), (50, 7), (60, 11)))
     k, seg = F.col("c_custkey"), F.col("c_mktsegment")
     dob_days = ((k * 37) % 18000).cast("int")
     return rows.select(
@@ -86,12 +92,10 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k%4=0; a copy with another cycle day for k%45=6 (duplicate key) and an
     exact copy for k%60=11."""
     cust = table(spark, sf_dir, "customer").select("c_custkey")
-    accts = cust.withColumn("_second", F.lit(False)).unionByName(
-        cust.filter(_m(F.col("c_custkey"), 4, 0)).withColumn("_second", F.lit(True)))
     k = F.col("c_custkey")
-    rows = accts.withColumn("_copy", F.lit(0)).unionByName(
-        accts.filter(_m(k, 45, 6)).withColumn("_copy", F.lit(1))).unionByName(
-        accts.filter(_m(k, 60, 11)).withColumn("_copy", F.lit(2)))
+    accts = cust.withColumn("_second", F.explode(F.array_compact(F.array(
+        F.lit(False), F.when(_m(k, 4, 0), F.lit(True))))))
+    rows = accts.withColumn("_copy", _copies(k, (45, 6), (60, 11)))
     second = F.col("_second")
     card = _s(F.when(second, F.lit(SECOND_CARD_BASE) + k).otherwise(F.lit(FIRST_CARD_BASE) + k))
     open_days = ((k * 53) % 1650).cast("int")

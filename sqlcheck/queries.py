@@ -18,6 +18,8 @@ ORACLE["scan_customer_csv"] = with_("SELECT * FROM raw_customer", "raw_customer"
 ORACLE["scan_failfast"] = ORACLE["scan_customer_csv"]
 ORACLE["scan_corrupt_records"] = with_(f"""
 SELECT TRY_CAST(cust_id AS BIGINT) AS cust_id, TRY_CAST(Account_num AS BIGINT) AS Account_num,
+       TRY_CAST(card_num AS BIGINT) AS card_num, CAST(try_strptime(acct_open_dt, '%d-%b-%y') AS DATE) AS acct_open_dt,
+       acct_close_dt, TRY_CAST(acct_cycle_dt AS INTEGER) AS acct_cycle_dt, TRY_CAST(defaulted AS INTEGER) AS defaulted,
        concat_ws(',', {', '.join(f"coalesce({c}, '')" for c in ACCOUNT_COLS)}) AS raw_line FROM raw_account
 WHERE (acct_open_dt IS NOT NULL AND try_strptime(acct_open_dt, '%d-%b-%y') IS NULL)
    OR (acct_cycle_dt IS NOT NULL AND TRY_CAST(acct_cycle_dt AS INTEGER) IS NULL)""", "raw_account")
