@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference processes files in batch only (no stream source, watermark,
+state or late data), so this package adds no streaming operator.
+"""
