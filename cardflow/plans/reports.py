@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardflow.config import Settings
+from cardflow.operators.ordered import lag_by_range
 
 MONEY_DIGITS = 2
 
@@ -39,13 +40,14 @@ def card_totals(inter: DataFrame) -> DataFrame:
 
 def previous_transaction(inter: DataFrame, ordered: bool = False) -> DataFrame:
     """Card totals with the total of the previous card of the same customer,
-    year and month.  The reference orders only by the (constant) partition
-    columns; the card number breaks the tie so the result is deterministic."""
-    agg = card_totals(inter)
-    w = Window.partitionBy("Cust_Id", "YEAR", "MONTH").orderBy(
-        F.col("YEAR").asc(), F.col("MONTH").desc(), F.col("Card_Num").asc())
-    out = agg.select("Cust_Id", "YEAR", "MONTH", "FIRST_NAME", "LAST_NAME", "Latest_Transaction",
-                     F.lag("Latest_Transaction").over(w).alias("PREVIOUS_TRANSACTION"))
+    year and month.  The reference orders by YEAR, MONTH desc -- constant
+    inside the group -- so the card number breaks the tie (deterministic).
+    The lag is computed by range so a customer with very many cards is
+    spread over many tasks."""
+    lagged = lag_by_range(card_totals(inter), ["Cust_Id", "YEAR", "MONTH"], ["Card_Num"], "Latest_Transaction",
+                          "PREVIOUS_TRANSACTION")
+    out = lagged.select("Cust_Id", "YEAR", "MONTH", "FIRST_NAME", "LAST_NAME", "Latest_Transaction",
+                        "PREVIOUS_TRANSACTION")
     return out.orderBy("YEAR", "Cust_Id") if ordered else out
 
 

@@ -11,7 +11,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardflow.config import Settings
@@ -20,6 +20,7 @@ from cardflow.functions.scalars import parse_date
 from cardflow.operators import sets
 from cardflow.operators.dedup import first_per_key, flag_first_per_key
 from cardflow.operators.joins import broadcast_if_small
+from cardflow.operators.ordered import lag_by_range
 from cardflow.operators.validate import CODE, REASON
 from cardflow.plans import ingest, reports, runner, sinks, transform
 from cardflow.session import scratch_path
@@ -382,10 +383,9 @@ def agg_card_totals(spark, d):
 @query
 def window_lag(spark, d):
     agg = reports.card_totals(_intermediate(spark, d))
-    w = Window.partitionBy("Cust_Id", "YEAR", "MONTH").orderBy(F.col("YEAR").asc(), F.col("MONTH").desc(),
-                                                               F.col("Card_Num").asc())
-    return agg.select("Cust_Id", "Card_Num", "YEAR", "MONTH", "Latest_Transaction",
-                      F.lag("Latest_Transaction").over(w).alias("PREVIOUS_TRANSACTION"))
+    return lag_by_range(agg, ["Cust_Id", "YEAR", "MONTH"], ["Card_Num"], "Latest_Transaction",
+                        "PREVIOUS_TRANSACTION").select(
+        "Cust_Id", "Card_Num", "YEAR", "MONTH", "Latest_Transaction", "PREVIOUS_TRANSACTION")
 
 
 @query
