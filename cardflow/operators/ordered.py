@@ -3,8 +3,8 @@
 `lag(v) OVER (PARTITION BY p ORDER BY o)` as a window sends a whole group to
 one task.  `lag_by_range` gives the same result without that limit:
 
-1. range-partition on the full sort key (p, o): the sampled boundaries cut a
-   hot group into several ranges, each its own task;
+1. range-partition on the full sort key (p ascending, then o): the sampled
+   boundaries cut a hot group into several ranges, each its own task;
 2. a window over (range id, p) computes the lag inside each range;
 3. only the first row of a range can miss its predecessor, which is the last
    row of the previous non-empty range when that row is in the same group.
@@ -16,39 +16,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _sort_key(cols: Sequence[str]):
-    # Ascending, NULLs first, as one orderable struct.
-    return F.struct(*[F.struct(F.col(c).isNotNull().alias("n"), F.col(c).alias("v")).alias(f"k{i}")
-                      for i, c in enumerate(cols)])
-
-
-def lag_by_range(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], value: str, out: str,
+def lag_by_range(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], value: str, out: str,
                  num_partitions: int | None = None) -> DataFrame:
     """`df` plus `out` = lag(`value`, 1) over (partition by `partition_by`
-    order by `order_by` ascending, NULLs first).  The order must be total
-    within a group for the result to be deterministic."""
+    order by `order_by`), where `order_by` are sort expressions such as
+    `F.col("m").desc()`.  The order must be total within a group for the
+    result to be deterministic."""
     part, order = list(partition_by), list(order_by)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = part + order
-    ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys])
+    group = F.struct(*part)
+    ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in part], *order)
               .withColumn("_pid", F.spark_partition_id()))
-    w = Window.partitionBy("_pid", *part).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    local = ranged.withColumns({out: F.lag(value).over(w), "_rn": F.row_number().over(w)})
-
-    sk = _sort_key(keys)
-    bounds = ranged.groupBy("_pid").agg(
-        F.min_by(F.struct(*part), sk).alias("_first"),
-        F.max_by(F.struct(F.struct(*part).alias("p"), F.col(value).alias("v")), sk).alias("_last"))
+    w = Window.partitionBy("_pid", *part).orderBy(*order)
+    local = ranged.withColumns({out: F.lag(value).over(w), "_rn": F.row_number().over(w),
+                                "_tail": F.lead(F.lit(True)).over(w).isNull()})
+
+    # Per range: its first group (groups ascend, NULLs first, as struct order
+    # does) and the last row of its last group.
+    bounds = local.groupBy("_pid").agg(
+        F.min(group).alias("_first"),
+        F.max_by(F.struct(group.alias("p"), F.col(value).alias("v")),
+                 F.when(F.col("_tail"), F.struct(F.lit(1).alias("t"), group.alias("p")))).alias("_last"))
     # One row per non-empty range: a single ordered pass over at most n rows.
     prev = F.lag("_last").over(Window.orderBy("_pid"))
     fix = (bounds.withColumn("_prev", prev)
            .filter(F.col("_prev").isNotNull() & F.col("_prev.p").eqNullSafe(F.col("_first")))
            .select("_pid", "_first", F.col("_prev.v").alias("_fix"), F.lit(True).alias("_has_fix")))
     joined = local.join(F.broadcast(fix), on="_pid", how="left")
-    head = (F.col("_rn") == 1) & F.coalesce(F.col("_has_fix"), F.lit(False)) \
-        & F.struct(*part).eqNullSafe(F.col("_first"))
+    head = (F.col("_rn") == 1) & F.coalesce(F.col("_has_fix"), F.lit(False)) & group.eqNullSafe(F.col("_first"))
     return joined.select(*df.columns, F.when(head, F.col("_fix")).otherwise(F.col(out)).alias(out))

@@ -38,13 +38,18 @@ def card_totals(inter: DataFrame) -> DataFrame:
         F.round(F.sum("Transaction_Amount"), MONEY_DIGITS).alias("Latest_Transaction"))
 
 
+def previous_order() -> list:
+    """The reference's window order (YEAR, MONTH desc) plus the card as tie-break."""
+    return [F.col("YEAR").asc(), F.col("MONTH").desc(), F.col("Card_Num").asc()]
+
+
 def previous_transaction(inter: DataFrame, ordered: bool = False) -> DataFrame:
     """Card totals with the total of the previous card of the same customer,
     year and month.  The reference orders by YEAR, MONTH desc -- constant
     inside the group -- so the card number breaks the tie (deterministic).
     The lag is computed by range so a customer with very many cards is
     spread over many tasks."""
-    lagged = lag_by_range(card_totals(inter), ["Cust_Id", "YEAR", "MONTH"], ["Card_Num"], "Latest_Transaction",
+    lagged = lag_by_range(card_totals(inter), ["Cust_Id", "YEAR", "MONTH"], previous_order(), "Latest_Transaction",
                           "PREVIOUS_TRANSACTION")
     out = lagged.select("Cust_Id", "YEAR", "MONTH", "FIRST_NAME", "LAST_NAME", "Latest_Transaction",
                         "PREVIOUS_TRANSACTION")

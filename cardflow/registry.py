@@ -383,7 +383,7 @@ def agg_card_totals(spark, d):
 @query
 def window_lag(spark, d):
     agg = reports.card_totals(_intermediate(spark, d))
-    return lag_by_range(agg, ["Cust_Id", "YEAR", "MONTH"], ["Card_Num"], "Latest_Transaction",
+    return lag_by_range(agg, ["Cust_Id", "YEAR", "MONTH"], reports.previous_order(), "Latest_Transaction",
                         "PREVIOUS_TRANSACTION").select(
         "Cust_Id", "Card_Num", "YEAR", "MONTH", "Latest_Transaction", "PREVIOUS_TRANSACTION")
 

@@ -21,5 +21,9 @@ def test_lag_by_range_matches_window(spark):
     w = Window.partitionBy("g").orderBy(F.col("o").asc_nulls_first())
     expected = df.withColumn("prev", F.lag("v").over(w))
     for parts in (1, 3, 16):
-        got = lag_by_range(df, ["g"], ["o"], "v", "prev", num_partitions=parts)
+        got = lag_by_range(df, ["g"], [F.col("o").asc_nulls_first()], "v", "prev", num_partitions=parts)
         assert _rows(got) == _rows(expected)
+    w_desc = Window.partitionBy("g").orderBy(F.col("o").desc_nulls_last())
+    expected = df.withColumn("prev", F.lag("v").over(w_desc))
+    got = lag_by_range(df, ["g"], [F.col("o").desc_nulls_last()], "v", "prev", num_partitions=5)
+    assert _rows(got) == _rows(expected)
