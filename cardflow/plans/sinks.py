@@ -22,6 +22,10 @@ def save_table(df: DataFrame, table: str, path: str, partition_by: list[str] | N
     """Snappy Parquet table at an external path, overwritten.  Partition
     columns move to the end of the schema.  Bucketed tables are sorted by the
     bucket column within each bucket."""
+    # REBALANCE lets AQE size the write tasks: rows of one partition directory
+    # mostly land in one task (few files per directory), a skewed directory is
+    # split over several tasks, and no single task writes everything.
+    df = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     w = (df.write.format("parquet").mode("overwrite").option("compression", "snappy")
          .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("path", path))
     if partition_by:
