@@ -13,6 +13,16 @@ from cardflow.plans import reports
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write `df` as Parquet into the shared folder and read it back: the
+    step boundary of the reference (tables between steps).  It cuts the
+    lineage, and keeps the next step's filters out of this step's plan."""
+    from cardflow.session import scratch_path
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def create_database(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
 

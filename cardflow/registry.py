@@ -54,9 +54,10 @@ def _checked_transactions(spark, d):
 
 
 def _stages(spark, d):
-    return (ingest.transaction_stage(_checked_transactions(spark, d)),
-            ingest.account_stage(_checked_accounts(spark, d)),
-            ingest.customer_stage(_checked_customers(spark, d)))
+    """Validated stage tables, written and read back (one step boundary)."""
+    return (sinks.materialize(spark, ingest.transaction_stage(_checked_transactions(spark, d)), "stage-txn"),
+            sinks.materialize(spark, ingest.account_stage(_checked_accounts(spark, d)), "stage-acct"),
+            sinks.materialize(spark, ingest.customer_stage(_checked_customers(spark, d)), "stage-cust"))
 
 
 def _joined(spark, d):
