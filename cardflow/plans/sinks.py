@@ -20,7 +20,7 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     from cardflow.session import scratch_path
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def create_database(spark: SparkSession, name: str, location: str) -> None:
