@@ -64,7 +64,7 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
         _counted(ingest.customer_stage(cc), "customer_stage", obs), db, root, s)
     res.tables["customer_rejects"] = sinks.write_rejects(
         _counted(ingest.customer_rejects(cc), "customer_rejects", obs), db, root,
-        "CUST_Information_Metadata_Rejects")
+        "customer_rejects")
     cc.unpersist()
 
     # Step 2: accounts.
@@ -72,7 +72,7 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
     res.tables["account_stage"] = sinks.write_account_stage(
         _counted(ingest.account_stage(ca), "account_stage", obs), db, root)
     res.tables["account_rejects"] = sinks.write_rejects(
-        _counted(ingest.account_rejects(ca), "account_rejects", obs), db, root, "ACCOUNT_Metadata_Rejects")
+        _counted(ingest.account_rejects(ca), "account_rejects", obs), db, root, "account_rejects")
     ca.unpersist()
 
     # Step 3: transactions.
@@ -81,7 +81,7 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
         _counted(ingest.transaction_stage(ct), "transaction_stage", obs), db, root)
     res.tables["transaction_rejects"] = sinks.write_rejects(
         _counted(ingest.transaction_rejects(ct), "transaction_rejects", obs), db, root,
-        "TRANSACTION_Metadata_Rejects")
+        "transaction_rejects")
     ct.unpersist()
 
     # Step 4: transform, from the written stage tables.
@@ -89,7 +89,7 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
                               spark.table(res.tables["account_stage"]),
                               spark.table(res.tables["customer_stage"])).persist()
     res.tables["orphans"] = sinks.write_rejects(
-        _counted(transform.orphans(joined), "orphans", obs), db, root, "TRANSACTION_ORPHAN_Rejects")
+        _counted(transform.orphans(joined), "orphans", obs), db, root, "orphan_rejects")
     inter = transform.within_limit(transform.metrics(transform.valid_joined(joined), s)).select(
         *transform.intermediate_columns(s))
     res.tables["intermediate"] = sinks.write_intermediate(
@@ -98,7 +98,7 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
 
     # Step 5: cache the intermediate table and register the report views.
     sinks.cache_table(spark, res.tables["intermediate"])
-    res.views = sinks.create_report_views(spark, res.tables["intermediate"], s)
+    res.views = sinks.create_report_views(spark, res.tables["intermediate"], s, prefix=f"{db}_")
     res.counts = {k: int(o.get["rows"]) for k, o in obs.items()}
     return res
 

@@ -50,8 +50,8 @@ def table_path(root: str, name: str) -> str:
 
 
 def write_customer_stage(df: DataFrame, db: str, root: str, s: Settings) -> str:
-    t = f"`{db}`.CUST_CIF_STG_PAR"
-    save_table(df, t, table_path(root, "CUST_PAR"), ["COUNTRY", "STATE"], "CUSTOMER_ID", s.buckets)
+    t = f"`{db}`.customer_stage"
+    save_table(df, t, table_path(root, "customer_stage"), ["COUNTRY", "STATE"], "CUSTOMER_ID", s.buckets)
     return t
 
 
@@ -63,22 +63,22 @@ def write_rejects(df: DataFrame, db: str, root: str, name: str) -> str:
 
 
 def write_account_stage(df: DataFrame, db: str, root: str) -> str:
-    t = f"`{db}`.CUSTOMER_ACCOUNT_STG"
-    save_table(df, t, table_path(root, "ACCOUNT_STG"))
+    t = f"`{db}`.account_stage"
+    save_table(df, t, table_path(root, "account_stage"))
     return t
 
 
 def write_transaction_stage(df: DataFrame, db: str, root: str) -> str:
     """Transactions as a plain table; no single-file coalesce (one task would
     write all data), file size is bounded by `maxRecordsPerFile`."""
-    t = f"`{db}`.TRANSACTION_STG"
-    save_table(df, t, table_path(root, "TRANSACTION_STG"))
+    t = f"`{db}`.transaction_stage"
+    save_table(df, t, table_path(root, "transaction_stage"))
     return t
 
 
 def write_intermediate(df: DataFrame, db: str, root: str, s: Settings) -> str:
-    t = f"`{db}`.SIMPLE_PAY_INTERMEDIATE_PAR"
-    save_table(df, t, table_path(root, "INTER"), ["YEAR", "COUNTRY", "STATE"], "Cust_Id", s.buckets)
+    t = f"`{db}`.card_intermediate"
+    save_table(df, t, table_path(root, "card_intermediate"), ["YEAR", "COUNTRY", "STATE"], "Cust_Id", s.buckets)
     return t
 
 
@@ -88,10 +88,10 @@ def cache_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 REPORT_VIEWS = {
-    "Geography_Summary_View": lambda inter, s: reports.geography(inter),
-    "SimplePay_EMI_Notify": lambda inter, s: reports.emi_offers(inter, s),
-    "Previous_Transaction_View": lambda inter, s: reports.previous_transaction(inter),
-    "Credit_Limit_Threshold_Notify": lambda inter, s: reports.credit_threshold(inter, s),
+    "geography_summary": lambda inter, s: reports.geography(inter),
+    "emi_offers": lambda inter, s: reports.emi_offers(inter, s),
+    "previous_transaction": lambda inter, s: reports.previous_transaction(inter),
+    "credit_threshold": lambda inter, s: reports.credit_threshold(inter, s),
 }
 
 

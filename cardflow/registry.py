@@ -146,7 +146,7 @@ def sink_customer_stage(spark, d):
 def sink_rejects(spark, d):
     db, root = _database(spark)
     t = sinks.write_rejects(ingest.customer_rejects(_checked_customers(spark, d)), db, root,
-                            "CUST_Information_Metadata_Rejects")
+                            "customer_rejects")
     return spark.table(t)
 
 

@@ -55,10 +55,10 @@ UNION ALL SELECT 'transaction_stage', count(*) FROM txn_stage
 UNION ALL SELECT 'transaction_rejects', count(*) FROM txn_checked WHERE reason_code IS NOT NULL
 UNION ALL SELECT 'orphans', count(*) FROM orphans
 UNION ALL SELECT 'intermediate', count(*) FROM inter
-UNION ALL SELECT 'Geography_Summary_View', count(*) FROM (SELECT DISTINCT COUNTRY, STATE FROM inter)
-UNION ALL SELECT 'SimplePay_EMI_Notify', count(*) FROM inter WHERE EMI_Eligible = 'Y'
-UNION ALL SELECT 'Previous_Transaction_View', count(*) FROM card_totals
-UNION ALL SELECT 'Credit_Limit_Threshold_Notify', count(*) FROM inter
+UNION ALL SELECT 'geography_summary', count(*) FROM (SELECT DISTINCT COUNTRY, STATE FROM inter)
+UNION ALL SELECT 'emi_offers', count(*) FROM inter WHERE EMI_Eligible = 'Y'
+UNION ALL SELECT 'previous_transaction', count(*) FROM card_totals
+UNION ALL SELECT 'credit_threshold', count(*) FROM inter
   WHERE CASE WHEN Credit_Limit = 0 THEN NULL ELSE Cust_credit_limit_remaining / Credit_Limit END * 100 <= 75
 """, "cust_stage", "cust_checked", "acct_stage", "acct_checked", "txn_stage", "txn_checked", "orphans", "inter",
                               "card_totals")

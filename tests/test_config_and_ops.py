@@ -28,7 +28,7 @@ Month_EMI_Percentage_3,9
 Month_EMI_Percentage_6,11
 Month_EMI_Percentage_9,13
 Inter_Table_Path,/out/inter
-DatabaseName,Banking
+DatabaseName,cards
 Date_Format_trn,dd/MM/yyyy
 TransactionOPPath,/out/txn
 Cred_Notify_Threshold,75
@@ -46,7 +46,7 @@ def test_settings_from_csv(spark):
     assert s.credit_limit_multiplier == 2
     assert s.emi_percentages == ((3, 9), (6, 11), (9, 13))
     assert s.notify_threshold == 75
-    assert s.database == "Banking" and s.output_path == "/out" and s.transaction_path == "/out/txn"
+    assert s.database == "cards" and s.output_path == "/out" and s.transaction_path == "/out/txn"
 
 
 def test_first_per_key_orders_nulls_last_and_numbers_numerically(spark):

@@ -19,10 +19,10 @@ def test_run_steps_tables_views_and_counts(spark):
     inter = spark.table(res.tables["intermediate"])
     assert inter.columns[-3:] == ["YEAR", "COUNTRY", "STATE"]          # partition columns move to the end
     assert spark.catalog.isCached(res.tables["intermediate"])
-    assert spark.table(res.views["Geography_Summary_View"]).count() == 20
-    assert spark.table(res.views["SimplePay_EMI_Notify"]).count() == 31
-    assert spark.table(res.views["Credit_Limit_Threshold_Notify"]).count() == 10
-    assert spark.table(res.views["Previous_Transaction_View"]).count() == 86
+    assert spark.table(res.views["geography_summary"]).count() == 20
+    assert spark.table(res.views["emi_offers"]).count() == 31
+    assert spark.table(res.views["credit_threshold"]).count() == 10
+    assert spark.table(res.views["previous_transaction"]).count() == 86
     spark.catalog.uncacheTable(res.tables["intermediate"])
 
 
