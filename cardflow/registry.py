@@ -332,16 +332,21 @@ def set_subtract(spark, d):
 
 @query
 def set_union_all(spark, d):
-    """All rejects of all steps in one frame (source, key, reason)."""
-    cr = ingest.customer_rejects(_checked_customers(spark, d)).select(
+    """All rejects of all steps in one frame (source, key, reason).  Each
+    checked table is written once; stages and rejects are filters of it."""
+    cc = sinks.materialize(spark, _checked_customers(spark, d), "checked-cust")
+    ca = sinks.materialize(spark, _checked_accounts(spark, d), "checked-acct")
+    ct = sinks.materialize(spark, _checked_transactions(spark, d), "checked-txn")
+    joined = transform.enrich(ingest.transaction_stage(ct), ingest.account_stage(ca), ingest.customer_stage(cc))
+    cr = ingest.customer_rejects(cc).select(
         F.lit("customer").alias("source"), F.col("CUSTOMER_ID").alias("record_key"), REASON, CODE)
-    ar = ingest.account_rejects(_checked_accounts(spark, d)).select(
+    ar = ingest.account_rejects(ca).select(
         F.lit("account").alias("source"), F.concat_ws("|", "cust_id", "Account_num").alias("record_key"), REASON, CODE)
-    tr = ingest.transaction_rejects(_checked_transactions(spark, d)).select(
+    tr = ingest.transaction_rejects(ct).select(
         F.lit("transaction").alias("source"),
         F.concat_ws("|", F.col("Cust_Id").cast("string"), F.col("Account_Num").cast("string")).alias("record_key"),
         REASON, CODE)
-    orph = transform.orphans(_joined(spark, d)).select(
+    orph = transform.orphans(joined).select(
         F.lit("joined").alias("source"),
         F.concat_ws("|", F.col("Cust_Id").cast("string"), F.col("Account_Num").cast("string")).alias("record_key"),
         REASON, CODE)
