@@ -42,3 +42,22 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     return os.path.join(shared_dir(spark), "cardflow", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings that size tasks for a cluster run over `input_bytes` of raw
+    input: scan splits and shuffle partitions of about `target_partition_bytes`
+    (enough tasks for every core, never fewer than 2 waves), AQE re-plans from
+    there (coalesces small partitions, splits skewed joins and writes)."""
+    cores = max(1, executor_cores * executors)
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }

@@ -77,3 +77,11 @@ def test_broadcast_if_small_and_sets(spark):
     b = spark.createDataFrame([(2,), (None,)], "x int")
     assert sorted(r.x for r in sets.subtract(a, b).collect()) == [1]
     assert sets.union_all([a, b]).count() == 6
+
+
+def test_cluster_conf_sizes_partitions():
+    from cardflow.session import cluster_conf
+    c = cluster_conf(100 << 40, executor_cores=4, executors=1000)      # 100 TB on 4,000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    small = cluster_conf(1 << 30, executor_cores=4, executors=10)      # 1 GB: at least 2 waves
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
