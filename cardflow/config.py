@@ -35,6 +35,9 @@ class Settings:
     pep_accepted: tuple[str, ...] = ("TRUE",)
     # Bucket count of the partitioned output tables.
     buckets: int = 4
+    # Key of the transaction dedup: the reference keeps one transaction per
+    # account; add e.g. the date and amount to keep the full history.
+    transaction_key: tuple[str, ...] = ("Cust_Id", "Account_Num")
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def as_of_col(self) -> Column:

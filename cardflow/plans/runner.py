@@ -76,7 +76,7 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
     ca.unpersist()
 
     # Step 3: transactions.
-    ct = ingest.check_transactions(inputs.transactions).persist()
+    ct = ingest.check_transactions(inputs.transactions, s.transaction_key).persist()
     res.tables["transaction_stage"] = sinks.write_transaction_stage(
         _counted(ingest.transaction_stage(ct), "transaction_stage", obs), db, root)
     res.tables["transaction_rejects"] = sinks.write_rejects(
@@ -111,7 +111,7 @@ def stage_counts(inputs: RawInputs, s: Settings = Settings()) -> DataFrame:
 
     cc = ingest.check_customers(inputs.customers, inputs.sanctioned, s)
     ca = ingest.check_accounts(inputs.accounts)
-    ct = ingest.check_transactions(inputs.transactions)
+    ct = ingest.check_transactions(inputs.transactions, s.transaction_key)
     joined = transform.enrich(ingest.transaction_stage(ct), ingest.account_stage(ca), ingest.customer_stage(cc))
     m = transform.metrics(joined, s)
     outcome = (F.when(F.col("Acct_open_dt").isNull() | F.col("FIRST_NAME").isNull(), F.lit("orphan"))

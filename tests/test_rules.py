@@ -146,3 +146,13 @@ def test_metrics_boundaries(spark):
     assert abs(m[4]["EMI_3_month"] - emi) < 1e-6
     assert m[0]["Cust_credit_limit_used"] == m[0]["Credit_Limit"]
     assert transform.within_limit(transform.metrics(spark.createDataFrame(rows, schema), s)).count() == 6
+
+
+def test_transaction_history_key(spark):
+    d = dt.date(2020, 1, 1)
+    rows = [(1, 501, 370000000000001, d, 10.0, "LOW", "PLACE", "Y"),
+            (1, 501, 370000000000001, d + dt.timedelta(days=1), 5.0, "LOW", "PLACE", "Y")]
+    raw = spark.createDataFrame(rows, TRANSACTION_DDL)
+    assert ingest.transaction_stage(ingest.check_transactions(raw)).count() == 1
+    history = ("Cust_Id", "Account_Num", "Transaction_Dt", "Transaction_Amount")
+    assert ingest.transaction_stage(ingest.check_transactions(raw, history)).count() == 2
