@@ -19,8 +19,7 @@ def join_accounts(txn: DataFrame, accounts: DataFrame) -> DataFrame:
         F.col("cust_id").alias("_a_cust"), F.col("Account_num").alias("_a_acct"), F.col("card_num").alias("_a_card"),
         F.col("acct_open_dt").alias("Acct_open_dt"),
         F.try_to_date(F.col("acct_close_dt").cast("string"), fixed.ACCOUNT_DATE_FORMAT).alias("Acct_close_dt"),
-        F.col("acct_cycle_dt").alias("Acct_Cycle_dt"), F.col("defaulted").alias("Defaulted"),
-        F.lit(True).alias("_has_account"))
+        F.col("acct_cycle_dt").alias("Acct_Cycle_dt"), F.col("defaulted").alias("Defaulted"))
     cond = ((txn["Cust_Id"] == a["_a_cust"]) & (txn["Account_Num"] == a["_a_acct"])
             & (txn["Card_Num"] == a["_a_card"]))
     return txn.join(a, cond, "left").drop("_a_cust", "_a_acct", "_a_card")

@@ -306,12 +306,12 @@ def filter_card_length(spark, d):
 @query
 def join_txn_account(spark, d):
     txn, acct, _ = _stages(spark, d)
-    return transform.join_accounts(txn, acct).drop("_has_account")
+    return transform.join_accounts(txn, acct)
 
 
 @query
 def join_txn_customer(spark, d):
-    return _joined(spark, d).drop("_has_account")
+    return _joined(spark, d)
 
 
 @query
