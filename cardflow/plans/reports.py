@@ -12,10 +12,11 @@ MONEY_DIGITS = 2
 
 
 def geography(inter: DataFrame, ordered: bool = False) -> DataFrame:
-    """Per country and state: transactions, mean income, best and worst score.
+    """Per country and state: rows with a customer id (transactions), mean
+    income, best and worst credit score.
     The group count is bounded by the geography, so ordering it is cheap."""
     out = inter.groupBy(F.col("COUNTRY"), F.col("STATE")).agg(
-        F.count("Cust_Id").alias("CUSTOMER_COUNT"),
+        F.count("Cust_Id").alias("CUST_ID_COUNT"),
         F.round(F.avg("ANNUAL_INCOME"), MONEY_DIGITS).alias("AVG_ANNUAL_INCOME"),
         F.max("Credit_Score").alias("MAX_CREDIT_SCORE"),
         F.min("Credit_Score").alias("MIN_CREDIT_SCORE"),

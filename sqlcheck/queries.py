@@ -124,7 +124,7 @@ ORACLE["duplicate_rejects"] = with_(
     "cust_ranked")
 
 ORACLE["report_geography"] = with_("""
-SELECT COUNTRY, STATE, count(Cust_Id) AS CUSTOMER_COUNT, round(avg(ANNUAL_INCOME), 2) AS AVG_ANNUAL_INCOME,
+SELECT COUNTRY, STATE, count(Cust_Id) AS CUST_ID_COUNT, round(avg(ANNUAL_INCOME), 2) AS AVG_ANNUAL_INCOME,
        max(Credit_Score) AS MAX_CREDIT_SCORE, min(Credit_Score) AS MIN_CREDIT_SCORE
 FROM inter GROUP BY COUNTRY, STATE ORDER BY COUNTRY, STATE""", "inter")
 ORACLE["agg_card_totals"] = with_("SELECT * FROM card_totals", "card_totals")
