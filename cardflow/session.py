@@ -30,12 +30,17 @@ def shared_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext here
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
     # Unset: only happens in local tests; pick a fresh scratch folder.
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="cardflow-ckpt-"))
+    local = tempfile.mkdtemp(prefix="cardflow-ckpt-")
+    if sc is None:
+        return local
+    sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
 
 
