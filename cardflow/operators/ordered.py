@@ -8,6 +8,7 @@ one task.  `lag_by_range` gives the same result without that limit:
 2. a window over (range id, p) computes the lag inside each range;
 3. only the first row of a range can miss its predecessor, which is the last
    row of the previous non-empty range when that row is in the same group.
+   The range assignment is checkpointed once, so every branch agrees on it.
    One row per range (first group key, last row) -- a table bounded by the
    partition count -- fills those in through a broadcast join.
 """
@@ -19,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardflow.session import shared_dir
+
 
 def lag_by_range(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], value: str, out: str,
                  num_partitions: int | None = None) -> DataFrame:
@@ -31,6 +34,12 @@ def lag_by_range(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     group = F.struct(*part)
     ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in part], *order)
               .withColumn("_pid", F.spark_partition_id()))
+    # Both branches below must see the same rows in the same range.  Range
+    # boundaries come from a sample, and the optimizer may prune the two
+    # branches differently (then each runs its own exchange and sample), so
+    # the assignment is fixed once: a reliable checkpoint in the shared folder.
+    shared_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     w = Window.partitionBy("_pid", *part).orderBy(*order)
     local = ranged.withColumns({out: F.lag(value).over(w), "_rn": F.row_number().over(w),
                                 "_tail": F.lead(F.lit(True)).over(w).isNull()})

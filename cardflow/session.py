@@ -29,6 +29,12 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir` (set one only when unset)."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
+        try:
+            sc = spark.sparkContext
+            if not sc.getCheckpointDir():
+                sc.setCheckpointDir(conf)
+        except Exception:  # a remote (Connect) session manages its own
+            pass
         return conf.rstrip("/")
     try:
         sc = spark.sparkContext

@@ -27,3 +27,18 @@ def test_lag_by_range_matches_window(spark):
     expected = df.withColumn("prev", F.lag("v").over(w_desc))
     got = lag_by_range(df, ["g"], [F.col("o").desc_nulls_last()], "v", "prev", num_partitions=5)
     assert _rows(got) == _rows(expected)
+
+
+def test_lag_by_range_under_a_later_sort(spark):
+    """Aggregated input, then a sort on top: the optimizer prunes the two
+    branches differently and each would sample its own range boundaries;
+    the checkpointed range assignment keeps them consistent."""
+    n = 20000
+    base = spark.range(n).select((F.col("id") % 997).alias("c"), ((F.col("id") * 31) % 5003).alias("card"),
+                                 (F.col("id") % 3).alias("y"), (F.col("id") * 1.5).alias("amt"))
+    agg = base.groupBy("c", "card", "y").agg(F.round(F.sum("amt"), 2).alias("tot"), F.first(F.lit("N")).alias("nm"))
+    w = Window.partitionBy("c", "y").orderBy("card")
+    expected = agg.withColumn("prev", F.lag("tot").over(w)).select("c", "y", "nm", "tot", "prev")
+    got = lag_by_range(agg, ["c", "y"], [F.col("card").asc()], "tot", "prev") \
+        .select("c", "y", "nm", "tot", "prev").orderBy("y", "c")
+    assert _rows(got) == _rows(expected)
