@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       bound_by: DataFrame | None = None) -> DataFrame:
     """`broadcast(df)` when it has at most `max_rows` rows, else `df` unchanged
     (the optimizer and AQE then pick a shuffle join).  The check reads at most
-    `max_rows + 1` rows of the lookup table."""
-    n = df.limit(max_rows + 1).count()
+    `max_rows + 1` rows.  `bound_by` is a frame with at least as many rows as
+    `df` (e.g. its input before a `distinct`) that is cheaper to count."""
+    n = (bound_by if bound_by is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -72,7 +72,8 @@ def check_customers(raw: DataFrame, sanctioned: DataFrame, settings: Settings =
     flagged = flag_first_per_key(normalize_customers(raw), ["CUSTOMER_ID"], FIRST)
     flags = sanctioned_list(sanctioned).select(F.col("COUNTRY").alias("_s_country"),
                                                F.lit(True).alias("_sanctioned"))
-    joined = flagged.join(broadcast_if_small(flags), F.col("COUNTRY") == F.col("_s_country"), "left")
+    joined = flagged.join(broadcast_if_small(flags, bound_by=sanctioned), F.col("COUNTRY") == F.col("_s_country"),
+                          "left")
     joined = joined.withColumn("_sanctioned", F.coalesce(F.col("_sanctioned"), F.lit(False)))
     return apply_rules(joined, customer_rules(settings)).drop("_s_country", "_sanctioned", FIRST)
 

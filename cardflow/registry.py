@@ -317,8 +317,9 @@ def join_txn_customer(spark, d):
 @query
 def anti_join_sanctioned(spark, d):
     c = _normalized_customers(spark, d)
-    s = ingest.sanctioned_list(fixtures.raw_sanctioned(spark, d)).withColumnRenamed("COUNTRY", "_s_country")
-    return c.join(broadcast_if_small(s), F.col("COUNTRY") == F.col("_s_country"), "left_anti")
+    raw = fixtures.raw_sanctioned(spark, d)
+    s = ingest.sanctioned_list(raw).withColumnRenamed("COUNTRY", "_s_country")
+    return c.join(broadcast_if_small(s, bound_by=raw), F.col("COUNTRY") == F.col("_s_country"), "left_anti")
 
 
 # ------------------------------------------------------------ 2.6 sets and duplicates

@@ -85,3 +85,11 @@ def test_cluster_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     small = cluster_conf(1 << 30, executor_cores=4, executors=10)      # 1 GB: at least 2 waves
     assert int(small["spark.sql.shuffle.partitions"]) == 80
+
+
+def test_broadcast_bound_by_a_larger_frame(spark):
+    raw = spark.range(30).selectExpr("id % 3 as c")
+    small = raw.distinct()
+    assert broadcast_if_small(small, 10, bound_by=raw) is small          # 30 raw rows exceed the bound
+    hinted = broadcast_if_small(small, 100, bound_by=raw)
+    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
