@@ -193,6 +193,14 @@ def run_summary(spark, d):
     return sets.union_all(parts)
 
 
+@query
+def view_scan(spark, d):
+    """All steps, then the EMI-offer view read back by SQL (`select *`)."""
+    res = runner.run_steps(spark, runner.inputs_from_tables(spark, d), SETTINGS,
+                           database=f"cardflow_{uuid.uuid4().hex[:10]}")
+    return spark.sql(f"SELECT * FROM {res.views['emi_offers']}")
+
+
 # ------------------------------------------------------------ 2.3 projections
 
 @query

@@ -138,6 +138,7 @@ SELECT FIRST_NAME, LAST_NAME, Cust_Id, Account_Num, Card_Num, Transaction_Dt, Tr
        EMI_3_month, EMI_3_month * 3 AS PayAfter3month, EMI_6_month, EMI_6_month * 6 AS PayAfter6month,
        EMI_9_month, EMI_9_month * 9 AS PayAfter9month
 FROM inter WHERE EMI_Eligible = 'Y'""", "inter")
+ORACLE["view_scan"] = ORACLE["report_emi_offers"]
 ORACLE["report_previous_transaction"] = with_(
     f'SELECT Cust_Id, "YEAR", "MONTH", FIRST_NAME, LAST_NAME, Latest_Transaction, {_LAG} AS PREVIOUS_TRANSACTION '
     'FROM card_totals ORDER BY "YEAR", Cust_Id', "card_totals")
