@@ -43,8 +43,12 @@ def flag_first_per_key(df: DataFrame, key: Sequence[str], flag: str = "is_first"
     key = list(key)
     cols = list(df.columns)
     ordering = list(order or cols)
-    ident = F.struct(*[(F.col(c).cast("string") if _is_float(df, c) else F.col(c)).alias(f"v{i}")
-                       for i, c in enumerate(cols)])
+    def text(c):
+        # -0.0 equals 0.0 (as in Spark's own grouping), so both get one text.
+        v = F.col(c)
+        return F.when(v == 0, F.lit(0.0).cast(df.schema[c].dataType)).otherwise(v).cast("string")
+
+    ident = F.struct(*[(text(c) if _is_float(df, c) else F.col(c)).alias(f"v{i}") for i, c in enumerate(cols)])
     rows = df.groupBy(ident.alias(ROW)).agg(F.count(F.lit(1)).alias("_n"))
 
     def field(c):

@@ -93,3 +93,12 @@ def test_broadcast_bound_by_a_larger_frame(spark):
     assert broadcast_if_small(small, 10, bound_by=raw) is small          # 30 raw rows exceed the bound
     hinted = broadcast_if_small(small, 100, bound_by=raw)
     assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
+
+
+def test_dedup_treats_signed_zero_and_nan_as_one_value(spark):
+    df = spark.createDataFrame([("a", 0.0), ("a", -0.0), ("b", float("nan")), ("b", float("nan")), ("c", None)],
+                               "k string, v double")
+    f = flag_first_per_key(df, ["k"]).collect()
+    assert sorted(r["k"] for r in f) == ["a", "b", "c"]
+    assert all(r["is_first"] for r in f)
+    assert [r["v"] for r in f if r["k"] == "a"] == [0.0]
