@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame
 
 
 def subtract(a: DataFrame, b: DataFrame) -> DataFrame:
-    """EXCEPT DISTINCT: distinct rows of `a` not in `b` (NULL-safe)."""
+    """EXCEPT DISTINCT: distinct rows of `a` not in `b` (NULL-safe).
+
+    When `b` is a filter of `a` (the reference's use), Catalyst rewrites this
+    into one filter plus a distinct with map-side combine -- no join.  Else it
+    is a NULL-safe left anti join, whose skewed partitions AQE can split."""
     return a.subtract(b)
 
 
