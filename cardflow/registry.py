@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,10 +55,21 @@ def _checked_transactions(spark, d):
 
 
 def _stages(spark, d):
-    """Validated stage tables, written and read back (one step boundary)."""
-    return (sinks.materialize(spark, ingest.transaction_stage(_checked_transactions(spark, d)), "stage-txn"),
-            sinks.materialize(spark, ingest.account_stage(_checked_accounts(spark, d)), "stage-acct"),
-            sinks.materialize(spark, ingest.customer_stage(_checked_customers(spark, d)), "stage-cust"))
+    """Validated stage tables, written and read back (one step boundary).
+    The three are independent, so their jobs are submitted together."""
+    builds = [
+        lambda: sinks.materialize(spark, ingest.transaction_stage(_checked_transactions(spark, d)), "stage-txn"),
+        lambda: sinks.materialize(spark, ingest.account_stage(_checked_accounts(spark, d)), "stage-acct"),
+        lambda: sinks.materialize(spark, ingest.customer_stage(_checked_customers(spark, d)), "stage-cust"),
+    ]
+    return _together(builds)
+
+
+def _together(builds):
+    """Run independent builds (each ends in a write job) from driver threads,
+    so their jobs share the cluster instead of queueing one after another."""
+    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+        return tuple(f.result() for f in [pool.submit(b) for b in builds])
 
 
 def _joined(spark, d):
@@ -343,9 +355,11 @@ def set_subtract(spark, d):
 def set_union_all(spark, d):
     """All rejects of all steps in one frame (source, key, reason).  Each
     checked table is written once; stages and rejects are filters of it."""
-    cc = sinks.materialize(spark, _checked_customers(spark, d), "checked-cust")
-    ca = sinks.materialize(spark, _checked_accounts(spark, d), "checked-acct")
-    ct = sinks.materialize(spark, _checked_transactions(spark, d), "checked-txn")
+    cc, ca, ct = _together([
+        lambda: sinks.materialize(spark, _checked_customers(spark, d), "checked-cust"),
+        lambda: sinks.materialize(spark, _checked_accounts(spark, d), "checked-acct"),
+        lambda: sinks.materialize(spark, _checked_transactions(spark, d), "checked-txn"),
+    ])
     joined = transform.enrich(ingest.transaction_stage(ct), ingest.account_stage(ca), ingest.customer_stage(cc))
     cr = ingest.customer_rejects(cc).select(
         F.lit("customer").alias("source"), F.col("CUSTOMER_ID").alias("record_key"), REASON, CODE)
