@@ -30,3 +30,12 @@ def test_scans_read_only_needed_columns(spark):
     plan = _final_plan(QUERIES["transaction_rejects"](spark, SF0001))
     scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
     assert "o_orderstatus" not in scan          # unused column pruned at the scan
+
+
+def test_previous_card_lag_is_range_partitioned(spark):
+    """The lag window is keyed by (range id, group) over the checkpointed
+    range assignment, so a hot group spreads over many tasks."""
+    plan = _final_plan(QUERIES["window_lag"](spark, SF0001))
+    assert "Scan ExistingRDD" in plan                     # the checkpointed, range-partitioned rows
+    lag_windows = [ln for ln in plan.splitlines() if "Window [lag(Latest_Transaction" in ln]
+    assert lag_windows and all("windowspecdefinition(_pid" in ln for ln in lag_windows)
