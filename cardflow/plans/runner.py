@@ -105,13 +105,17 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
 
 def stage_counts(inputs: RawInputs, s: Settings = Settings()) -> DataFrame:
     """Rows per step and outcome (accepted or reason code) as one frame."""
+    return counts_from_checked(ingest.check_customers(inputs.customers, inputs.sanctioned, s),
+                               ingest.check_accounts(inputs.accounts),
+                               ingest.check_transactions(inputs.transactions, s.transaction_key), s)
+
+
+def counts_from_checked(cc: DataFrame, ca: DataFrame, ct: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """Stage counts from the three checked frames (written ones, ideally)."""
     def by_reason(checked: DataFrame, step: str) -> DataFrame:
         return checked.groupBy(F.coalesce(F.col(CODE), F.lit("accepted")).alias("outcome")).agg(
             F.count(F.lit(1)).alias("rows")).select(F.lit(step).alias("step"), "outcome", "rows")
 
-    cc = ingest.check_customers(inputs.customers, inputs.sanctioned, s)
-    ca = ingest.check_accounts(inputs.accounts)
-    ct = ingest.check_transactions(inputs.transactions, s.transaction_key)
     joined = transform.enrich(ingest.transaction_stage(ct), ingest.account_stage(ca), ingest.customer_stage(cc))
     m = transform.metrics(joined, s)
     outcome = (F.when(F.col("Acct_open_dt").isNull() | F.col("FIRST_NAME").isNull(), F.lit("orphan"))

@@ -65,6 +65,15 @@ def _stages(spark, d):
     return _together(builds)
 
 
+def _checked_written(spark, d):
+    """The three checked tables (accepted and rejected rows), written once."""
+    return _together([
+        lambda: sinks.materialize(spark, _checked_customers(spark, d), "checked-cust"),
+        lambda: sinks.materialize(spark, _checked_accounts(spark, d), "checked-acct"),
+        lambda: sinks.materialize(spark, _checked_transactions(spark, d), "checked-txn"),
+    ])
+
+
 def _together(builds):
     """Run independent builds (each ends in a write job) from driver threads,
     so their jobs share the cluster instead of queueing one after another."""
@@ -190,7 +199,8 @@ def cache_intermediate(spark, d):
 
 @query
 def stage_counts(spark, d):
-    return runner.stage_counts(runner.inputs_from_tables(spark, d), SETTINGS)
+    """Rows per step and outcome; each checked table is written once."""
+    return runner.counts_from_checked(*_checked_written(spark, d), SETTINGS)
 
 
 @query
@@ -355,11 +365,7 @@ def set_subtract(spark, d):
 def set_union_all(spark, d):
     """All rejects of all steps in one frame (source, key, reason).  Each
     checked table is written once; stages and rejects are filters of it."""
-    cc, ca, ct = _together([
-        lambda: sinks.materialize(spark, _checked_customers(spark, d), "checked-cust"),
-        lambda: sinks.materialize(spark, _checked_accounts(spark, d), "checked-acct"),
-        lambda: sinks.materialize(spark, _checked_transactions(spark, d), "checked-txn"),
-    ])
+    cc, ca, ct = _checked_written(spark, d)
     joined = transform.enrich(ingest.transaction_stage(ct), ingest.account_stage(ca), ingest.customer_stage(cc))
     cr = ingest.customer_rejects(cc).select(
         F.lit("customer").alias("source"), F.col("CUSTOMER_ID").alias("record_key"), REASON, CODE)
