@@ -15,10 +15,10 @@ FROM d WINDOW w AS (PARTITION BY t)"""
 ORACLE["op7_minhash"] = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
-                                                '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM documents),
+                                                '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
 sh AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3),
-      i -> array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+      lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
 n AS (SELECT doc_id, count(s) AS n FROM w LEFT JOIN sh USING (doc_id) GROUP BY doc_id),
 pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id
           GROUP BY ALL),
