@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardflow.llm import exact_dedup, near_dedup, packing, shards
+from cardflow.llm import bpe, exact_dedup, near_dedup, packing, quality, shards
 from cardflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,3 +38,14 @@ def op5_sharding(spark, d):
 @query
 def op7_minhash(spark, d):
     return near_dedup.near_groups(documents(spark, d), percent=85)
+
+
+@query
+def op9_quality(spark, d):
+    docs, labels = documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")
+    return quality.score(docs, quality.train(docs, labels))
+
+
+@query
+def op10_bpe(spark, d):
+    return bpe.bpe_round_trip(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
