@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardflow.llm import bpe, exact_dedup, near_dedup, packing, quality, shards
+from cardflow.llm import bpe, exact_dedup, langid, near_dedup, packing, quality, shards
 from cardflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,12 @@ def op7_minhash(spark, d):
     return near_dedup.near_groups(documents(spark, d), percent=85)
 
 
+@query
+def op8_langid(spark, d):
+    docs = documents(spark, d)
+    return langid.predict(docs, langid.train(docs))
+
+
 @query
 def op9_quality(spark, d):
     docs, labels = documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")
