@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardflow.llm import bpe, exact_dedup, langid, near_dedup, packing, quality, shards
+from cardflow.llm import bpe, exact_dedup, langid, near_dedup, packing, pii, quality, shards
 from cardflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op1_packing(spark, d):
     return packing.pack(documents(spark, d))
 
 
+@query
+def op2_pii(spark, d):
+    return pii.digest(pii.span_table(documents(spark, d)))
+
+
 @query
 def op3_exact_dedup(spark, d):
     return exact_dedup.exact_dedup(documents(spark, d), keep="max")
