@@ -109,10 +109,11 @@ def wider_spans(text: str, base: list[tuple[int, int, int]], failed: list[tuple[
     """Further candidates that do not overlap a base span or one another."""
     more = []
     for kind, a, b in failed:  # several numbers in a row
-        more += [(kind, m.start(), m.end()) for m in (SOLID if kind == 2 else FULL_PHONE).finditer(text, a, b)]
+        more += [(kind, m.start(), m.end()) for m in (SOLID if kind == 2 else FULL_PHONE).finditer(text, a, b)
+                 if kind == 3 or luhn(m.group())]
     if "(" in text or "[" in text or "{" in text:
         more += [(0, m.start(), m.end()) for m in SPELLED.finditer(text)]
-    more += [(2, m.start(), m.end()) for m in GROUPED.finditer(text)]
+    more += [(2, m.start(), m.end()) for m in GROUPED.finditer(text) if luhn(digits_of(m.group()))]
     more += [(3, m.start(), m.end()) for m in LOOSE_PHONE.finditer(text)]
     more += [(1, m.start(), m.end()) for m in SPACED_IP.finditer(text)]
     taken = sorted((s, e) for _, s, e in base)
