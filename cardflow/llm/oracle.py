@@ -29,3 +29,33 @@ reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION
           SELECT reach.x, ways.b FROM reach JOIN ways ON reach.y = ways.a),
 comp AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
 SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN comp ON x = doc_id"""
+
+
+def _licenses() -> str:
+    from cardflow.llm.licenses import NO_WORD, PHRASES, STEP, TEMPLATES, WINDOW, needed
+    phrases = ", ".join(f"({p!r}, {label!r})" for p, label in PHRASES)
+    templates = ", ".join(f"({label!r}, {sorted(set(t.split()))!r}, {needed(t)})" for label, t in TEMPLATES)
+    return f"""
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+w AS (SELECT doc_id, t, list_filter(string_split_regex(t, '{NO_WORD}'), lambda x: x <> '') AS w FROM t),
+phrase(p, label) AS (VALUES {phrases}),
+place AS (SELECT doc_id, label, i - 1 AS pos FROM w, phrase, unnest(range(1, len(w) + 1)) AS r(i)
+          WHERE array_to_string(w[i:i + len(string_split(p, ' ')) - 1], ' ') = p),
+base AS (SELECT doc_id, count(*) AS n, min(pos) AS a, max(pos) AS z, list(DISTINCT label) AS labels FROM place GROUP BY doc_id),
+line AS (SELECT doc_id, list_filter(string_split_regex(l, '{NO_WORD}'), lambda x: x <> '') AS l
+         FROM t, unnest(string_split(t, chr(10))) AS r(l)),
+block AS (SELECT doc_id, l AS b FROM line WHERE len(l) BETWEEN 1 AND {WINDOW}
+          UNION ALL SELECT doc_id, l[i + 1:i + {WINDOW}] FROM line, unnest(range(0, len(l), {STEP})) AS r(i)
+          WHERE len(l) > {WINDOW}),
+template(label, words, least) AS (VALUES {templates}),
+own AS (SELECT doc_id, list(DISTINCT label) AS labels,
+               max(len(list_intersect(words, b)) / len(words)) AS part
+        FROM block, template WHERE len(list_intersect(words, b)) >= least GROUP BY doc_id)
+SELECT w.doc_id, len(w) AS n_words, coalesce(base.n, 0) AS n_base, base.a AS first_word, base.z AS last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(base.labels, own.labels))), ','), '') AS labels,
+       CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(own.part, 0) END AS score
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN own USING (doc_id)"""
+
+
+ORACLE["op6_licenses"] = _licenses()

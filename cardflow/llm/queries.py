@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardflow.llm import bpe, exact_dedup, langid, near_dedup, packing, pii, quality, shards
+from cardflow.llm import bpe, exact_dedup, langid, licenses, near_dedup, packing, pii, quality, shards
 from cardflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,8 @@ def op9_quality(spark, d):
 @query
 def op10_bpe(spark, d):
     return bpe.bpe_round_trip(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+@query
+def op6_licenses(spark, d):
+    return licenses.license_scan(documents(spark, d))
