@@ -59,3 +59,31 @@ FROM w LEFT JOIN base USING (doc_id) LEFT JOIN own USING (doc_id)"""
 
 
 ORACLE["op6_licenses"] = _licenses()
+
+
+def _merkle() -> str:
+    from cardflow.llm.merkle import PIECE
+    def tree(t):
+        return (f"list_transform(string_split({t}, chr(10)), lambda s: "
+                f"list_transform(regexp_extract_all(s, '{PIECE}'), lambda p: sha256(p)))")
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) // 3 AS k,
+                  coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC),
+                           first(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS n FROM documents),
+e AS (SELECT *, left(t, length(t) - k) || left(n, k) AS e FROM d),
+s AS (SELECT doc_id, length(t) AS n_chars, sha256(e) AS edited_sha256, {tree('t')} AS a, {tree('e')} AS b, {tree('n')} AS c
+      FROM e),
+r AS (SELECT *, list_transform(a, lambda l: sha256(coalesce(array_to_string(l, ','), ''))) AS na,
+             list_transform(b, lambda l: sha256(coalesce(array_to_string(l, ','), ''))) AS nb,
+             list_transform(c, lambda l: sha256(coalesce(array_to_string(l, ','), ''))) AS nc,
+             list_distinct(flatten(a)) AS la, list_distinct(flatten(b)) AS lb, list_distinct(flatten(c)) AS lc FROM s),
+z AS (SELECT *, len(list_intersect(la, lb)) AS ab, len(list_intersect(la, lc)) AS ac FROM r)
+SELECT doc_id, n_chars, edited_sha256, sha256(array_to_string(na, ';')) AS fingerprint,
+       sha256(array_to_string(nb, ';')) AS edited_fingerprint,
+       CASE WHEN na = nb THEN 1.0::DOUBLE WHEN len(la) + len(lb) = 0 THEN 0 ELSE ab / (len(la) + len(lb) - ab) END AS near_edited,
+       CASE WHEN na = nc THEN 1.0::DOUBLE WHEN len(la) + len(lc) = 0 THEN 0 ELSE ac / (len(la) + len(lc) - ac) END AS near_next,
+       list_filter(range(0, greatest(len(na), len(nb))), lambda i: na[i + 1] IS DISTINCT FROM nb[i + 1])[1]::INT AS edited_section
+FROM z"""
+
+
+ORACLE["op4_merkle"] = _merkle()

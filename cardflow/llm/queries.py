@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardflow.llm import bpe, exact_dedup, langid, licenses, near_dedup, packing, pii, quality, shards
+from cardflow.llm import bpe, exact_dedup, langid, licenses, merkle, near_dedup, packing, pii, quality, shards
 from cardflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,8 @@ def op10_bpe(spark, d):
 @query
 def op6_licenses(spark, d):
     return licenses.license_scan(documents(spark, d))
+
+
+@query
+def op4_merkle(spark, d):
+    return merkle.fingerprints(documents(spark, d))
