@@ -1,32 +1,48 @@
-"""The corpus pipeline: stages over `documents`, each written and read by the next."""
+"""The corpus pipeline: five stages over `documents`, each written and read by the next.
+
+The decisions of a stage take effect in its result.  All stages but the last return the
+columns of `documents`; the last returns the place of each document in a batch.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cardflow.llm import exact_dedup, near_dedup, packing
-from cardflow.llm.common import documents, saved
+from cardflow.llm import exact_dedup, near_dedup, packing, pii, quality
+from cardflow.llm.common import documents, only, saved
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go.  It learns from the labels of
+    the documents it is given."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.select(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id stays."""
-    kept = exact_dedup.exact_dedup(docs, keep="min").filter("kept").select("doc_id")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return only(docs, exact_dedup.exact_dedup(docs, keep="min").filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (similarity 0.8 or more) stays."""
-    kept = near_dedup.near_groups(docs, percent=80).filter("kept").select("doc_id")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more, and
+    what such links reach) the document with the smallest doc_id stays."""
+    return only(docs, near_dedup.near_groups(docs, percent=80).filter("kept"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind; n_chars follows."""
+    return pii.masked(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of the remaining documents in padded token-budget batches."""
+    """The place of each document in batches of padded rows within the token budget."""
     return packing.pack(docs)
 
 
-STAGES = [("exact dedup", drop_exact_copies), ("near dedup", drop_near_copies), ("packing", pack)]
+STAGES = [("quality", keep_good), ("exact dedup", drop_exact_copies), ("near dedup", drop_near_copies),
+          ("personal data", mask_personal_data), ("packing", pack)]
+#: Trained models and bucket edges are beyond SQL; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
