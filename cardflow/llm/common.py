@@ -21,6 +21,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def only(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of `docs` whose identifier (null included) is in `kept`."""
+    ids = kept.select(F.col("doc_id").alias("_only"))
+    return docs.join(ids, docs[id_col].eqNullSafe(ids["_only"]), "left_semi")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -169,3 +169,17 @@ def score(df: DataFrame, model: Ordinal, least: float = 0.5, id_col: str = "doc_
 
     source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, "doc_id long, expected_grade double, p_fair double, p_good double, kept boolean")
+
+
+def select(df: DataFrame, model: Ordinal, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of `df` that `score` keeps, with all their columns; texts do not move."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            s = np.array([m.weights[x].sum() for x in features(batch.column(at))], dtype=float)
+            yield batch.filter(pa.array(m.tails(s)[:, -1] >= least))
+
+    return df.mapInArrow(run, df.schema)
