@@ -14,9 +14,10 @@ for it from here on.  The signature is cut into bands of 24, 12 and 6 coordinate
    between different components.  After their verification every candidate pair is
    known to be linked, or inside one component, or not a link, so components are those
    of all candidate pairs, without emitting the pairs of a group of near copies.
-A candidate pair must also agree in a fair part of 2-bit digests of its coordinates and
-in size; both tests are one bit operation and cannot lose a link but with odds below
-1e-6.  At similarity 0.85 the 32 bands of 6 miss a pair with odds of 3e-7.
+A candidate pair must also agree in size and in a fair part of 2-bit digests of its
+coordinates; in step 2, of 2048 coordinates made for the classes of those buckets alone,
+which tells apart similarities 0.05 apart.  These tests lose a link with odds below
+1e-6, as do the 32 bands of 6 at similarity 0.85.
 """
 
 from __future__ import annotations
@@ -36,23 +37,30 @@ K = 192
 ROWS = (24, 12, 6)
 COMPLETE = ROWS.index(6)
 WIDE = 512  # shingles handled at once: 192 * 512 numbers stay in the cache
-WORDS = K * 2 // 64  # longs of the 2-bit digest
-#: Bits of 192 2-bit digests that must agree: (J + (1 - J) / 4) * 192 less five standard deviations.
+LONG = 2048  # coordinates of the second digest
 
 
-def agree_at_least(threshold: float) -> int:
+def agree_at_least(threshold: float, k: int) -> int:
+    """Of k 2-bit digests, as many agree in two sets of that similarity: the mean less
+    five standard deviations."""
     p = threshold + (1 - threshold) / 4
-    return int(np.floor(K * p - 5.5 * np.sqrt(K * p * (1 - p))))
+    return int(np.floor(k * p - 5 * np.sqrt(k * p * (1 - p))))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The K circulant MinHash coordinates of a non-empty set of 64-bit hashes."""
+def signature(shingles: np.ndarray, k: int = K) -> np.ndarray:
+    """The first k circulant MinHash coordinates of a non-empty set of 64-bit hashes."""
     x = (shingles ^ (shingles >> U(32))).astype(np.uint32)
     x *= np.uint32(0x9E3779B1)  # first permutation, on the circle of 2**32 places
     x ^= x >> np.uint32(15)
-    shift = np.arange(K, dtype=np.uint32)[:, None]
-    least = np.full(K, 0xFFFFFFFF, dtype=np.uint32)
-    buf = np.empty((K, min(WIDE, len(x))), dtype=np.uint32)
+    if k > K:
+        return np.concatenate([_coordinates(x, i, min(K, k - i)) for i in range(0, k, K)])
+    return _coordinates(x, 0, k)
+
+
+def _coordinates(x: np.ndarray, first: int, k: int) -> np.ndarray:
+    shift = np.arange(first, first + k, dtype=np.uint32)[:, None]
+    least = np.full(k, 0xFFFFFFFF, dtype=np.uint32)
+    buf = np.empty((k, min(WIDE, len(x))), dtype=np.uint32)
     tmp = np.empty_like(buf)
     for i in range(0, len(x), WIDE):
         part = x[i:i + WIDE]
@@ -80,7 +88,7 @@ def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
 
 def digest2(sig: np.ndarray) -> np.ndarray:
     """Two bits of every coordinate, packed into longs."""
-    two = ((sig * np.uint32(0x85EBCA6B)) >> np.uint32(30)).astype(U).reshape(WORDS, 32)
+    two = ((sig * np.uint32(0x85EBCA6B)) >> np.uint32(30)).astype(U).reshape(-1, 32)
     return (two << (np.arange(32, dtype=U) * U(2))[None, :]).sum(axis=1, dtype=U).view(np.int64)
 
 
@@ -119,6 +127,13 @@ def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["id", "shingles"])
 
 
+def long_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) to (doc_id, digest of LONG coordinates); empty sets give none."""
+    for batch in batches:
+        bits = [digest2(signature(s, LONG)) if len(s) else None for s in shingle_sets(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.list_(pa.int64()))], names=["id", "long_bits"])
+
+
 def verifier(percent: int):
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,29 +156,30 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def _alike(a: str, b: str, percent: int) -> Column:
-    """Sizes and bit digests of the two sides allow the wanted similarity."""
+def _alike(a: str, b: str, percent: int, k: int) -> Column:
+    """Sizes and the digests of k coordinates of both sides allow the wanted similarity."""
     na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
     size = F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
     odd = F.lit(0)
-    for i in range(WORDS):
+    for i in range(k * 2 // 64):
         x = F.col(f"{a}_bits")[i].bitwiseXOR(F.col(f"{b}_bits")[i])
         odd = odd + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    return size & (odd <= F.lit(K - agree_at_least(percent / 100)))
+    return size & (odd <= F.lit(k - agree_at_least(percent / 100, k)))
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with these identifiers (8 bytes each are broadcast, up to a bound)."""
+    return docs.join(_bounded(ids, 4_000_000), docs["doc_id"] == ids["id"], "left_semi")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int, name: str) -> DataFrame:
     """Of the class pairs (a, b) those whose full shingle sets are alike enough."""
-    pairs = saved(pairs.select("a", "b").distinct(), f"{name}-pairs")
     ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), f"{name}-ids")
-    # the texts of these classes only; 8 bytes an identifier
-    texts = docs.join(_bounded(ids, 4_000_000), docs["doc_id"] == ids["id"], "left_semi")
-    sets = saved(texts.mapInArrow(set_rows, "id long, shingles binary"), f"{name}-sets")
-    # one row per class even if an identifier repeats: equal identifiers share a smallest class
+    sets = saved(_texts(docs, ids).mapInArrow(set_rows, "id long, shingles binary"), f"{name}-sets")
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-    return saved(both.select("a", "b", "sa", "sb").mapInArrow(verifier(percent), "a long, b long").distinct(),
-                 f"{name}-links")
+    # a repeated identifier can repeat a link, which does no harm
+    return saved(both.select("a", "b", "sa", "sb").mapInArrow(verifier(percent), "a long, b long"), f"{name}-links")
 
 
 def near_groups(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,14 +209,15 @@ def near_groups(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_c
     shared = saved(keys.select("level", F.explode("ks").alias("key"), "id")
                    .join(buckets, ["level", "key"]), "near-shared")
     able = saved(firsts.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bits")
-                 .join(shared.select("id").distinct(), "id", "left_semi"), "near-able")
+                 .join(shared.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "near-able")
 
     def side(name: str) -> DataFrame:
         return able.select(F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("bits").alias(f"{name}_bits"))
 
     star = (shared.select("id", F.explode(F.array("lo", "hi")).alias("hub")).filter(F.col("id") != F.col("hub"))
             .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
-    star = star.join(side("a"), "a").join(side("b"), "b").filter(_alike("a", "b", percent))
+    star = star.join(side("a"), "a").join(side("b"), "b").filter(_alike("a", "b", percent, K))
+    star = saved(star.select("a", "b"), "near-star-pairs")
     links = _verified(star, docs, percent, "near-star")
     comp = connected(links)
 
@@ -211,12 +228,16 @@ def near_groups(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_c
     labelled = saved(labelled, "near-labelled")
     open_keys = (labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                  .filter(F.col("x") < F.col("y")).select("key"))
-    rest = saved(labelled.join(open_keys, "key", "left_semi").join(side("id"), "id"), "near-rest")
-    one, two = (rest.select("key", *[F.col(c).alias(c.replace("id", s, 1)) for c in ("id", "id_n", "id_bits")],
-                            F.col("component").alias(f"{s}_c")) for s in ("a", "b"))
+    rest = saved(labelled.join(open_keys, "key", "left_semi"), "near-rest")
+    ids = saved(rest.select("id").distinct(), "near-rest-ids")
+    long = saved(_texts(docs, ids).mapInArrow(long_rows, "id long, long_bits array<bigint>").dropDuplicates(["id"])
+                 .join(able.select("id", "n"), "id"), "near-long")
+    wide = rest.join(long, "id")
+    one, two = (wide.select("key", F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("long_bits").alias(f"{x}_bits"),
+                            F.col("component").alias(f"{x}_c")) for x in ("a", "b"))
     cross = one.join(two, (one["key"] == two["key"]) & (one["a"] < two["b"]) & (one["a_c"] != two["b_c"])
-                     & _alike("a", "b", percent))
-    more = _verified(cross, docs, percent, "near-cross")
+                     & _alike("a", "b", percent, LONG))
+    more = _verified(saved(cross.select("a", "b").distinct(), "near-cross-pairs"), docs, percent, "near-cross")
     comp = connected(links.unionByName(more))
 
     found = (members.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
