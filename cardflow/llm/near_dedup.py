@@ -6,18 +6,19 @@ circle by k places, gives coordinate k: min over shingles x of p(s(x) + k).  Two
 permutations make all coordinates.
 
 Candidates.  Rows with equal shingle sets form a class; its smallest identifier stands
-for it from here on.  The signature is cut into bands of 24, 12 and 6 coordinates.
+for it from here on.  The signature is cut into bands of 24, of 12, and of as many
+coordinates as find a pair at the threshold with odds of 1 - 1e-6 (6 at 0.85, 5 at 0.8).
 1. Within each bucket of any band every class is paired with the bucket's smallest and
    largest class only (two stars, so a bucket gives at most twice its size in pairs).
    Pairs are verified on full shingle sets, and connected components are computed.
-2. Buckets of the 6-coordinate bands that still hold several components give the pairs
+2. Buckets of the narrowest bands that still hold several components give the pairs
    between different components.  After their verification every candidate pair is
    known to be linked, or inside one component, or not a link, so components are those
    of all candidate pairs, without emitting the pairs of a group of near copies.
 A candidate pair must also agree in size and in a fair part of 2-bit digests of its
 coordinates; in step 2, of 2048 coordinates made for the classes of those buckets alone,
-which tells apart similarities 0.05 apart.  These tests lose a link with odds below
-1e-6, as do the 32 bands of 6 at similarity 0.85.
+which tells apart similarities 0.05 apart.  These tests, too, lose a link with odds
+below 1e-6.
 """
 
 from __future__ import annotations
@@ -34,12 +35,17 @@ from cardflow.llm.common import saved
 from cardflow.llm.components import connected
 
 K = 192
-ROWS = (24, 12, 6)
-COMPLETE = ROWS.index(6)
+MISS = 1e-6  # odds that the narrowest bands miss a pair at the threshold
 WIDE = 512  # shingles handled at once: 192 * 512 numbers stay in the cache
 LONG = 2048  # coordinates of the second digest
 
 
+def band_rows(threshold: float) -> tuple[int, int, int]:
+    """Coordinates per band of the three levels, the narrowest (and complete) one last."""
+    fit = [r for r in range(1, 12) if (1 - threshold ** r) ** (K // r) <= MISS]
+    return 24, 12, max(fit, default=1)
+
+
 def agree_at_least(threshold: float, k: int) -> int:
     """Of k 2-bit digests, as many agree in two sets of that similarity: the mean less
     five standard deviations."""
@@ -78,7 +84,7 @@ def _coordinates(x: np.ndarray, first: int, k: int) -> np.ndarray:
 
 def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
     """A 64-bit key per band of `rows` coordinates, the band's number mixed in."""
-    cut = sig.reshape(-1, rows).astype(U)
+    cut = sig[:len(sig) // rows * rows].reshape(-1, rows).astype(U)
     key = np.arange(len(cut), dtype=U) + U(rows << 32)
     for i in range(rows):
         key = (key ^ cut[:, i]) * U(0x9FB21C651E98DF25)
@@ -92,31 +98,28 @@ def digest2(sig: np.ndarray) -> np.ndarray:
     return (two << (np.arange(32, dtype=U) * U(2))[None, :]).sum(axis=1, dtype=U).view(np.int64)
 
 
-SIGNED = ("doc_id long, n_shingles long, d1 long, d2 long, bits array<bigint>, "
-          + ", ".join(f"k{r} array<bigint>" for r in ROWS))
+SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bits array<bigint>, ks array<array<bigint>>"
 
 
-def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to set size, 128-bit digest of the set, band keys and bit digest."""
-    for batch in batches:
-        n, d1, d2, bits, keys = [], [], [], [], [[] for _ in ROWS]
-        for s in shingle_sets(batch.column(1)):
-            n.append(len(s))
-            d1.append(int((s * U(0xA24BAED4963EE407)).sum(dtype=U).view(np.int64)) if len(s) else 0)
-            d2.append(int(np.bitwise_xor.reduce((s ^ (s >> U(31))) * U(0x9FB21C651E98DF25)).view(np.int64)) if len(s) else 0)
-            if len(s):
-                sig = signature(s)
+def signer(levels: tuple[int, ...]):
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(doc_id, text) to set size, 128-bit digest of the set, bit digest and band keys."""
+        longs = pa.list_(pa.int64())
+        for batch in batches:
+            n, d1, d2, bits, keys = [], [], [], [], []
+            for s in shingle_sets(batch.column(1)):
+                n.append(len(s))
+                d1.append((s * U(0xA24BAED4963EE407)).sum(dtype=U).view(np.int64))
+                d2.append(np.bitwise_xor.reduce((s ^ (s >> U(31))) * U(0x9FB21C651E98DF25)).view(np.int64)
+                          if len(s) else np.int64(0))
+                sig = signature(s) if len(s) else np.zeros(0, np.uint32)
                 bits.append(digest2(sig))
-                for out, r in zip(keys, ROWS):
-                    out.append(band_keys(sig, r))
-            else:
-                bits.append(np.zeros(0, np.int64))
-                for out in keys:
-                    out.append(np.zeros(0, np.int64))
-        lists = [pa.array(x, type=pa.list_(pa.int64())) for x in (bits, *keys)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
-             pa.array(d2, pa.int64()), *lists], names=["doc_id", "n_shingles", "d1", "d2", "bits", *[f"k{r}" for r in ROWS]])
+                keys.append([band_keys(sig, r) for r in levels])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
+                 pa.array(bits, longs), pa.array(keys, pa.list_(longs))],
+                names=["doc_id", "n_shingles", "d1", "d2", "bits", "ks"])
+    return signed
 
 
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +196,8 @@ def near_groups(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_c
     component (null).  Only the two named columns are read.
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sig = saved(docs.mapInArrow(signed, SIGNED), "near-signed")
+    levels = band_rows(percent / 100)
+    sig = saved(docs.mapInArrow(signer(levels), SIGNED), "near-signed")
     real = sig.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     reps = saved(real.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep")), "near-classes")
     members = (real.select("doc_id", "d1", "d2", "n_shingles")
@@ -201,12 +205,12 @@ def near_groups(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_c
 
     firsts = real.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     keys = firsts.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("id_n"), F.col("bits").alias("id_bits"),
-                         F.posexplode(F.array(*[F.col(f"k{r}") for r in ROWS])).alias("level", "ks"))
-    buckets = (keys.select("level", F.explode("ks").alias("key"), "id").groupBy("level", "key")
+                         F.posexplode("ks").alias("level", "keys"))
+    buckets = (keys.select("level", F.explode("keys").alias("key"), "id").groupBy("level", "key")
                .agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter(F.col("lo") < F.col("hi")))
     buckets = saved(buckets, "near-buckets")
     # only classes that share a bucket go on; texts that resemble no other leave here
-    shared = saved(keys.select("level", F.explode("ks").alias("key"), "id")
+    shared = saved(keys.select("level", F.explode("keys").alias("key"), "id")
                    .join(buckets, ["level", "key"]), "near-shared")
     able = saved(firsts.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bits")
                  .join(shared.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "near-able")
@@ -222,7 +226,7 @@ def near_groups(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_c
     comp = connected(links)
 
     # buckets of the complete bands that still hold several components
-    labelled = (shared.filter(F.col("level") == COMPLETE).select("key", "id")
+    labelled = (shared.filter(F.col("level") == len(levels) - 1).select("key", "id")
                 .join(comp.select(F.col("node").alias("id"), "component"), "id", "left")
                 .withColumn("component", F.coalesce("component", "id")))
     labelled = saved(labelled, "near-labelled")
