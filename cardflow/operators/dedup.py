@@ -4,69 +4,73 @@
 key is deterministic but sends every row of a key to one task, which breaks
 when one key holds a large share of the data.  Here:
 
-1. every row is packed into one struct `_row` (its identity) and made
-   distinct with a count -- partial aggregation collapses copies map-side,
-   and the result is hash-partitioned by `_row`;
-2. the winner per key is the `min` of an ordering struct (ascending, NULLs
-   last per column) carrying `_row`, again with partial aggregation, so a hot
-   key is reduced inside each map task to one row before its shuffle;
-3. winners (one row per key) are joined back on `_row`.  The distinct side is
-   already partitioned by `_row`, so it is not shuffled again, and rows of a
-   hot key spread over all partitions.
-
-Floating-point columns enter `_row` as their exact text (a double's string
-form reads back to the same double), because Spark normalizes floating join
-keys, which would otherwise force a second shuffle of the big side.  Ordering
-still uses the numbers.  Steps 1-3 share one scan of the input.
+1. `distinct` removes copies (partial aggregation collapses them map-side);
+2. keys with more than a fourth of an average partition's rows are hot.  They
+   are found from the distinct rows' counts per key and there are at most 4 of
+   them per shuffle partition, so their list is broadcast;
+3. a window over (key, salt) numbers the rows: a hot key is cut into as many
+   salts as its rows ask for, any other key has one;
+4. of a hot key's salts the one that holds its first row is the `min` of an
+   ordering struct, again with partial aggregation and only over hot rows.
+
+So the rows are shuffled twice, as by `distinct` and a plain window, and all
+steps share one scan of the input.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
-ROW = "_row"
 
-
-def _is_float(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, (DoubleType, FloatType))
+def _resolved(df: DataFrame, names: Sequence[str]) -> list[str]:
+    """The frame's own spelling of column names given in any case."""
+    own = {c.lower(): c for c in df.columns}
+    missing = [n for n in names if n.lower() not in own]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {', '.join(df.columns)}")
+    return [own[n.lower()] for n in names]
 
 
 def flag_first_per_key(df: DataFrame, key: Sequence[str], flag: str = "is_first",
                        order: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of `df` plus a boolean `flag`: TRUE for the first row of
     each `key` in ascending order over `order` (default: all columns in
-    schema order), NULLs last; FALSE for the others."""
-    key = list(key)
-    cols = list(df.columns)
-    ordering = list(order or cols)
-    def text(c):
-        # -0.0 equals 0.0 (as in Spark's own grouping), so both get one text.
-        v = F.col(c)
-        return F.when(v == 0, F.lit(0.0).cast(df.schema[c].dataType)).otherwise(v).cast("string")
-
-    ident = F.struct(*[(text(c) if _is_float(df, c) else F.col(c)).alias(f"v{i}") for i, c in enumerate(cols)])
-    rows = df.groupBy(ident.alias(ROW)).agg(F.count(F.lit(1)).alias("_n"))
-
-    def field(c):
-        v = F.col(f"{ROW}.v{cols.index(c)}")
-        return v.cast(df.schema[c].dataType) if _is_float(df, c) else v
-
-    sort_key = F.struct(*[e for i, c in enumerate(ordering)
-                          for e in (field(c).isNull().alias(f"z{i}"), field(c).alias(f"o{i}"))])
-    winners = (rows.groupBy(*[field(k).alias(f"_k{i}") for i, k in enumerate(key)])
-               # `_n` rides along so the distinct below stays needed: both
-               # branches then share its shuffle (one scan of the input).
-               .agg(F.min(F.struct(sort_key.alias("o"), F.col(ROW).alias("r"), F.col("_n").alias("n"))).alias("_w"))
-               .select(F.col("_w.r").alias(ROW), F.lit(True).alias(flag)))
-    joined = rows.join(winners, on=ROW, how="left")
-    # `_n >= 1` always holds; reading it keeps the count in this branch too,
-    # so both branches are the same plan and Spark reuses one shuffle.
-    first = F.coalesce(F.col(flag), F.lit(False)) & (F.col("_n") >= 1)
-    return joined.select(*[field(c).alias(c) for c in cols], first.alias(flag))
+    schema order), NULLs last; FALSE for the others.  A NULL key is a key.
+    Names resolve in any case."""
+    key, cols = _resolved(df, list(key)), list(df.columns)
+    ordering = _resolved(df, list(order or cols))
+    parts = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.distinct()
+
+    per_key = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]).agg(F.count(F.lit(1)).alias("_n"))
+    total = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+    hot = (per_key.filter(F.col("_n") * F.lit(parts) > total)
+           .withColumn("_salts", F.ceil(F.col("_n") * F.lit(parts) / total)).drop("_n"))
+
+    def same_key(left: DataFrame, right: DataFrame):
+        cond = F.lit(True)
+        for i, k in enumerate(key):
+            cond = cond & left[k].eqNullSafe(right[f"_k{i}"])
+        return cond
+
+    names = [f"_k{i}" for i in range(len(key))]
+    salted = (rows.join(F.broadcast(hot), same_key(rows, hot), "left").drop(*names)
+              .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+                          .otherwise(F.pmod(F.xxhash64(*cols), F.col("_salts")))))
+
+    first = F.struct(*[e for i, c in enumerate(ordering) for e in
+                       ([F.col(c).isNull().alias(f"z{i}")] if df.schema[c].nullable else []) + [F.col(c).alias(f"o{i}")]])
+    best = (salted.filter(F.col("_salts").isNotNull())
+            .groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)])
+            .agg(F.min_by("_salt", first).alias("_best")))
+    window = Window.partitionBy(*key, "_salt").orderBy(*[F.col(c).asc_nulls_last() for c in ordering])
+    numbered = salted.withColumn("_rn", F.row_number().over(window))
+    joined = numbered.join(F.broadcast(best), same_key(numbered, best), "left")
+    return joined.select(*cols, ((F.col("_rn") == 1) & (F.col("_salts").isNull() | (F.col("_salt") == F.col("_best"))))
+                         .alias(flag))
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
