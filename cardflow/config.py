@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# The parameter file is a short key/value list; anything longer is not a config.
-MAX_CONFIG_ROWS = 1000
+# The names of the parameter file that are read.
+PARAMETERS = (
+    "InputFilePath", "TempFilePath", "OutputFilePath", "RejectFilePath", "TransactionOPPath", "Inter_Table_Path",
+    "DatabaseName", "Annual_Income_Limit1", "Annual_Income_Limit2", "Annual_Income_Limit3", "Annual_Income_Score1",
+    "Annual_Income_Score2", "Annual_Income_Score3", "Annual_Income_Score4", "Credit_Limit_Multiplier",
+    "Month_EMI_Percentage_3", "Month_EMI_Percentage_6", "Month_EMI_Percentage_9", "Cred_Notify_Threshold",
+)
 
 
 @dataclass(frozen=True)
@@ -33,19 +38,15 @@ class Settings:
     as_of: dt.date | None = None
     # Accepted values of CUST_PEP_EXPOSED after upper-casing.
     pep_accepted: tuple[str, ...] = ("TRUE",)
-    # Bucket count of the partitioned output tables.
-    buckets: int = 4
+    # Bucket count of the partitioned output tables; None sizes it from their rows.
+    buckets: int | None = None
     # Key of the transaction dedup: the reference keeps one transaction per
     # account; add e.g. the date and amount to keep the full history.
     transaction_key: tuple[str, ...] = ("Cust_Id", "Account_Num")
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def as_of_col(self) -> Column:
         return F.lit(self.as_of) if self.as_of is not None else F.current_date()
 
-    def with_(self, **kw) -> "Settings":
-        return replace(self, **kw)
-
     @classmethod
     def from_rows(cls, pairs: dict[str, str], **overrides) -> "Settings":
         """Build settings from the parameter names of the reference's file."""
@@ -72,9 +73,11 @@ class Settings:
 
     @classmethod
     def from_csv(cls, spark: SparkSession, path: str, **overrides) -> "Settings":
-        """Read a `Parameter,Value` CSV once (a bounded lookup) into settings."""
+        """Read a `Parameter,Value` CSV into settings.  Only the known names are
+        kept, so at most one row per name reaches the driver however long the
+        file is; a repeated name keeps its first value."""
         df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-        rows = df.select("Parameter", "Value").limit(MAX_CONFIG_ROWS + 1).collect()
-        if len(rows) > MAX_CONFIG_ROWS:
-            raise ValueError(f"config file {path} has more than {MAX_CONFIG_ROWS} rows")
-        return cls.from_rows({r["Parameter"]: r["Value"] for r in rows if r["Parameter"]}, **overrides)
+        first = (df.withColumn("_at", F.monotonically_increasing_id())
+                 .filter(F.col("Parameter").isin(list(PARAMETERS)))
+                 .groupBy("Parameter").agg(F.min_by("Value", "_at").alias("Value")))
+        return cls.from_rows({r["Parameter"]: r["Value"] for r in first.collect() if r["Value"] is not None}, **overrides)

@@ -3,14 +3,14 @@
 `lag(v) OVER (PARTITION BY p ORDER BY o)` as a window sends a whole group to
 one task.  `lag_by_range` gives the same result without that limit:
 
-1. range-partition on the full sort key (p ascending, then o): the sampled
-   boundaries cut a hot group into several ranges, each its own task;
-2. a window over (range id, p) computes the lag inside each range;
+1. the rows are written once, which tells their number, and range-partitioned
+   on the full sort key (p ascending, then o) into ranges of bounded size: the
+   sampled boundaries cut a hot group into several ranges, each its own task;
+2. a window over (range id, p) computes the lag inside each range; its result
+   is written once, so everything after it reads the same ranges;
 3. only the first row of a range can miss its predecessor, which is the last
    row of the previous non-empty range when that row is in the same group.
-   The range assignment is checkpointed once, so every branch agrees on it.
-   One row per range (first group key, last row) -- a table bounded by the
-   partition count -- fills those in through a broadcast join.
+   A table with one row per range fills those in.
 """
 
 from __future__ import annotations
@@ -20,7 +20,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardflow.session import shared_dir
+from cardflow.session import materialize
+
+#: Rows that a range aims at.
+ROWS_PER_RANGE = 1_000_000
 
 
 def lag_by_range(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], value: str, out: str,
@@ -30,23 +33,21 @@ def lag_by_range(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     `F.col("m").desc()`.  The order must be total within a group for the
     result to be deterministic."""
     part, order = list(partition_by), list(order_by)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize(df, "lag-rows")
+    n = num_partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                              -(-rows.count() // ROWS_PER_RANGE))
     group = F.struct(*part)
-    ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in part], *order)
-              .withColumn("_pid", F.spark_partition_id()))
-    # Both branches below must see the same rows in the same range.  Range
-    # boundaries come from a sample, and the optimizer may prune the two
-    # branches differently (then each runs its own exchange and sample), so
-    # the assignment is fixed once: a reliable checkpoint in the shared folder.
-    shared_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
     w = Window.partitionBy("_pid", *part).orderBy(*order)
-    local = ranged.withColumns({out: F.lag(value).over(w), "_rn": F.row_number().over(w),
-                                "_tail": F.lead(F.lit(True)).over(w).isNull()})
+    local = (rows.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in part], *order)
+             .withColumn("_pid", F.spark_partition_id())
+             .withColumns({out: F.lag(value).over(w), "_rn": F.row_number().over(w),
+                           "_tail": F.lead(F.lit(True)).over(w).isNull()}))
+    local = materialize(local, "lag-ranges")
 
     # Per range: its first group (groups ascend, NULLs first, as struct order
     # does) and the last row of its last group.
-    bounds = local.groupBy("_pid").agg(
+    ends = local.filter((F.col("_rn") == 1) | F.col("_tail"))
+    bounds = ends.groupBy("_pid").agg(
         F.min(group).alias("_first"),
         F.max_by(F.struct(group.alias("p"), F.col(value).alias("v")),
                  F.when(F.col("_tail"), F.struct(F.lit(1).alias("t"), group.alias("p")))).alias("_last"))
@@ -55,6 +56,7 @@ def lag_by_range(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     fix = (bounds.withColumn("_prev", prev)
            .filter(F.col("_prev").isNotNull() & F.col("_prev.p").eqNullSafe(F.col("_first")))
            .select("_pid", "_first", F.col("_prev.v").alias("_fix"), F.lit(True).alias("_has_fix")))
-    joined = local.join(F.broadcast(fix), on="_pid", how="left")
+    # At most one row per range of ROWS_PER_RANGE rows; the planner chooses the join.
+    joined = local.join(fix, on="_pid", how="left")
     head = (F.col("_rn") == 1) & F.coalesce(F.col("_has_fix"), F.lit(False)) & group.eqNullSafe(F.col("_first"))
     return joined.select(*df.columns, F.when(head, F.col("_fix")).otherwise(F.col(out)).alias(out))

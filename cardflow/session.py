@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import is_remote
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cardflow") -> SparkSession:
@@ -26,33 +26,34 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by `spark.checkpoint.dir` (set one only when unset)."""
+    """The shared folder named by `spark.checkpoint.dir`.  Where it is unset a
+    local session gets a fresh folder (all its tasks run on this machine); any
+    other session is refused, since its executors cannot see a local folder."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        try:
-            sc = spark.sparkContext
-            if not sc.getCheckpointDir():
-                sc.setCheckpointDir(conf)
-        except Exception:  # a remote (Connect) session manages its own
-            pass
+    if is_remote():
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         return conf.rstrip("/")
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote (Connect) session has no SparkContext here
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
-        return sc.getCheckpointDir().rstrip("/")
-    # Unset: only happens in local tests; pick a fresh scratch folder.
-    local = tempfile.mkdtemp(prefix="cardflow-ckpt-")
-    if sc is None:
-        return local
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir().rstrip("/")
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        if not conf and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="cardflow-ckpt-"))
+    return (conf or sc.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
-    return os.path.join(shared_dir(spark), "cardflow", f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{shared_dir(spark)}/cardflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` as Parquet into the shared folder and read it back: the
+    step boundary of the reference (tables between steps).  It cuts the
+    lineage, and keeps the next step's filters out of this step's plan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
