@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, StructType
 
 from cardflow.functions import fixed
 from cardflow.session import scratch_path
@@ -24,6 +25,11 @@ ACCOUNT_TYPED_DDL = ("cust_id long, Account_num long, card_num long, acct_open_d
 TRANSACTION_DDL = ("Cust_Id long, Account_Num long, Card_Num long, Transaction_Dt date, Transaction_Amount double, "
                    "Transaction_Purpose string, Transaction_Place string, Opt_EMI string")
 CORRUPT = "_corrupt_record"
+# Names of the raw files in the input folder.
+CUSTOMER_FILE = "Banking4_CustomerDetails_20230912.csv"
+ACCOUNT_FILE = "CUST_ACCT_DTL_Sample.csv"
+TRANSACTION_FILE = "TRAN_DTL_STG_SampleFile.csv"
+SANCTIONED_FILE = "Sanctioned_Countries.csv"
 
 
 def _reader(spark: SparkSession, ddl: str | None, mode: str = "PERMISSIVE", date_format: str | None = None):
@@ -57,12 +63,32 @@ def read_sanctioned(spark: SparkSession, path: str) -> DataFrame:
 
 
 def corrupt_records(spark: SparkSession, path: str, ddl: str, date_format: str | None = None) -> DataFrame:
-    """Rows of a CSV file that do not fit `ddl`: the raw line in
-    `_corrupt_record`, fields that did parse alongside.  All fields are
-    projected: a pruned field is not parsed, so it could not fail."""
-    df = _reader(spark, f"{ddl}, {CORRUPT} string", date_format=date_format) \
-        .option("columnNameOfCorruptRecord", CORRUPT).load(path)
-    return df.filter(F.col(CORRUPT).isNotNull())
+    """Rows of a headed CSV file that do not fit `ddl`: the raw line in
+    `_corrupt_record`, with the fields that did parse alongside.
+
+    A row does not fit if it has another number of fields or if a field's text
+    is there but has no value of its type.  The line is read whole and split
+    into text fields, and the test names every field, so which columns a query
+    uses later cannot change the rows it sees."""
+    schema = StructType.fromDDL(ddl)
+    texts = ", ".join(f"`{f.name}` string" for f in schema)
+    # a separator that text files do not hold keeps each line in one field
+    lines = (spark.read.format("csv").schema("line string").option("header", True).option("sep", "\u0001")
+             .option("quote", "").option("enforceSchema", True).load(path))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.withColumn("f", F.from_csv("line", f"{texts}, {CORRUPT} string", options))
+
+    def typed(name: str, kind: DataType):
+        text = F.col(f"f.`{name}`")
+        if isinstance(kind, DateType):
+            return F.try_to_date(text, date_format) if date_format else text.try_cast("date")
+        return text.try_cast(kind)
+
+    values = [typed(f.name, f.dataType).alias(f.name) for f in schema]
+    misfit = F.col(f"f.{CORRUPT}").isNotNull()
+    for f in schema:
+        misfit = misfit | (F.col(f"f.`{f.name}`").isNotNull() & typed(f.name, f.dataType).isNull())
+    return parsed.filter(misfit).select(*values, F.col("line").alias(CORRUPT))
 
 
 def stage_csv(df: DataFrame, path: str, date_format: str | None = None) -> str:

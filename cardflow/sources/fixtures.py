@@ -52,9 +52,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                F.col("n_regionkey") == F.col("r_regionkey"))
            .select("n_nationkey", "r_name"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    # A customer without a nation stays (its country is NULL, which a rule rejects).
     # nation x region is a dimension of a few rows: the planner broadcasts it
     # from its file-size statistics, no hint or extra job needed.
-    base = cust.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+    base = cust.join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     rows = base.withColumn("_copy", _copies(F.col("c_custkey"), (50, 7), (60, 11)))
     k, seg = F.col("c_custkey"), F.col("c_mktsegment")
     dob_days = ((k * 37) % 18000).cast("int")

@@ -34,7 +34,20 @@ def test_failfast_raises_at_the_action_not_the_load(spark):
         df.collect()
 
 
-def test_corrupt_records(spark):
-    bad = csv.corrupt_records(spark, _file(CUSTOMER_FILE), csv.CUSTOMER_DDL).collect()
-    assert [r["CUSTOMER_ID"] for r in bad] == ["2"]
-    assert bad[0][csv.CORRUPT].endswith("not-a-number")
+MALFORMED = CUSTOMER_FILE + """3,Eve,,Poe,05-06-1970,,STREET,UTAH,PROVO,india,111113,true
+4,Sam,,Fox,07-08-1960,,STREET,IOWA,AMES,india,111114,true,10,one-too-many
+5,"Kim, Jr",,Roe,09-10-1950,,STREET,MAINE,BATH,india,111115,true,20
+"""
+
+
+def test_corrupt_records_whatever_columns_are_read(spark):
+    bad = csv.corrupt_records(spark, _file(MALFORMED), csv.CUSTOMER_DDL)
+    rows = {r["CUSTOMER_ID"]: r for r in bad.collect()}
+    assert sorted(rows) == ["2", "3", "4"]                  # no number, a field short, a field long
+    assert rows["2"][csv.CORRUPT].endswith("not-a-number")
+    assert rows["4"][csv.CORRUPT].endswith("10,one-too-many")
+    assert bad.count() == 3
+    assert sorted(r[0] for r in bad.select("CUSTOMER_ID").collect()) == ["2", "3", "4"]
+    assert bad.groupBy("COUNTRY").count().collect()[0]["count"] == 3
+    assert bad.filter("ANNUAL_INCOME IS NULL").count() == 2
+    assert bad.select(csv.CORRUPT).count() == 3
