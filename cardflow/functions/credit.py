@@ -2,40 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cardflow.config import Settings
 
-# Tenure score (days since the account opened) and default score.
-TENURE_BANDS = ((365, 200), (720, 400))
-TENURE_TOP_SCORE = 500
-DEFAULT_SCORES = ((0, 100), (3, 50))   # 0 defaults -> 100, 1..2 -> 50, >= 3 -> 0
-DEFAULT_OTHER_SCORE = 0
+# Fixed values: (upper bound, score) bands of the days since the account opened and of
+# the number of defaults, and the score above the last bound.
+TENURE_BANDS, TENURE_TOP = ((365, 200), (720, 400)), 500
+DEFAULT_BANDS, DEFAULT_TOP = ((1, 100), (3, 50)), 0
 # EMI eligibility thresholds.
 EMI_MIN_SCORE = 500
 EMI_MIN_TENURE_DAYS = 720
 EMI_MIN_AMOUNT = 56000
 
 
+def banded(value: Column, bands: Sequence[tuple[float, int]], top: int, missing: int | None) -> Column:
+    """Score of the first band whose upper bound lies above `value`, `top` beyond
+    the last, `missing` for NULL."""
+    score = F.when(value.isNull(), F.lit(missing).cast("int"))
+    for bound, points in bands:
+        score = score.when(value < bound, points)
+    return score.otherwise(top)
+
+
 def tenure_score(days: Column) -> Column:
-    """< 365 days -> 200, < 720 -> 400, >= 720 -> 500 (NULL days -> NULL)."""
-    (d1, s1), (d2, s2) = TENURE_BANDS
-    return (F.when(days < d1, s1).when((days >= d1) & (days < d2), s2)
-            .when(days >= d2, TENURE_TOP_SCORE))
+    return banded(days, TENURE_BANDS, TENURE_TOP, None)
 
 
 def default_score(defaulted: Column) -> Column:
-    (_, s0), (hi, s1) = DEFAULT_SCORES
-    return (F.when(defaulted == 0, s0).when((defaulted >= 1) & (defaulted < hi), s1)
-            .when(defaulted >= hi, DEFAULT_OTHER_SCORE).otherwise(DEFAULT_OTHER_SCORE))
+    """Negative counts score like many defaults, as NULL does."""
+    return F.when(defaulted < 0, DEFAULT_TOP).otherwise(banded(defaulted, DEFAULT_BANDS, DEFAULT_TOP, DEFAULT_TOP))
 
 
 def income_score(income: Column, s: Settings) -> Column:
-    """Income below limit 1/2/3 -> score 1/2/3, else (also NULL) score 4."""
-    (l1, l2, l3), (s1, s2, s3, s4) = s.income_limits, s.income_scores
-    return (F.when(income < l1, s1).when((income >= l1) & (income < l2), s2)
-            .when((income >= l2) & (income < l3), s3).otherwise(s4))
+    """One score per income limit, the last one above all limits (and for NULL)."""
+    *points, top = s.income_scores
+    return banded(income, tuple(zip(s.income_limits, points)), top, top)
 
 
 def monthly_rate(pct: float) -> Column:

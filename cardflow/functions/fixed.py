@@ -34,8 +34,7 @@ TRANSACTION_NULL = "Record is rejected due to presence of null values"
 TRANSACTION_NUMBER = "Record is rejected as integer and special character found in fields which should only have Alphabets"
 
 # Fixed value: reject text of a transaction without a valid account or customer.
-ORPHAN = ("Transaction made through an account/card which is not registered or an Invalid "
-          "transaction due to customer data not available")
+ORPHAN = "Transaction made through an account/card which is not registered or an Invalid transaction due to customer data not available"
 
 # Accepted PEP flag, customer file name in the reject table, card length.
 PEP_ACCEPTED = ("TRUE",)

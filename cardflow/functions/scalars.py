@@ -9,7 +9,3 @@ from pyspark.sql import functions as F
 def parse_date(text: Column, fmt: str) -> Column:
     """`to_date` that yields NULL for text not in `fmt`."""
     return F.try_to_date(text, fmt)
-
-
-def days_between(end: Column, start: Column) -> Column:
-    return F.datediff(end, start)

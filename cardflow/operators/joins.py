@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side above this many rows is joined by shuffle instead.
-DEFAULT_BROADCAST_ROWS = 100_000
+# A lookup side above this many bytes of column data is not hinted.
+DEFAULT_BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       bound_by: DataFrame | None = None) -> DataFrame:
-    """`broadcast(df)` when it has at most `max_rows` rows, else `df` unchanged
-    (the optimizer and AQE then pick a shuffle join).  The check reads at most
-    `max_rows + 1` rows.  `bound_by` is a frame with at least as many rows as
-    `df` (e.g. its input before a `distinct`) that is cheaper to count."""
-    n = (bound_by if bound_by is not None else df).limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """`broadcast(df)` when its own rows (after any `distinct` in it, so repeats
+    do not count) hold at most `max_bytes` of text, else `df` unchanged: the
+    optimizer then chooses, and AQE splits a hot join partition.  The check
+    sums the bytes where the rows are and returns one number."""
+    size = df.agg(F.sum(sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns),
+                            F.lit(0)))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

@@ -24,6 +24,7 @@ FIRST = "is_first"
 
 # ---------------------------------------------------------------- customers
 
+# The columns that the rules test.
 CUSTOMER_NULL_CHECK = ["CUSTOMER_ID", "FIRST_NAME", "LAST_NAME", "DOB", "ADDRESS2", "STATE", "CITY", "COUNTRY",
                        "PIN_CODE", "CUST_PEP_EXPOSED", "ANNUAL_INCOME"]
 CUSTOMER_ALPHA_ONLY = ["STATE", "CITY", "COUNTRY", "FIRST_NAME", "MIDDLE_NAME", "LAST_NAME"]
@@ -72,7 +73,7 @@ def check_customers(raw: DataFrame, sanctioned: DataFrame, settings: Settings =
     flagged = flag_first_per_key(normalize_customers(raw), ["CUSTOMER_ID"], FIRST)
     flags = sanctioned_list(sanctioned).select(F.col("COUNTRY").alias("_s_country"),
                                                F.lit(True).alias("_sanctioned"))
-    joined = flagged.join(broadcast_if_small(flags, bound_by=sanctioned), F.col("COUNTRY") == F.col("_s_country"),
+    joined = flagged.join(broadcast_if_small(flags), F.col("COUNTRY") == F.col("_s_country"),
                           "left")
     joined = joined.withColumn("_sanctioned", F.coalesce(F.col("_sanctioned"), F.lit(False)))
     return apply_rules(joined, customer_rules(settings)).drop("_s_country", "_sanctioned", FIRST)
@@ -98,6 +99,7 @@ def customer_rejects(checked: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- accounts
 
+# The columns that the rules test.
 ACCOUNT_NULL_CHECK = ["cust_id", "Account_num", "card_num", "acct_open_dt", "acct_cycle_dt", "defaulted"]
 ACCOUNT_CHAR_CHECK = ["cust_id", "Account_num", "card_num", "acct_cycle_dt", "defaulted"]
 
@@ -141,6 +143,7 @@ def account_rejects(checked: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- transactions
 
+# The columns that the rules test.
 TRANSACTION_ALPHA_ONLY = ["Transaction_Purpose", "Transaction_Place"]
 
 

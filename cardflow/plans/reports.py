@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from cardflow.config import Settings
 from cardflow.operators.ordered import lag_by_range
 
-MONEY_DIGITS = 2
+# Money is summed as exact decimals, so a total does not depend on the order of its rows.
+MONEY = "decimal(28,6)"
 
 
 def geography(inter: DataFrame, ordered: bool = False) -> DataFrame:
@@ -17,7 +18,7 @@ def geography(inter: DataFrame, ordered: bool = False) -> DataFrame:
     The group count is bounded by the geography, so ordering it is cheap."""
     out = inter.groupBy(F.col("COUNTRY"), F.col("STATE")).agg(
         F.count("Cust_Id").alias("CUST_ID_COUNT"),
-        F.round(F.avg("ANNUAL_INCOME"), MONEY_DIGITS).alias("AVG_ANNUAL_INCOME"),
+        F.avg(F.col("ANNUAL_INCOME").cast(MONEY)).cast("double").alias("AVG_ANNUAL_INCOME"),
         F.max("Credit_Score").alias("MAX_CREDIT_SCORE"),
         F.min("Credit_Score").alias("MIN_CREDIT_SCORE"),
     )
@@ -36,7 +37,7 @@ def emi_offers(inter: DataFrame, s: Settings = Settings()) -> DataFrame:
 def card_totals(inter: DataFrame) -> DataFrame:
     """Sum of transaction amounts per customer, card, (birth) year and month."""
     return inter.groupBy("Cust_Id", "Card_Num", "YEAR", "MONTH", "FIRST_NAME", "LAST_NAME").agg(
-        F.round(F.sum("Transaction_Amount"), MONEY_DIGITS).alias("Latest_Transaction"))
+        F.sum(F.col("Transaction_Amount").cast(MONEY)).cast("double").alias("Latest_Transaction"))
 
 
 def previous_order() -> list:
@@ -44,6 +45,9 @@ def previous_order() -> list:
     return [F.col("YEAR").asc(), F.col("MONTH").desc(), F.col("Card_Num").asc()]
 
 
+PREVIOUS_COLUMNS = ["Cust_Id", "YEAR", "MONTH", "FIRST_NAME", "LAST_NAME", "Latest_Transaction", "PREVIOUS_TRANSACTION"]
+
+
 def previous_transaction(inter: DataFrame, ordered: bool = False) -> DataFrame:
     """Card totals with the total of the previous card of the same customer,
     year and month.  The reference orders by YEAR, MONTH desc -- constant
@@ -52,9 +56,9 @@ def previous_transaction(inter: DataFrame, ordered: bool = False) -> DataFrame:
     spread over many tasks."""
     lagged = lag_by_range(card_totals(inter), ["Cust_Id", "YEAR", "MONTH"], previous_order(), "Latest_Transaction",
                           "PREVIOUS_TRANSACTION")
-    out = lagged.select("Cust_Id", "YEAR", "MONTH", "FIRST_NAME", "LAST_NAME", "Latest_Transaction",
-                        "PREVIOUS_TRANSACTION")
-    return out.orderBy("YEAR", "Cust_Id") if ordered else out
+    # The rows of a hot customer differ in month and card, so the sort's ranges can cut them.
+    out = lagged.orderBy("YEAR", "Cust_Id", F.col("MONTH").desc(), "Card_Num") if ordered else lagged
+    return out.select(*PREVIOUS_COLUMNS)
 
 
 def credit_threshold(inter: DataFrame, s: Settings = Settings()) -> DataFrame:

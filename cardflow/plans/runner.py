@@ -9,7 +9,6 @@ same places and lets a lost executor recompute only the current step.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,8 +17,8 @@ from pyspark.sql import functions as F
 from cardflow.config import Settings
 from cardflow.operators.validate import CODE
 from cardflow.plans import ingest, sinks, transform
-from cardflow.session import scratch_path
-from cardflow.sources import fixtures
+from cardflow.session import materialize, scratch_path
+from cardflow.sources import csv, fixtures
 
 
 @dataclass
@@ -35,14 +34,47 @@ def inputs_from_tables(spark: SparkSession, sf_dir: str) -> RawInputs:
                      fixtures.raw_accounts(spark, sf_dir), fixtures.raw_transactions(spark, sf_dir))
 
 
+def inputs_from_files(spark: SparkSession, s: Settings) -> RawInputs:
+    """The four raw files in the input folder of the settings."""
+    if not s.input_path:
+        raise ValueError("the settings name no input folder (InputFilePath)")
+    at = s.input_path.rstrip("/")
+    return RawInputs(csv.read_customers(spark, f"{at}/{csv.CUSTOMER_FILE}"),
+                     csv.read_sanctioned(spark, f"{at}/{csv.SANCTIONED_FILE}"),
+                     csv.read_accounts(spark, f"{at}/{csv.ACCOUNT_FILE}"),
+                     csv.read_transactions(spark, f"{at}/{csv.TRANSACTION_FILE}"))
+
+
+def table_paths(s: Settings, root: str) -> dict[str, str]:
+    """Where each table goes: the settings' own folders, else below `root`."""
+    def under(folder: str | None, name: str) -> str:
+        return sinks.table_path(folder or root, name)
+
+    return {
+        "customer_stage": under(s.output_path, "customer_stage"),
+        "account_stage": under(s.temp_path, "account_stage"),
+        "transaction_stage": s.transaction_path or under(None, "transaction_stage"),
+        "intermediate": under(s.inter_table_path, "card_intermediate"),
+        "customer_rejects": under(s.reject_path, "customer_rejects"),
+        "account_rejects": under(s.reject_path, "account_rejects"),
+        "transaction_rejects": under(s.reject_path, "transaction_rejects"),
+        "orphans": under(s.reject_path, "orphan_rejects"),
+    }
+
+
 @dataclass
 class RunResult:
     database: str
     root: str
     tables: dict[str, str] = field(default_factory=dict)
+    paths: dict[str, str] = field(default_factory=dict)
     views: dict[str, str] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
 
+    def files(self, spark: SparkSession, name: str) -> DataFrame:
+        """A table of the run, read by path (its buckets bind no plan)."""
+        return sinks.read_files(spark, self.tables[name], self.paths[name])
+
 
 def _counted(df: DataFrame, name: str, observations: dict) -> DataFrame:
     obs = Observation(name)
@@ -51,58 +83,63 @@ def _counted(df: DataFrame, name: str, observations: dict) -> DataFrame:
 
 
 def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(), root: str | None = None,
-              database: str | None = None) -> RunResult:
-    root = root or s.output_path or scratch_path(spark, "run")
+              database: str | None = None, cache: bool = False) -> RunResult:
+    """All steps.  Each checked or joined frame that feeds two tables is written to
+    the shared folder once; the next step reads the tables by path.  With `cache`
+    the intermediate table is cached until the caller uncaches it."""
+    root = root or scratch_path(spark, "run")
     db = database or s.database
-    res = RunResult(db, root)
-    obs: dict[str, Observation] = {}
-    sinks.create_database(spark, db, os.path.join(root, "_db"))
+    res = RunResult(db, root, paths=table_paths(s, root))
+    at, obs = res.paths, {}
+    sinks.create_database(spark, db, sinks.table_path(root, "_db"))
 
-    # Step 1: customers.  The checked frame feeds two sinks: persist it once.
-    cc = ingest.check_customers(inputs.customers, inputs.sanctioned, s).persist()
+    # Step 1: customers.
+    cc = materialize(ingest.check_customers(inputs.customers, inputs.sanctioned, s), "checked-customers")
+    accepted = ingest.customer_stage(cc)
     res.tables["customer_stage"] = sinks.write_customer_stage(
-        _counted(ingest.customer_stage(cc), "customer_stage", obs), db, root, s)
+        _counted(accepted, "customer_stage", obs), db, at["customer_stage"], sinks.sized_buckets(cc.count(), s))
     res.tables["customer_rejects"] = sinks.write_rejects(
-        _counted(ingest.customer_rejects(cc), "customer_rejects", obs), db, root,
-        "customer_rejects")
-    cc.unpersist()
+        _counted(ingest.customer_rejects(cc), "customer_rejects", obs), db, at["customer_rejects"], "customer_rejects")
 
     # Step 2: accounts.
-    ca = ingest.check_accounts(inputs.accounts).persist()
+    ca = materialize(ingest.check_accounts(inputs.accounts), "checked-accounts")
     res.tables["account_stage"] = sinks.write_account_stage(
-        _counted(ingest.account_stage(ca), "account_stage", obs), db, root)
+        _counted(ingest.account_stage(ca), "account_stage", obs), db, at["account_stage"])
     res.tables["account_rejects"] = sinks.write_rejects(
-        _counted(ingest.account_rejects(ca), "account_rejects", obs), db, root, "account_rejects")
-    ca.unpersist()
+        _counted(ingest.account_rejects(ca), "account_rejects", obs), db, at["account_rejects"], "account_rejects")
 
     # Step 3: transactions.
-    ct = ingest.check_transactions(inputs.transactions, s.transaction_key).persist()
+    ct = materialize(ingest.check_transactions(inputs.transactions, s.transaction_key), "checked-transactions")
     res.tables["transaction_stage"] = sinks.write_transaction_stage(
-        _counted(ingest.transaction_stage(ct), "transaction_stage", obs), db, root)
+        _counted(ingest.transaction_stage(ct), "transaction_stage", obs), db, at["transaction_stage"])
     res.tables["transaction_rejects"] = sinks.write_rejects(
-        _counted(ingest.transaction_rejects(ct), "transaction_rejects", obs), db, root,
+        _counted(ingest.transaction_rejects(ct), "transaction_rejects", obs), db, at["transaction_rejects"],
         "transaction_rejects")
-    ct.unpersist()
 
-    # Step 4: transform, from the written stage tables.
-    joined = transform.enrich(spark.table(res.tables["transaction_stage"]),
-                              spark.table(res.tables["account_stage"]),
-                              spark.table(res.tables["customer_stage"])).persist()
+    # Step 4: transform, from the files of the stage tables.
+    joined = materialize(transform.enrich(res.files(spark, "transaction_stage"), res.files(spark, "account_stage"),
+                                          res.files(spark, "customer_stage")), "joined")
     res.tables["orphans"] = sinks.write_rejects(
-        _counted(transform.orphans(joined), "orphans", obs), db, root, "orphan_rejects")
+        _counted(transform.orphans(joined), "orphans", obs), db, at["orphans"], "orphan_rejects")
     inter = transform.within_limit(transform.metrics(transform.valid_joined(joined), s)).select(
         *transform.intermediate_columns(s))
-    res.tables["intermediate"] = sinks.write_intermediate(
-        _counted(inter, "intermediate", obs), db, root, s)
-    joined.unpersist()
+    res.tables["intermediate"], _ = sinks.write_intermediate(
+        _counted(inter, "intermediate", obs), db, at["intermediate"], sinks.sized_buckets(joined.count(), s))
 
-    # Step 5: cache the intermediate table and register the report views.
-    sinks.cache_table(spark, res.tables["intermediate"])
-    res.views = sinks.create_report_views(spark, res.tables["intermediate"], s, prefix=f"{db}_")
+    # Step 5: the report views.
+    if cache:
+        sinks.cache_table(spark, res.tables["intermediate"])
+    res.views = sinks.create_report_views(spark, db, s)
     res.counts = {k: int(o.get["rows"]) for k, o in obs.items()}
     return res
 
 
+def run_from_config(spark: SparkSession, config_path: str, root: str | None = None, **overrides) -> RunResult:
+    """The whole run from a parameter file: its input folder to its output folders."""
+    s = Settings.from_csv(spark, config_path, **overrides)
+    return run_steps(spark, inputs_from_files(spark, s), s, root=root)
+
+
 def stage_counts(inputs: RawInputs, s: Settings = Settings()) -> DataFrame:
     """Rows per step and outcome (accepted or reason code) as one frame."""
     return counts_from_checked(ingest.check_customers(inputs.customers, inputs.sanctioned, s),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from cardflow.config import Settings
@@ -13,18 +11,33 @@ from cardflow.plans import reports
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as Parquet into the shared folder and read it back: the
-    step boundary of the reference (tables between steps).  It cuts the
-    lineage, and keeps the next step's filters out of this step's plan."""
-    from cardflow.session import scratch_path
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Rows that a bucket of a sized table aims at, and Spark's limit on their number.
+ROWS_PER_BUCKET = 2_000_000
+MIN_BUCKETS, MAX_BUCKETS = 4, 100_000
+
+
+def sized_buckets(rows: int, s: Settings) -> int:
+    """The bucket count asked for, else one that follows the rows (4 for small tables)."""
+    return s.buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def create_database(spark: SparkSession, name: str, location: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
+    text = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)} LOCATION '{text}'")
+
+
+def drop_database(spark: SparkSession, name: str) -> None:
+    """Release the caches of a database and drop it with its tables and views.
+    Files of its (external) tables stay under the root it was given."""
+    if spark.catalog.databaseExists(name):
+        for t in spark.catalog.listTables(name):
+            if t.tableType != "VIEW" and spark.catalog.isCached(f"{quoted(name)}.{quoted(t.name)}"):
+                spark.catalog.uncacheTable(f"{quoted(name)}.{quoted(t.name)}")
+        spark.sql(f"DROP DATABASE {quoted(name)} CASCADE")
 
 
 def save_table(df: DataFrame, table: str, path: str, partition_by: list[str] | None = None,
@@ -45,41 +58,52 @@ def save_table(df: DataFrame, table: str, path: str, partition_by: list[str] | N
     w.saveAsTable(table)
 
 
+def read_files(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """The rows of a written table, read by path: its buckets then bind no plan
+    (a join or an aggregate on the bucket column would run in as many tasks)."""
+    return spark.read.schema(spark.table(table).schema).parquet(path)
+
+
 def table_path(root: str, name: str) -> str:
-    return os.path.join(root, name)
+    return f"{root.rstrip('/')}/{name}"
 
 
-def write_customer_stage(df: DataFrame, db: str, root: str, s: Settings) -> str:
-    t = f"`{db}`.customer_stage"
-    save_table(df, t, table_path(root, "customer_stage"), ["COUNTRY", "STATE"], "CUSTOMER_ID", s.buckets)
+def write_customer_stage(df: DataFrame, db: str, path: str, buckets: int) -> str:
+    t = f"{quoted(db)}.customer_stage"
+    save_table(df, t, path, ["COUNTRY", "STATE"], "CUSTOMER_ID", buckets)
     return t
 
 
-def write_rejects(df: DataFrame, db: str, root: str, name: str) -> str:
+def write_rejects(df: DataFrame, db: str, path: str, name: str) -> str:
     """Reject table partitioned by the short reason code (the text holds '/')."""
-    t = f"`{db}`.{name}"
-    save_table(df, t, table_path(root, name), ["reason_code"])
+    t = f"{quoted(db)}.{name}"
+    save_table(df, t, path, ["reason_code"])
     return t
 
 
-def write_account_stage(df: DataFrame, db: str, root: str) -> str:
-    t = f"`{db}`.account_stage"
-    save_table(df, t, table_path(root, "account_stage"))
+def write_account_stage(df: DataFrame, db: str, path: str) -> str:
+    t = f"{quoted(db)}.account_stage"
+    save_table(df, t, path)
     return t
 
 
-def write_transaction_stage(df: DataFrame, db: str, root: str) -> str:
+def write_transaction_stage(df: DataFrame, db: str, path: str) -> str:
     """Transactions as a plain table; no single-file coalesce (one task would
     write all data), file size is bounded by `maxRecordsPerFile`."""
-    t = f"`{db}`.transaction_stage"
-    save_table(df, t, table_path(root, "transaction_stage"))
+    t = f"{quoted(db)}.transaction_stage"
+    save_table(df, t, path)
     return t
 
 
-def write_intermediate(df: DataFrame, db: str, root: str, s: Settings) -> str:
-    t = f"`{db}`.card_intermediate"
-    save_table(df, t, table_path(root, "card_intermediate"), ["YEAR", "COUNTRY", "STATE"], "Cust_Id", s.buckets)
-    return t
+def write_intermediate(df: DataFrame, db: str, path: str, buckets: int) -> tuple[str, str]:
+    """The intermediate table and, beside it, the table of card totals with their
+    predecessors, which a view cannot compute by range.  Both are written here,
+    so one does not change without the other."""
+    spark, t, p = df.sparkSession, f"{quoted(db)}.card_intermediate", f"{quoted(db)}.card_previous"
+    save_table(df, t, path, ["YEAR", "COUNTRY", "STATE"], "Cust_Id", buckets)
+    previous = reports.previous_transaction(read_files(spark, t, path))
+    save_table(previous, p, f"{path.rstrip('/')}_previous")
+    return t, p
 
 
 def cache_table(spark: SparkSession, table: str) -> DataFrame:
@@ -87,21 +111,36 @@ def cache_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-REPORT_VIEWS = {
-    "geography_summary": lambda inter, s: reports.geography(inter),
-    "emi_offers": lambda inter, s: reports.emi_offers(inter, s),
-    "previous_transaction": lambda inter, s: reports.previous_transaction(inter),
-    "credit_threshold": lambda inter, s: reports.credit_threshold(inter, s),
-}
-
-
-def create_report_views(spark: SparkSession, inter_table: str, s: Settings, prefix: str = "") -> dict[str, str]:
-    """Register the four reports as (session) views over the intermediate
-    table; every column is named.  Returns view name -> view name."""
-    inter = spark.table(inter_table)
+def view_queries(db: str, s: Settings) -> dict[str, str]:
+    """SQL of the four report views over the tables of `write_intermediate`.  None of
+    them joins or groups by the bucket column."""
+    inter, previous = f"{quoted(db)}.card_intermediate", f"{quoted(db)}.card_previous"
+    emi = ", ".join(f"EMI_{m}_month, EMI_{m}_month * {m} AS PayAfter{m}month" for m, _ in s.emi_percentages)
+    return {
+        "geography_summary": f"""
+            SELECT COUNTRY, STATE, count(Cust_Id) AS CUST_ID_COUNT,
+                   cast(avg(cast(ANNUAL_INCOME AS {reports.MONEY})) AS double) AS AVG_ANNUAL_INCOME,
+                   max(Credit_Score) AS MAX_CREDIT_SCORE, min(Credit_Score) AS MIN_CREDIT_SCORE
+            FROM {inter} GROUP BY COUNTRY, STATE""",
+        "emi_offers": f"""
+            SELECT FIRST_NAME, LAST_NAME, Cust_Id, Account_Num, Card_Num, Transaction_Dt, Transaction_Amount,
+                   Transaction_Purpose, {emi}
+            FROM {inter} WHERE EMI_Eligible = 'Y'""",
+        "previous_transaction": f"SELECT {', '.join(reports.PREVIOUS_COLUMNS)} FROM {previous}",
+        "credit_threshold": f"""
+            WITH used AS (
+              SELECT FIRST_NAME, LAST_NAME, COUNTRY, Cust_credit_limit_remaining, Credit_Limit AS Total_Credit_Limit,
+                     try_divide(Cust_credit_limit_remaining, Credit_Limit) * 100 AS Ratio FROM {inter})
+            SELECT FIRST_NAME, LAST_NAME, COUNTRY, Cust_credit_limit_remaining, Total_Credit_Limit, Ratio
+            FROM used WHERE Ratio <= {float(s.notify_threshold)}D""",
+    }
+
+
+def create_report_views(spark: SparkSession, db: str, s: Settings) -> dict[str, str]:
+    """Create the four reports as views in the database: they outlive the session
+    and always show the tables as they are.  Returns report name -> view name."""
     out = {}
-    for name, build in REPORT_VIEWS.items():
-        view = f"{prefix}{name}"
-        build(inter, s).createOrReplaceTempView(view)
-        out[name] = view
+    for name, query in view_queries(db, s).items():
+        out[name] = f"{quoted(db)}.{name}"
+        spark.sql(f"CREATE OR REPLACE VIEW {out[name]} AS {query}")
     return out

@@ -12,6 +12,10 @@ from cardflow.operators.validate import CODE, REASON
 from cardflow.sources.fixtures import TRANSACTION_COLUMNS
 
 
+# Whether the account file gives a close date, readable or not.
+CLOSED = "_closed"
+
+
 def join_accounts(txn: DataFrame, accounts: DataFrame) -> DataFrame:
     """Left join on (customer, account, card); both sides are unique on the
     key, so this is a plain sort-merge (or AQE broadcast) equi-join."""
@@ -19,6 +23,7 @@ def join_accounts(txn: DataFrame, accounts: DataFrame) -> DataFrame:
         F.col("cust_id").alias("_a_cust"), F.col("Account_num").alias("_a_acct"), F.col("card_num").alias("_a_card"),
         F.col("acct_open_dt").alias("Acct_open_dt"),
         F.try_to_date(F.col("acct_close_dt").cast("string"), fixed.ACCOUNT_DATE_FORMAT).alias("Acct_close_dt"),
+        F.col("acct_close_dt").isNotNull().alias(CLOSED),
         F.col("acct_cycle_dt").alias("Acct_Cycle_dt"), F.col("defaulted").alias("Defaulted"))
     cond = ((txn["Cust_Id"] == a["_a_cust"]) & (txn["Account_Num"] == a["_a_acct"])
             & (txn["Card_Num"] == a["_a_card"]))
@@ -62,7 +67,8 @@ def metrics(joined: DataFrame, s: Settings) -> DataFrame:
     cs1 = credit.tenure_score(tenure)
     cs2 = credit.default_score(F.col("Defaulted"))
     cs3 = credit.income_score(income, s)
-    since = F.when(F.col("Acct_close_dt").isNull(), tenure)
+    is_open = ~F.coalesce(F.col(CLOSED), F.lit(False))
+    since = F.when(is_open, tenure)
     cols = {
         "Account_Current_Status": F.when(F.col("Defaulted") >= 1, "Y").otherwise("N"),
         "Credit_Limit": limit,
@@ -73,7 +79,7 @@ def metrics(joined: DataFrame, s: Settings) -> DataFrame:
         "Cust_credit_limit_remaining": remaining,
         "Cust_credit_limit_used": remaining + amount,
         "Customer_Since": since,
-        "Acct_Active": F.when(F.col("Acct_close_dt").isNull(), "Y").otherwise("N"),
+        "Acct_Active": F.when(is_open, "Y").otherwise("N"),
         "DIff_Trans_Limit": remaining - amount,
         "EMI_Eligible": F.when((F.col("Opt_EMI") == "Y") & ((cs3 + cs2 + cs1) >= credit.EMI_MIN_SCORE)
                                & (since >= credit.EMI_MIN_TENURE_DAYS) & (amount > credit.EMI_MIN_AMOUNT)

@@ -1,8 +1,8 @@
 """Named queries over a data directory: one per operator of the inventory.
 
-Each callable takes (spark, sf_dir) and returns a lazy DataFrame (queries
-that exercise a sink or a CSV scan write their input first, into the shared
-folder).  Column names match the DuckDB oracle of `sqlcheck`.
+Each callable takes (spark, sf_dir) and returns a DataFrame.  Queries of several
+steps, sinks and CSV scans write their inputs into the shared folder while they are
+built.  Column names match the DuckDB oracle of `sqlcheck`.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from cardflow.operators import sets
 from cardflow.operators.dedup import first_per_key, flag_first_per_key
 from cardflow.operators.joins import broadcast_if_small
 from cardflow.operators.ordered import lag_by_range
-from cardflow.operators.validate import CODE, REASON
+from cardflow.operators.validate import CODE, REASON, any_match, not_all_clear
 from cardflow.plans import ingest, reports, runner, sinks, transform
-from cardflow.session import scratch_path
+from cardflow.session import materialize, scratch_path
 from cardflow.sources import csv, fixtures
 
 # Tests and the oracle pin "today" so that tenure is reproducible.
@@ -58,9 +58,9 @@ def _stages(spark, d):
     """Validated stage tables, written and read back (one step boundary).
     The three are independent, so their jobs are submitted together."""
     builds = [
-        lambda: sinks.materialize(spark, ingest.transaction_stage(_checked_transactions(spark, d)), "stage-txn"),
-        lambda: sinks.materialize(spark, ingest.account_stage(_checked_accounts(spark, d)), "stage-acct"),
-        lambda: sinks.materialize(spark, ingest.customer_stage(_checked_customers(spark, d)), "stage-cust"),
+        lambda: materialize(ingest.transaction_stage(_checked_transactions(spark, d)), "stage-txn"),
+        lambda: materialize(ingest.account_stage(_checked_accounts(spark, d)), "stage-acct"),
+        lambda: materialize(ingest.customer_stage(_checked_customers(spark, d)), "stage-cust"),
     ]
     return _together(builds)
 
@@ -68,9 +68,9 @@ def _stages(spark, d):
 def _checked_written(spark, d):
     """The three checked tables (accepted and rejected rows), written once."""
     return _together([
-        lambda: sinks.materialize(spark, _checked_customers(spark, d), "checked-cust"),
-        lambda: sinks.materialize(spark, _checked_accounts(spark, d), "checked-acct"),
-        lambda: sinks.materialize(spark, _checked_transactions(spark, d), "checked-txn"),
+        lambda: materialize(_checked_customers(spark, d), "checked-cust"),
+        lambda: materialize(_checked_accounts(spark, d), "checked-acct"),
+        lambda: materialize(_checked_transactions(spark, d), "checked-txn"),
     ])
 
 
@@ -97,14 +97,39 @@ def _normalized_customers(spark, d):
     return ingest.normalize_customers(fixtures.raw_customers(spark, d))
 
 
+#: Databases (with the folder of their files) that queries of this process created.
+CREATED: list[tuple[str, str]] = []
+
+
 def _database(spark) -> tuple[str, str]:
     """A fresh database in the shared folder for one sink query."""
     root = scratch_path(spark, "tables")
     db = f"cardflow_{uuid.uuid4().hex[:10]}"
     sinks.create_database(spark, db, f"{root}/_db")
+    CREATED.append((db, root))
     return db, root
 
 
+def release(spark) -> list[str]:
+    """Uncache and drop what the queries created, once their results are no longer
+    needed; returns the folders whose files the caller may remove."""
+    roots = []
+    while CREATED:
+        db, root = CREATED.pop()
+        sinks.drop_database(spark, db)
+        roots.append(root)
+    return roots
+
+
+def _run(spark, d):
+    db, root = _database(spark)
+    return runner.run_steps(spark, runner.inputs_from_tables(spark, d), SETTINGS, root=root, database=db)
+
+
+def _cents(*names):
+    return {n: F.round(F.col(n), 2) for n in names}
+
+
 # ------------------------------------------------------------ 2.1 scans
 
 @query
@@ -127,6 +152,17 @@ def scan_corrupt_records(spark, d):
     return bad.withColumnRenamed(csv.CORRUPT, "raw_line")
 
 
+@query
+def scan_corrupt_customers(spark, d):
+    """Raw customer rows that do not fit the customer layout: every 53rd customer
+    gets an income that is no number."""
+    raw = fixtures.raw_customers(spark, d)
+    bad = F.coalesce(F.col("CUSTOMER_ID").try_cast("long") % 53 == 8, F.lit(False))
+    raw = raw.withColumn("ANNUAL_INCOME", F.when(bad, F.lit("n/a")).otherwise(F.col("ANNUAL_INCOME").cast("string")))
+    path = csv.stage(spark, raw, "raw-customer")
+    return csv.corrupt_records(spark, path, csv.CUSTOMER_DDL).withColumnRenamed(csv.CORRUPT, "raw_line")
+
+
 @query
 def scan_account_csv(spark, d):
     path = csv.stage(spark, fixtures.raw_accounts(spark, d), "raw-account")
@@ -150,7 +186,7 @@ def scan_sanctioned(spark, d):
 @query
 def scan_stage_table(spark, d):
     db, root = _database(spark)
-    t = sinks.write_account_stage(ingest.account_stage(_checked_accounts(spark, d)), db, root)
+    t = sinks.write_account_stage(ingest.account_stage(_checked_accounts(spark, d)), db, f"{root}/account_stage")
     return spark.table(t)
 
 
@@ -159,42 +195,56 @@ def scan_stage_table(spark, d):
 @query
 def sink_customer_stage(spark, d):
     db, root = _database(spark)
-    t = sinks.write_customer_stage(ingest.customer_stage(_checked_customers(spark, d)), db, root, SETTINGS)
+    stage = materialize(ingest.customer_stage(_checked_customers(spark, d)), "stage-cust")
+    t = sinks.write_customer_stage(stage, db, f"{root}/customer_stage", sinks.sized_buckets(stage.count(), SETTINGS))
     return spark.table(t)
 
 
 @query
 def sink_rejects(spark, d):
     db, root = _database(spark)
-    t = sinks.write_rejects(ingest.customer_rejects(_checked_customers(spark, d)), db, root,
+    t = sinks.write_rejects(ingest.customer_rejects(_checked_customers(spark, d)), db, f"{root}/rejects",
                             "customer_rejects")
     return spark.table(t)
 
 
 @query
 def sink_account_stage(spark, d):
-    return scan_stage_table(spark, d)
+    """The account table beside its rejects, as one run writes them."""
+    db, root = _database(spark)
+    checked = materialize(_checked_accounts(spark, d), "checked-acct")
+    t = sinks.write_account_stage(ingest.account_stage(checked), db, f"{root}/account_stage")
+    r = sinks.write_rejects(ingest.account_rejects(checked), db, f"{root}/rejects", "account_rejects")
+    rows = lambda name, key: spark.table(name).select(
+        F.col("cust_id").cast("string").alias("cust_id"), F.col("Account_num").cast("string").alias("Account_num"),
+        key.alias("reason_code"))
+    return rows(t, F.lit(None).cast("string")).unionByName(rows(r, F.col("reason_code")))
 
 
 @query
 def sink_transaction_stage(spark, d):
     db, root = _database(spark)
-    t = sinks.write_transaction_stage(ingest.transaction_stage(_checked_transactions(spark, d)), db, root)
+    t = sinks.write_transaction_stage(ingest.transaction_stage(_checked_transactions(spark, d)), db,
+                                      f"{root}/transaction_stage")
     return spark.table(t)
 
 
+def _written_intermediate(spark, d):
+    db, root = _database(spark)
+    inter = materialize(_intermediate(spark, d), "intermediate")
+    t, _ = sinks.write_intermediate(inter, db, f"{root}/card_intermediate", sinks.sized_buckets(inter.count(), SETTINGS))
+    return t
+
+
 @query
 def sink_intermediate(spark, d):
-    db, root = _database(spark)
-    t = sinks.write_intermediate(_intermediate(spark, d), db, root, SETTINGS)
-    return spark.table(t)
+    return spark.table(_written_intermediate(spark, d))
 
 
 @query
 def cache_intermediate(spark, d):
-    db, root = _database(spark)
-    t = sinks.write_intermediate(_intermediate(spark, d), db, root, SETTINGS)
-    return sinks.cache_table(spark, t)
+    """Cached until `release`."""
+    return sinks.cache_table(spark, _written_intermediate(spark, d))
 
 
 @query
@@ -206,21 +256,33 @@ def stage_counts(spark, d):
 @query
 def run_summary(spark, d):
     """All steps with their tables and views; rows per written table."""
-    res = runner.run_steps(spark, runner.inputs_from_tables(spark, d), SETTINGS,
-                           database=f"cardflow_{uuid.uuid4().hex[:10]}")
-    parts = [spark.table(t).groupBy().agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.lit(name).alias("table_name"), "rows") for name, t in res.tables.items()]
-    parts += [spark.table(v).groupBy().agg(F.count(F.lit(1)).alias("rows"))
-              .select(F.lit(name).alias("table_name"), "rows") for name, v in res.views.items()]
-    return sets.union_all(parts)
+    res = _run(spark, d)
+    return sets.union_all([spark.table(t).groupBy().agg(F.count(F.lit(1)).alias("rows"))
+                           .select(F.lit(name).alias("table_name"), "rows")
+                           for name, t in [*res.tables.items(), *res.views.items()]])
 
 
 @query
 def view_scan(spark, d):
     """All steps, then the EMI-offer view read back by SQL (`select *`)."""
-    res = runner.run_steps(spark, runner.inputs_from_tables(spark, d), SETTINGS,
-                           database=f"cardflow_{uuid.uuid4().hex[:10]}")
-    return spark.sql(f"SELECT * FROM {res.views['emi_offers']}")
+    return spark.sql(f"SELECT * FROM {_run(spark, d).views['emi_offers']}")
+
+
+@query
+def view_scan_geography(spark, d):
+    v = spark.sql(f"SELECT * FROM {_run(spark, d).views['geography_summary']}")
+    return v.withColumns(_cents("AVG_ANNUAL_INCOME"))
+
+
+@query
+def view_scan_previous(spark, d):
+    v = spark.sql(f"SELECT * FROM {_run(spark, d).views['previous_transaction']}")
+    return v.withColumns(_cents("Latest_Transaction", "PREVIOUS_TRANSACTION"))
+
+
+@query
+def view_scan_threshold(spark, d):
+    return spark.sql(f"SELECT * FROM {_run(spark, d).views['credit_threshold']}")
 
 
 # ------------------------------------------------------------ 2.3 projections
@@ -293,14 +355,8 @@ def filter_not_null(spark, d):
 def filter_regex(spark, d):
     """Customers whose id has no letter/special and whose names, state, city
     and country have no digit/special (NULL MIDDLE_NAME passes)."""
-    c = _normalized_customers(spark, d)
-    id_ok = ~F.col("CUSTOMER_ID").rlike(fixed.ID_CHARS)
-    names_bad = F.coalesce(
-        F.col("STATE").rlike(fixed.ALPHA_ONLY_CHARS) | F.col("CITY").rlike(fixed.ALPHA_ONLY_CHARS)
-        | F.col("COUNTRY").rlike(fixed.ALPHA_ONLY_CHARS) | F.col("FIRST_NAME").rlike(fixed.ALPHA_ONLY_CHARS)
-        | F.col("MIDDLE_NAME").rlike(fixed.ALPHA_ONLY_CHARS) | F.col("LAST_NAME").rlike(fixed.ALPHA_ONLY_CHARS),
-        F.lit(False))
-    return c.filter(id_ok & ~names_bad)
+    return _normalized_customers(spark, d).filter(
+        ~not_all_clear(["CUSTOMER_ID"], fixed.ID_CHARS) & ~any_match(ingest.CUSTOMER_ALPHA_ONLY, fixed.ALPHA_ONLY_CHARS))
 
 
 @query
@@ -335,21 +391,22 @@ def filter_card_length(spark, d):
 
 @query
 def join_txn_account(spark, d):
-    txn, acct, _ = _stages(spark, d)
-    return transform.join_accounts(txn, acct)
+    txn, acct = _together([
+        lambda: materialize(ingest.transaction_stage(_checked_transactions(spark, d)), "stage-txn"),
+        lambda: materialize(ingest.account_stage(_checked_accounts(spark, d)), "stage-acct")])
+    return transform.join_accounts(txn, acct).drop(transform.CLOSED)
 
 
 @query
 def join_txn_customer(spark, d):
-    return _joined(spark, d)
+    return _joined(spark, d).drop(transform.CLOSED)
 
 
 @query
 def anti_join_sanctioned(spark, d):
     c = _normalized_customers(spark, d)
-    raw = fixtures.raw_sanctioned(spark, d)
-    s = ingest.sanctioned_list(raw).withColumnRenamed("COUNTRY", "_s_country")
-    return c.join(broadcast_if_small(s, bound_by=raw), F.col("COUNTRY") == F.col("_s_country"), "left_anti")
+    s = ingest.sanctioned_list(fixtures.raw_sanctioned(spark, d)).withColumnRenamed("COUNTRY", "_s_country")
+    return c.join(broadcast_if_small(s), F.col("COUNTRY") == F.col("_s_country"), "left_anti")
 
 
 # ------------------------------------------------------------ 2.6 sets and duplicates
@@ -407,12 +464,26 @@ def duplicate_rejects(spark, d):
 
 @query
 def report_geography(spark, d):
-    return reports.geography(_intermediate(spark, d), ordered=True)
+    return reports.geography(_intermediate(spark, d), ordered=True).withColumns(_cents("AVG_ANNUAL_INCOME"))
 
 
 @query
 def agg_card_totals(spark, d):
-    return reports.card_totals(_intermediate(spark, d))
+    return reports.card_totals(_intermediate(spark, d)).withColumns(_cents("Latest_Transaction"))
+
+
+@query
+def agg_card_totals_history(spark, d):
+    """Totals where transactions with another date or amount survive, so that a
+    card's sum has several rows."""
+    ct = ingest.check_transactions(fixtures.raw_transactions(spark, d),
+                                   ("Cust_Id", "Account_Num", "Transaction_Dt", "Transaction_Amount"))
+    txn, acct, cust = _together([
+        lambda: materialize(ingest.transaction_stage(ct), "stage-txn"),
+        lambda: materialize(ingest.account_stage(_checked_accounts(spark, d)), "stage-acct"),
+        lambda: materialize(ingest.customer_stage(_checked_customers(spark, d)), "stage-cust")])
+    return reports.card_totals(transform.intermediate(txn, acct, cust, SETTINGS)).withColumns(
+        _cents("Latest_Transaction"))
 
 
 @query
@@ -420,7 +491,8 @@ def window_lag(spark, d):
     agg = reports.card_totals(_intermediate(spark, d))
     return lag_by_range(agg, ["Cust_Id", "YEAR", "MONTH"], reports.previous_order(), "Latest_Transaction",
                         "PREVIOUS_TRANSACTION").select(
-        "Cust_Id", "Card_Num", "YEAR", "MONTH", "Latest_Transaction", "PREVIOUS_TRANSACTION")
+        "Cust_Id", "Card_Num", "YEAR", "MONTH", "Latest_Transaction", "PREVIOUS_TRANSACTION").withColumns(
+        _cents("Latest_Transaction", "PREVIOUS_TRANSACTION"))
 
 
 @query
@@ -430,7 +502,8 @@ def report_emi_offers(spark, d):
 
 @query
 def report_previous_transaction(spark, d):
-    return reports.previous_transaction(_intermediate(spark, d), ordered=True)
+    out = reports.previous_transaction(_intermediate(spark, d), ordered=True)
+    return out.withColumns(_cents("Latest_Transaction", "PREVIOUS_TRANSACTION"))
 
 
 @query
@@ -468,8 +541,8 @@ def tenure_days(spark, d):
     j = transform.valid_joined(_joined(spark, d))
     days = F.datediff(SETTINGS.as_of_col(), F.col("Acct_open_dt"))
     return j.select("Cust_Id", "Account_Num", "Acct_open_dt", days.alias("tenure_days"),
-                    F.when(F.col("Acct_close_dt").isNull(), days).alias("Customer_Since"),
-                    F.when(F.col("Acct_close_dt").isNull(), "Y").otherwise("N").alias("Acct_Active"))
+                    F.when(~F.col(transform.CLOSED), days).alias("Customer_Since"),
+                    F.when(~F.col(transform.CLOSED), "Y").otherwise("N").alias("Acct_Active"))
 
 
 @query

@@ -34,9 +34,9 @@ TRANSACTION_TEXT = {
     "null": "Record is rejected due to presence of null values",
     "number": "Record is rejected as integer and special character found in fields which should only have Alphabets",
 }
-ORPHAN_TEXT = ("Transaction made through an account/card which is not registered or an Invalid "
-               "transaction due to customer data not available")
+ORPHAN_TEXT = "Transaction made through an account/card which is not registered or an Invalid transaction due to customer data not available"
 
+# Column names and order of the raw files.
 CUSTOMER_COLS = ["CUSTOMER_ID", "FIRST_NAME", "MIDDLE_NAME", "LAST_NAME", "DOB", "ADDRESS1", "ADDRESS2", "STATE",
                  "CITY", "COUNTRY", "PIN_CODE", "CUST_PEP_EXPOSED", "ANNUAL_INCOME"]
 ACCOUNT_COLS = ["cust_id", "Account_num", "card_num", "acct_open_dt", "acct_close_dt", "acct_cycle_dt", "defaulted"]
@@ -73,7 +73,7 @@ def cte(name: str, deps: list[str], body: str) -> None:
 cte("geo", [], "SELECT n.n_nationkey, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey")
 cte("cust_base", ["geo"], """
 SELECT c.c_custkey AS k, c.c_nationkey, c.c_acctbal, c.c_mktsegment AS seg, g.r_name
-FROM customer c JOIN geo g ON c.c_nationkey = g.n_nationkey""")
+FROM customer c LEFT JOIN geo g ON c.c_nationkey = g.n_nationkey""")
 cte("cust_rows", ["cust_base"], """
 SELECT *, 0 AS cp FROM cust_base
 UNION ALL SELECT *, 1 AS cp FROM cust_base WHERE k % 50 = 7
@@ -296,6 +296,12 @@ SELECT '{ORPHAN_TEXT}' AS Rejection_Reason, {_q(TXN_COLS)}, 'orphan' AS reason_c
 FROM joined WHERE Acct_open_dt IS NULL OR FIRST_NAME IS NULL""")
 
 
+def with_history(body: str, *needed: str) -> str:
+    """`with_`, but transactions of an account with another date or amount all survive."""
+    return with_(body, *needed).replace("PARTITION BY Cust_Id, Account_Num ORDER",
+                                        "PARTITION BY Cust_Id, Account_Num, Transaction_Dt, Transaction_Amount ORDER")
+
+
 def with_(body: str, *needed: str) -> str:
     """`WITH` clause holding `needed` and their dependencies, then `body`."""
     seen: list[str] = []

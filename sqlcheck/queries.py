@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from sqlcheck import (ACCOUNT_COLS, CUSTOMER_COLS, CUSTOMER_TEXT, ID_CHARS, ALPHA_ONLY_CHARS, AS_OF, TXN_COLS,
-                      _q, _rx, with_)
+                      _q, _rx, with_, with_history)
 
+# Column lists of the stage and of the checks.
 _CUST_STAGE_COLS = ["CUSTOMER_ID", "FIRST_NAME", "MIDDLE_NAME", "LAST_NAME", "DOB", "ADDRESS1", "ADDRESS2", "STATE",
                     "CITY", "COUNTRY", "PIN_CODE", "CUST_PEP_EXPOSED", "ANNUAL_INCOME", "YEAR", "MONTH"]
 _NULL11 = ["CUSTOMER_ID", "FIRST_NAME", "LAST_NAME", "DOB", "ADDRESS2", "STATE", "CITY", "COUNTRY", "PIN_CODE",
@@ -23,6 +24,10 @@ SELECT TRY_CAST(cust_id AS BIGINT) AS cust_id, TRY_CAST(Account_num AS BIGINT) A
        concat_ws(',', {', '.join(f"coalesce({c}, '')" for c in ACCOUNT_COLS)}) AS raw_line FROM raw_account
 WHERE (acct_open_dt IS NOT NULL AND try_strptime(acct_open_dt, '%d-%b-%y') IS NULL)
    OR (acct_cycle_dt IS NOT NULL AND TRY_CAST(acct_cycle_dt AS INTEGER) IS NULL)""", "raw_account")
+ORACLE["scan_corrupt_customers"] = with_(f"""
+SELECT {_q(CUSTOMER_COLS[:-1])}, NULL::DOUBLE AS ANNUAL_INCOME,
+       concat_ws(',', {', '.join(f"coalesce({c}, '')" for c in CUSTOMER_COLS[:-1])}, 'n/a') AS raw_line
+FROM raw_customer WHERE TRY_CAST(CUSTOMER_ID AS BIGINT) % 53 = 8""", "raw_customer")
 ORACLE["scan_account_csv"] = with_("SELECT * FROM raw_account", "raw_account")
 ORACLE["scan_transaction_csv"] = with_("SELECT * FROM raw_txn_shifted", "raw_txn_shifted")
 ORACLE["scan_sanctioned"] = with_("SELECT * FROM raw_sanctioned", "raw_sanctioned")
@@ -32,7 +37,11 @@ ORACLE["sink_customer_stage"] = with_("SELECT * FROM cust_stage", "cust_stage")
 ORACLE["sink_rejects"] = with_(
     f"SELECT Rejection_Reason, {_q(CUSTOMER_COLS)}, 'Customer Information' AS FileName, reason_code "
     "FROM cust_checked WHERE reason_code IS NOT NULL", "cust_checked")
-ORACLE["sink_account_stage"] = ORACLE["scan_stage_table"]
+ORACLE["sink_account_stage"] = with_("""
+SELECT CAST(TRY_CAST(cust_id AS BIGINT) AS VARCHAR) AS cust_id,
+       CAST(TRY_CAST(Account_num AS BIGINT) AS VARCHAR) AS Account_num, NULL::VARCHAR AS reason_code
+FROM acct_checked WHERE reason_code IS NULL
+UNION ALL SELECT cust_id, Account_num, reason_code FROM acct_checked WHERE reason_code IS NOT NULL""", "acct_checked")
 ORACLE["sink_transaction_stage"] = with_("SELECT * FROM txn_stage", "txn_stage")
 ORACLE["sink_intermediate"] = with_("SELECT * FROM inter", "inter")
 ORACLE["cache_intermediate"] = ORACLE["sink_intermediate"]
@@ -127,7 +136,9 @@ ORACLE["report_geography"] = with_("""
 SELECT COUNTRY, STATE, count(Cust_Id) AS CUST_ID_COUNT, round(avg(ANNUAL_INCOME), 2) AS AVG_ANNUAL_INCOME,
        max(Credit_Score) AS MAX_CREDIT_SCORE, min(Credit_Score) AS MIN_CREDIT_SCORE
 FROM inter GROUP BY COUNTRY, STATE ORDER BY COUNTRY, STATE""", "inter")
+ORACLE["view_scan_geography"] = ORACLE["report_geography"]
 ORACLE["agg_card_totals"] = with_("SELECT * FROM card_totals", "card_totals")
+ORACLE["agg_card_totals_history"] = with_history("SELECT * FROM card_totals", "card_totals")
 _LAG = ('lag(Latest_Transaction) OVER (PARTITION BY Cust_Id, "YEAR", "MONTH" '
         'ORDER BY "YEAR" ASC NULLS FIRST, "MONTH" DESC NULLS LAST, Card_Num ASC NULLS FIRST)')
 ORACLE["window_lag"] = with_(
@@ -142,6 +153,7 @@ ORACLE["view_scan"] = ORACLE["report_emi_offers"]
 ORACLE["report_previous_transaction"] = with_(
     f'SELECT Cust_Id, "YEAR", "MONTH", FIRST_NAME, LAST_NAME, Latest_Transaction, {_LAG} AS PREVIOUS_TRANSACTION '
     'FROM card_totals ORDER BY "YEAR", Cust_Id', "card_totals")
+ORACLE["view_scan_previous"] = ORACLE["report_previous_transaction"]
 ORACLE["report_credit_threshold"] = with_("""
 SELECT * FROM (
   SELECT FIRST_NAME, LAST_NAME, COUNTRY, Cust_credit_limit_remaining, Credit_Limit AS Total_Credit_Limit,
@@ -149,6 +161,8 @@ SELECT * FROM (
   FROM inter) t
 WHERE Ratio <= 75""", "inter")
 
+ORACLE["view_scan_threshold"] = ORACLE["report_credit_threshold"]
+
 ORACLE["fn_parse_dates"] = with_("""
 SELECT cust_id, Account_num, acct_open_dt, CAST(try_strptime(acct_open_dt, '%d-%b-%y') AS DATE) AS open_date,
        CAST(try_strptime(acct_close_dt, '%d-%b-%y') AS DATE) AS close_date

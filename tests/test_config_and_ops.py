@@ -72,7 +72,7 @@ def test_broadcast_if_small_and_sets(spark):
     small = spark.range(5)
     big = spark.range(50)
     assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    assert broadcast_if_small(big, 10) is big
+    assert broadcast_if_small(big, 100) is big
     a = spark.createDataFrame([(1,), (1,), (2,), (None,)], "x int")
     b = spark.createDataFrame([(2,), (None,)], "x int")
     assert sorted(r.x for r in sets.subtract(a, b).collect()) == [1]
@@ -87,12 +87,10 @@ def test_cluster_conf_sizes_partitions():
     assert int(small["spark.sql.shuffle.partitions"]) == 80
 
 
-def test_broadcast_bound_by_a_larger_frame(spark):
-    raw = spark.range(30).selectExpr("id % 3 as c")
-    small = raw.distinct()
-    assert broadcast_if_small(small, 10, bound_by=raw) is small          # 30 raw rows exceed the bound
-    hinted = broadcast_if_small(small, 100, bound_by=raw)
-    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
+def test_broadcast_counts_distinct_rows(spark):
+    small = spark.range(3000).selectExpr("id % 3 as c").distinct()        # repeats do not count
+    assert "ResolvedHint" in broadcast_if_small(small, 100)._jdf.queryExecution().analyzed().toString()
+    assert broadcast_if_small(small, 10) is small
 
 
 def test_dedup_treats_signed_zero_and_nan_as_one_value(spark):

@@ -1,54 +1,30 @@
-"""The single pass equals the reference's chain of filters and EXCEPTs."""
+"""The single pass equals a chain of filters and EXCEPTs, one per rule."""
 
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from cardflow.functions import fixed
-from cardflow.operators.dedup import first_per_key
+from cardflow.operators.dedup import flag_first_per_key
 from cardflow.plans import ingest
 from cardflow.registry import SETTINGS
+from cardflow.session import materialize
 from cardflow.sources import fixtures as fx
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def test_customer_chain_equals_single_pass(spark):
-    d = SF001
-    base = ingest.normalize_customers(fx.raw_customers(spark, d))
-    no_dup = first_per_key(base, ["CUSTOMER_ID"])
-    dups = base.subtract(no_dup)
-    no_null = no_dup.dropna(how="any", subset=ingest.CUSTOMER_NULL_CHECK)
-    nulls = no_dup.subtract(no_null)
-    ok_id = no_null.filter(~F.col("CUSTOMER_ID").rlike(fixed.ID_CHARS))
-    alpha = no_null.subtract(ok_id)
-    num = ok_id.filter(F.col("STATE").rlike(fixed.ALPHA_ONLY_CHARS) | F.col("CITY").rlike(fixed.ALPHA_ONLY_CHARS)
-                       | F.col("COUNTRY").rlike(fixed.ALPHA_ONLY_CHARS)
-                       | F.col("FIRST_NAME").rlike(fixed.ALPHA_ONLY_CHARS)
-                       | F.col("MIDDLE_NAME").rlike(fixed.ALPHA_ONLY_CHARS)
-                       | F.col("LAST_NAME").rlike(fixed.ALPHA_ONLY_CHARS))
-    ok_names = ok_id.subtract(num)
-    pep_ok = ok_names.filter(F.col("CUST_PEP_EXPOSED").isin(["TRUE"]))
-    pep = ok_names.subtract(pep_ok)
-    sanct = fx.raw_sanctioned(spark, d).distinct()
-    clear = pep_ok.join(F.broadcast(sanct), pep_ok.COUNTRY == sanct.COUNTRY, "left_anti")
-    sanctioned = pep_ok.subtract(clear)
-    neg = clear.filter(F.col("ANNUAL_INCOME") < 0)
-    final = clear.subtract(neg)
-
-    checked = ingest.check_customers(fx.raw_customers(spark, d), fx.raw_sanctioned(spark, d), SETTINGS).cache()
-    cols = base.columns
-
-    def code(c):
-        return checked.filter(F.col("reason_code") == c).select(*cols)
-
-    assert _rows(dups) == _rows(code("duplicate"))
-    assert _rows(nulls) == _rows(code("null"))
-    assert _rows(alpha) == _rows(code("alpha"))
-    assert _rows(num) == _rows(code("number"))
-    assert _rows(pep) == _rows(code("pep"))
-    assert _rows(sanctioned) == _rows(code("sanctioned"))
-    assert _rows(neg) == _rows(code("negative_income"))
-    assert _rows(final) == _rows(checked.filter(F.col("reason_code").isNull()).select(*cols))
+    raw, listed = fx.raw_customers(spark, SF001), fx.raw_sanctioned(spark, SF001)
+    base = ingest.normalize_customers(raw)
+    names = [r["COUNTRY"] for r in ingest.sanctioned_list(listed).collect()]
+    left = flag_first_per_key(base, ["CUSTOMER_ID"], ingest.FIRST).withColumn(
+        "_sanctioned", F.coalesce(F.col("COUNTRY").isin(names), F.lit(False)))
+    checked = ingest.check_customers(raw, listed, SETTINGS).cache()
+    for rule in ingest.customer_rules(SETTINGS):
+        hit = left.filter(rule.rejects)
+        left = materialize(left.exceptAll(hit), "t-left")
+        assert _rows(hit.select(*base.columns)) == _rows(
+            checked.filter(F.col("reason_code") == rule.code).select(*base.columns)), rule.code
+    assert _rows(left.select(*base.columns)) == _rows(checked.filter("reason_code IS NULL").select(*base.columns))
     checked.unpersist()

@@ -1,16 +1,19 @@
 """All steps in one session: tables, views, observed counts."""
 
+import os
+import re
 import uuid
 
 from conftest import SF0001
-from cardflow.plans import runner
-from cardflow.registry import SETTINGS
+from cardflow.plans import reports, runner, sinks, transform
+from cardflow.registry import AS_OF, SETTINGS
+from cardflow.session import materialize
 from cardflow.sources import csv, fixtures as fx
 
 
 def test_run_steps_tables_views_and_counts(spark):
     res = runner.run_steps(spark, runner.inputs_from_tables(spark, SF0001), SETTINGS,
-                           database=f"cardflow_t_{uuid.uuid4().hex[:8]}")
+                           database=f"cardflow_t_{uuid.uuid4().hex[:8]}", cache=True)
     assert res.counts == {"customer_stage": 92, "customer_rejects": 61, "account_stage": 155,
                           "account_rejects": 38, "transaction_stage": 174, "transaction_rejects": 1326,
                           "orphans": 88, "intermediate": 86}
@@ -19,11 +22,13 @@ def test_run_steps_tables_views_and_counts(spark):
     inter = spark.table(res.tables["intermediate"])
     assert inter.columns[-3:] == ["YEAR", "COUNTRY", "STATE"]          # partition columns move to the end
     assert spark.catalog.isCached(res.tables["intermediate"])
+    assert not any(t.isTemporary for t in spark.catalog.listTables(res.database))
     assert spark.table(res.views["geography_summary"]).count() == 20
     assert spark.table(res.views["emi_offers"]).count() == 31
     assert spark.table(res.views["credit_threshold"]).count() == 10
     assert spark.table(res.views["previous_transaction"]).count() == 86
-    spark.catalog.uncacheTable(res.tables["intermediate"])
+    sinks.drop_database(spark, res.database)
+    assert not spark.catalog.databaseExists(res.database)
 
 
 def test_run_steps_from_csv_files(spark):
@@ -41,4 +46,71 @@ def test_run_steps_from_csv_files(spark):
     res = runner.run_steps(spark, inputs, SETTINGS, database=f"cardflow_c_{uuid.uuid4().hex[:8]}")
     assert res.counts["customer_stage"] == 92
     assert res.counts["intermediate"] == 86
-    spark.catalog.uncacheTable(res.tables["intermediate"])
+    sinks.drop_database(spark, res.database)
+
+
+def _stage_file(spark, df, folder, name, date_format=None):
+    df.coalesce(1).write.option("header", True).options(**({"dateFormat": date_format} if date_format else {})).csv(
+        os.path.join(folder, name))
+
+
+def test_run_from_a_parameter_file(spark, tmp_path):
+    """One call goes from the file and the raw CSVs to each table at its configured path."""
+    inbox, out = tmp_path / "in", tmp_path / "out"
+    _stage_file(spark, fx.raw_customers(spark, SF0001), str(inbox), csv.CUSTOMER_FILE)
+    _stage_file(spark, fx.raw_sanctioned(spark, SF0001), str(inbox), csv.SANCTIONED_FILE)
+    _stage_file(spark, fx.raw_accounts(spark, SF0001), str(inbox), csv.ACCOUNT_FILE)
+    _stage_file(spark, fx.raw_transactions(spark, SF0001, year_shift=10), str(inbox), csv.TRANSACTION_FILE, "dd-MMM-yy")
+    db = f"cardflow_p_{uuid.uuid4().hex[:8]}"
+    lines = {"InputFilePath": inbox, "TempFilePath": out / "tmp", "OutputFilePath": out / "main",
+             "RejectFilePath": out / "rejects", "Inter_Table_Path": out / "inter", "TransactionOPPath": out / "txn",
+             "DatabaseName": db, "Cred_Notify_Threshold": 75}
+    config = tmp_path / "Config.csv"
+    config.write_text("Parameter,Value\n" + "".join(f"{k},{v}\n" for k, v in lines.items())
+                      + "Cred_Notify_Threshold,10\n")                    # the first value counts
+    res = runner.run_from_config(spark, str(config), root=str(out / "root"), as_of=AS_OF)
+    assert res.paths["transaction_stage"] == str(out / "txn")
+    assert res.paths["customer_rejects"] == str(out / "rejects" / "customer_rejects")
+    for name, rows in {"customer_stage": 92, "customer_rejects": 61, "account_stage": 155, "account_rejects": 38,
+                       "transaction_stage": 174, "transaction_rejects": 1326, "orphans": 88, "intermediate": 86}.items():
+        assert spark.read.parquet(res.paths[name]).count() == rows == res.counts[name]
+    assert spark.table(res.views["credit_threshold"]).count() == 10
+    sinks.drop_database(spark, db)
+
+
+def test_views_follow_the_intermediate_table(spark, tmp_path):
+    db = f"cardflow_v_{uuid.uuid4().hex[:8]}"
+    res = runner.run_steps(spark, runner.inputs_from_tables(spark, SF0001), SETTINGS, database=db)
+    before = {n: spark.table(v).count() for n, v in res.views.items()}
+    half = materialize(res.files(spark, "intermediate").orderBy("Cust_Id", "Card_Num").limit(50), "t-half")
+    sinks.write_intermediate(half, db, res.paths["intermediate"], 4)
+    after = {n: spark.table(v).count() for n, v in res.views.items()}
+    assert before["previous_transaction"] == 86 and after["previous_transaction"] == 50
+    assert all(after[n] < before[n] for n in before)
+    sinks.drop_database(spark, db)
+
+
+def test_buckets_bind_no_plan_of_the_run(spark):
+    """With broadcasts off and 32 shuffle partitions, neither the joins over the stage
+    tables nor a report over the intermediate run in as many tasks as a table has buckets."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    db = f"cardflow_b_{uuid.uuid4().hex[:8]}"
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        res = runner.run_steps(spark, runner.inputs_from_tables(spark, SF0001), SETTINGS, database=db)
+        joined = transform.enrich(*[res.files(spark, n) for n in ("transaction_stage", "account_stage", "customer_stage")])
+        totals = reports.card_totals(res.files(spark, "intermediate"))
+        frames = [joined, totals, *[spark.table(v) for v in res.views.values()]]
+        for df in frames:
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert not re.search(r"hashpartitioning\([^)]*, 4\)", plan)
+            assert "SelectedBucketsCount: 4 out of 4" not in plan.split("Initial Plan")[0] or "Exchange" not in plan
+        assert "hashpartitioning" in totals._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        sinks.drop_database(spark, db)

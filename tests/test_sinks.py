@@ -16,9 +16,9 @@ def _describe(spark, table):
 def test_customer_stage_layout(spark):
     root = scratch_path(spark, "t-sinks")
     db = f"cardflow_s_{uuid.uuid4().hex[:8]}"
-    sinks.create_database(spark, db, f"{root}/_db")
+    sinks.create_database(spark, db, f"{root}/it's a db")
     stage = QUERIES["customer_stage"](spark, SF0001)
-    t = sinks.write_customer_stage(stage, db, root, SETTINGS)
+    t = sinks.write_customer_stage(stage, db, f"{root}/it's here", sinks.sized_buckets(100, SETTINGS))
     d = _describe(spark, t)
     assert d["Num Buckets"] == "4"
     assert "CUSTOMER_ID" in d["Bucket Columns"] and "CUSTOMER_ID" in d["Sort Columns"]
@@ -33,6 +33,13 @@ def test_reject_table_partitioned_by_code(spark):
     root = scratch_path(spark, "t-sinks")
     db = f"cardflow_r_{uuid.uuid4().hex[:8]}"
     sinks.create_database(spark, db, f"{root}/_db")
-    t = sinks.write_rejects(QUERIES["customer_rejects"](spark, SF0001), db, root, "customer_rejects")
+    t = sinks.write_rejects(QUERIES["customer_rejects"](spark, SF0001), db, f"{root}/rejects", "customer_rejects")
     codes = {r["partition"].split("=")[1] for r in spark.sql(f"SHOW PARTITIONS {t}").collect()}
     assert codes == {"duplicate", "null", "alpha", "number", "pep", "sanctioned", "negative_income"}
+
+
+def test_buckets_follow_the_rows():
+    from cardflow.config import Settings
+    assert sinks.sized_buckets(1000, Settings()) == 4
+    assert sinks.sized_buckets(10 ** 9, Settings()) == 500
+    assert sinks.sized_buckets(10 ** 9, Settings(buckets=7)) == 7
