@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardflow.llm.bpe import texts
@@ -36,7 +36,7 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 # Wider forms: an address spelled out or in brackets, numbers without the leading plus.
 SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[({](?:at|AT|@)[\])}] ?[A-Za-z0-9-]{1,63}"
                      r"(?:(?:\.| ?[\[({](?:dot|DOT|\.)[\])}] ?)[A-Za-z0-9-]{1,63}){1,4}")
-LOOSE_PHONE = re.compile(r"(?<![0-9+().-])(?<![0-9)] )(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-.][0-9]{4}(?![0-9.-])")
+LOOSE_PHONE = re.compile(r"(?<![0-9+().-])(?<![0-9)] )(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-.][0-9]{4}(?![0-9-]|\.[0-9])")
 GROUPED = re.compile(r"(?<![0-9])[0-9]{4}(?:[./ ]{1,2}[0-9]{4}){3}(?![0-9./])")
 SOLID = re.compile(r"(?<![0-9])[0-9]{13,19}(?![0-9])")
 FULL_PHONE = re.compile(r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])")
@@ -295,9 +295,10 @@ def digest(found: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans."""
     line = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
     base = F.filter("spans", lambda s: s["base"])
-    count = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
-             for k in KINDS]
-    return found.select("doc_id", *count,
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS),
                         F.sha2(F.concat_ws(",", F.transform(base, line)).cast("binary"), 256).alias("base_sha256"),
                         F.concat_ws(",", F.transform("spans", line)).alias("spans"))
 
