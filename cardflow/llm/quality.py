@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardflow.llm.bytewords import U, slices, word_hashes, words
-from cardflow.llm.common import seeded
+from cardflow.llm.common import seeded, unit
 
 BITS = 18
 STEMS = (4, 5)  # bytes of a word's start
@@ -141,9 +141,11 @@ def train(df: DataFrame, labels: DataFrame, most: int = 8000, seed: int = 11, id
     or a rating are left out; no rated row at all gives even odds for every text."""
     rated = (labels.select(F.col("doc_id").alias("_id"), grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
              .filter("_id IS NOT NULL AND grade IS NOT NULL"))
-    drawn = rated.orderBy(seeded(seed, "_id"), "_id", "grade").limit(most)  # at most `most` rows of two numbers
-    found = df.join(F.broadcast(drawn), F.col(id_col) == F.col("_id")).select(
-        F.col("grade").cast("long").alias("grade"), F.col(text_col).cast("string").alias("text"))
+    # first a cut by the hash, so that the final sort does not grow with the labels
+    h, n = seeded(seed, "_id"), rated.count()
+    drawn = rated.filter(unit(h) <= F.lit(3.0 * most / max(1, n))).orderBy(h, "_id", "grade").limit(most)
+    texts = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
+    found = texts.join(F.broadcast(drawn), "_id").select(F.col("grade").cast("long").alias("grade"), "text")
     rows = found.mapInArrow(feature_rows, "grade long, x array<bigint>").toPandas()
     return fit([np.asarray(x, dtype=np.int64) for x in rows["x"]], rows["grade"].to_numpy(dtype=np.int64), 3)
 
