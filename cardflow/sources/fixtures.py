@@ -82,10 +82,12 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_sanctioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sanctioned-country list: the region named AMERICA, listed twice."""
-    one = (table(spark, sf_dir, "region").filter(F.col("r_name") == SANCTIONED_REGION)
-           .select(F.col("r_name").alias("COUNTRY")))
-    return one.unionByName(one)
+    """Sanctioned-country list: a line for every customer of the region named
+    AMERICA, so the list repeats its one name and grows with the customers."""
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region").filter(F.col("r_name") == SANCTIONED_REGION), F.col("n_regionkey") == F.col("r_regionkey"))
+    return table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("r_name").alias("COUNTRY"))
 
 
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,9 +97,8 @@ SELECT
   CASE WHEN k % 11 = 2 THEN 'false' ELSE 'true' END AS CUST_PEP_EXPOSED,
   CAST(c_acctbal * 400 AS DOUBLE) AS ANNUAL_INCOME
 FROM cust_rows""")
-cte("raw_sanctioned", [], """
-SELECT r_name AS COUNTRY FROM region WHERE r_name = 'AMERICA'
-UNION ALL SELECT r_name AS COUNTRY FROM region WHERE r_name = 'AMERICA'""")
+cte("raw_sanctioned", ["geo"], """
+SELECT g.r_name AS COUNTRY FROM customer c JOIN geo g ON c.c_nationkey = g.n_nationkey WHERE g.r_name = 'AMERICA'""")
 cte("acct_base", [], """
 SELECT c_custkey AS k, FALSE AS second FROM customer
 UNION ALL SELECT c_custkey AS k, TRUE AS second FROM customer WHERE c_custkey % 4 = 0""")
