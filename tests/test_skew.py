@@ -2,13 +2,19 @@
 and the dedup and lag operators keep the hot key off a single task."""
 
 import datetime as dt
+import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
-from cardflow.plans import transform
+from cardflow.plans import sinks, transform
+from cardflow.session import scratch_path
 
 
-def test_hot_customer_join_is_split(spark):
+@pytest.mark.parametrize("written", [False, True])
+def test_hot_customer_join_is_split(spark, written):
+    """Also when the customers come from their bucketed stage table, read as the
+    run's own steps read it."""
     n = 60000
     d = dt.date(2020, 1, 1)
     # 2/3 of the transactions belong to customer 0 (one account per transaction).
@@ -38,6 +44,11 @@ def test_hot_customer_join_is_split(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
+        if written:
+            root, db = scratch_path(spark, "t-skew"), f"cardflow_h_{uuid.uuid4().hex[:8]}"
+            sinks.create_database(spark, db, f"{root}/_db")
+            t = sinks.write_customer_stage(cust, db, f"{root}/customer_stage", 4)
+            cust = sinks.read_files(spark, t, f"{root}/customer_stage")
         joined = transform.join_customers(transform.join_accounts(txn, acct), cust)
         assert len(joined.collect()) == n   # runs this plan, so the adaptive plan is final
         plan = joined._jdf.queryExecution().executedPlan().toString()
