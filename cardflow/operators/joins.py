@@ -14,6 +14,6 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
     do not count) hold at most `max_bytes` of text, else `df` unchanged: the
     optimizer then chooses, and AQE splits a hot join partition.  The check
     sums the bytes where the rows are and returns one number."""
-    size = df.agg(F.sum(sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns),
-                            F.lit(0)))).first()[0] or 0
+    row = sum((F.coalesce(F.octet_length(F.to_json(F.struct(F.col(c)))), F.lit(0)) + 8 for c in df.columns), F.lit(0))
+    size = df.agg(F.sum(row)).first()[0] or 0
     return F.broadcast(df) if size <= max_bytes else df

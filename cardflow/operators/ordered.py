@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardflow.operators.joins import broadcast_if_small
 from cardflow.session import materialize
 
 #: Rows that a range aims at.
@@ -56,7 +57,7 @@ def lag_by_range(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     fix = (bounds.withColumn("_prev", prev)
            .filter(F.col("_prev").isNotNull() & F.col("_prev.p").eqNullSafe(F.col("_first")))
            .select("_pid", "_first", F.col("_prev.v").alias("_fix"), F.lit(True).alias("_has_fix")))
-    # At most one row per range of ROWS_PER_RANGE rows; the planner chooses the join.
-    joined = local.join(fix, on="_pid", how="left")
+    # At most one row per range of ROWS_PER_RANGE rows; broadcast behind a check of its bytes.
+    joined = local.join(broadcast_if_small(materialize(fix, "lag-fix")), on="_pid", how="left")
     head = (F.col("_rn") == 1) & F.coalesce(F.col("_has_fix"), F.lit(False)) & group.eqNullSafe(F.col("_first"))
     return joined.select(*df.columns, F.when(head, F.col("_fix")).otherwise(F.col(out)).alias(out))
