@@ -41,8 +41,7 @@ def main() -> None:
         out.append(run(QUERIES[name](spark, sf_dir)))
     res = runner.run_steps(spark, runner.inputs_from_tables(spark, sf_dir), SETTINGS,
                            database=f"cardflow_plans_{uuid.uuid4().hex[:6]}")
-    spark.catalog.uncacheTable(res.tables["intermediate"])
-    inter = spark.table(res.tables["intermediate"])
+    inter = res.files(spark, "intermediate")
     from cardflow.plans import reports
     out.append("## EMI offers over the written intermediate table (pushdown and pruning)\n")
     out.append(run(reports.emi_offers(inter, SETTINGS).filter(F.col("COUNTRY") == "ASIA")))
