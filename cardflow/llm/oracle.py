@@ -87,3 +87,63 @@ FROM z"""
 
 
 ORACLE["op4_merkle"] = _merkle()
+
+
+def _seeded(seed: int, *parts: str) -> str:
+    text = " || ':' || ".join([f"'{seed}'", *[f"coalesce(({p})::VARCHAR, '')" for p in parts]])
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
+
+def _shards(shards: int = 24, seed: int = 20240101) -> str:
+    crc_bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"""
+WITH tbl AS (SELECT list(c ORDER BY n) AS tbl FROM (
+  SELECT n, list_reduce([n] || range(8), lambda c, i: {crc_bit}) AS c FROM range(256) AS r(n))),
+d AS (SELECT doc_id, coalesce(source, chr(0) || 'null') AS stratum, source, {_seeded(seed, 'doc_id')} AS h,
+             strlen(coalesce(text, '')) + 8 AS size,
+             [4294967295] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                                            lambda x: ('0x' || x)::BIGINT) AS b FROM documents),
+c AS (SELECT * EXCLUDE (b, tbl),
+             xor(list_reduce(b, lambda c, x: xor(tbl[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) AS text_crc32 FROM d, tbl),
+s AS (SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY h, doc_id, text_crc32, size) - 0.5::DOUBLE)
+                / count(*) OVER (PARTITION BY stratum) AS share, count(*) OVER () AS n FROM c),
+p AS (SELECT *, row_number() OVER (ORDER BY share, stratum, h, doc_id, text_crc32, size) - 1 AS p FROM s)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (p * {shards} // n)::INT AS shard,
+       p - (p * {shards} // n * n + {shards - 1}) // {shards} AS slot, NULL::INT AS grown_shard, source FROM p"""
+
+
+ORACLE["op5_sharding"] = _shards()
+
+
+def _packing(buckets: int = 12, budget: int = 32768, seed: int = 7) -> str:
+    """The histogram has at least `buckets` cells; layer k is the least padding with k buckets."""
+    from cardflow.llm.packing import FINE
+    bits = FINE.bit_length() - 1
+    layers = ["l0 AS (SELECT 0 AS j, 0::HUGEINT AS cost, 0 AS i)"]
+    for k in range(1, buckets + 1):
+        layers.append(f"""l{k} AS (SELECT j, min(cost) AS cost, max(i) FILTER (WHERE cost = least) AS i FROM (
+  SELECT h.j, l.j AS i, l.cost + h.c * (h.run - coalesce(b.run, 0))::HUGEINT AS cost,
+         min(l.cost + h.c * (h.run - coalesce(b.run, 0))::HUGEINT) OVER (PARTITION BY h.j) AS least
+  FROM h JOIN l{k - 1} l ON l.j < h.j LEFT JOIN h b ON b.j = l.j) GROUP BY j)""")
+    path = [f"t{buckets} AS (SELECT max(j) AS j FROM h)"]
+    path += [f"t{k - 1} AS (SELECT l{k}.i AS j FROM l{k} JOIN t{k} USING (j))" for k in range(buckets, 1, -1)]
+    edges = " UNION ALL ".join(f"SELECT c FROM h JOIN t{k} USING (j)" for k in range(1, buckets + 1))
+    return f"""
+WITH n AS (SELECT doc_id, len(list_filter(string_split_regex(coalesce(text, ''), '[\\x09-\\x0D\\x20]+'),
+                                          lambda x: x <> '')) AS n FROM documents),
+cells AS (SELECT CASE WHEN n <= {FINE} THEN n ELSE (ceil(n / pow(2, floor(log2(n)) - {bits}))
+                                                    * pow(2, floor(log2(n)) - {bits}))::BIGINT END AS c FROM n),
+h AS (SELECT row_number() OVER (ORDER BY c) AS j, c, sum(k) OVER (ORDER BY c) AS run
+      FROM (SELECT c, count(*) AS k FROM cells GROUP BY c)),
+{', '.join(layers)},
+{', '.join(path)},
+e AS ({edges}),
+b AS (SELECT doc_id, n, (SELECT count(*) FROM e WHERE e.c < n.n)::INT AS bucket,
+             (SELECT min(c) FROM e WHERE e.c >= n.n) AS len, {_seeded(seed, 'doc_id', 'n')} AS h FROM n),
+r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY h, doc_id, n) - 1 AS r,
+             greatest(1, {budget} // greatest(len, 1)) AS room FROM b)
+SELECT doc_id, n AS n_tokens, bucket, len AS bucket_len, r // room AS batch, (r % room)::INT AS slot,
+       len - n AS padding FROM r"""
+
+
+ORACLE["op1_packing"] = _packing()
