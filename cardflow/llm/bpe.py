@@ -26,8 +26,28 @@ from pyspark.sql import functions as F
 WS = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 PRETOKEN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WS}\p{{L}}\p{{N}}]+"
             rf"|[{WS}]+(?![^{WS}])|[{WS}]+")
-#: Encoded pieces and compatible pairs that a worker remembers; then it starts anew.
-MEMO = 300_000
+#: Entries of one generation of a worker's memory; a full one becomes the old one.
+MEMO = 250_000
+
+
+class Memo:
+    """A bounded memory of two generations: what is used again outlives a turn."""
+
+    def __init__(self) -> None:
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        """Value of a key that is not in `new`, or None."""
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= MEMO:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
 
 
 def byte_symbols() -> dict[str, int]:
@@ -66,8 +86,8 @@ class Bpe:
         self.coarse = re.compile(rf" ?[^{WS}]+|[{WS}]+(?![^{WS}])|[{WS}]+").findall
         self.fine = regex.compile(PRETOKEN).findall
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split if self.special else None
-        self.pieces: dict[str, bytes] = {}
-        self.pairs: dict[int, bool] = {}
+        self.pieces, self.words, self.pairs = Memo(), Memo(), Memo()
+        self.packed = [i.to_bytes(4, "little") for i in range(len(self.bytes))]
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether BPE keeps the two apart.  Walks back in time over the symbols that
@@ -87,38 +107,51 @@ class Bpe:
             else:
                 right, end_right = b[0], b[2]
 
-    def pretoken(self, raw: bytes) -> list[int]:
+    def pretoken(self, word: str) -> bytes:
         """Ids of one pretoken by the table of last tokens."""
-        last, start = [0] * len(raw), [-1] * len(raw)
-        pairs, done = self.pairs, -1
+        ids = self.words.new.get(word) or self.words.get(word)
+        if ids is not None:
+            return ids
+        raw = word.encode()
+        last, before, done = [0] * (len(raw) + 1), [-1] * (len(raw) + 1), 0  # by prefix length
+        pairs = self.pairs.new
         for end, (size, token) in self.find.iter(raw.decode("latin-1")):  # per end, the longest first
+            end += 1
             if end == done:
                 continue
-            before = end - size
-            if before >= 0:
-                if start[before] == -1:
+            start = end - size
+            if start:
+                if before[start] < 0:
                     continue
-                key = last[before] << 20 | token
-                ok = pairs.get(key)
-                if ok is None:
-                    if len(pairs) >= MEMO:
-                        pairs.clear()
-                    ok = pairs[key] = self.compatible(last[before], token)
-                if not ok:
+                key = last[start] << 20 | token
+                fits = pairs.get(key)
+                if fits is None:
+                    fits = self.pairs.get(key)
+                    if fits is None:
+                        fits = self.compatible(last[start], token)
+                        self.pairs.put(key, fits)
+                    pairs = self.pairs.new
+                if not fits:
                     continue
-            last[end], start[end], done = token, before + 1, end
-        ids, end = [], len(raw) - 1
-        while end >= 0:
-            if start[end] == -1:
+            last[end] = token
+            before[end] = start
+            done = end
+        end, ids = len(raw), []
+        while end > 0:
+            if before[end] < 0:
                 raise ValueError("the vocabulary cannot spell the text")
-            ids.append(last[end])
-            end = start[end] - 1
-        return ids[::-1]
+            ids.append(self.packed[last[end]])
+            end = before[end]
+        ids.reverse()
+        out = b"".join(ids)
+        if len(raw) <= 64:
+            self.words.put(word, out)
+        return out
 
     def piece(self, text: str) -> bytes:
-        words = [text] if text.lstrip(" ").isalpha() and text.count(" ") <= 1 else self.fine(text)
-        ids = [i for w in words for i in self.pretoken(w.encode())]
-        return np.array(ids, dtype="<u4").tobytes()
+        if text.isalpha() or text[0] == " " and text[1:].isalpha():
+            return self.pretoken(text)
+        return b"".join([self.pretoken(w) for w in self.fine(text)])
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit numbers."""
@@ -127,15 +160,16 @@ class Bpe:
             if part in self.special:
                 out.append(self.special[part].to_bytes(4, "little"))
                 continue
-            known = self.pieces
+            known = self.pieces.new
             for chunk in self.coarse(part):
                 ids = known.get(chunk)
                 if ids is None:
-                    ids = self.piece(chunk)
-                    if len(known) >= MEMO:
-                        known.clear()
-                    if len(chunk) <= 64:
-                        known[chunk] = ids
+                    ids = self.pieces.get(chunk)
+                    if ids is None:
+                        ids = self.piece(chunk)
+                        if len(chunk) <= 64:
+                            self.pieces.put(chunk, ids)
+                    known = self.pieces.new
                 out.append(ids)
         return b"".join(out)
 
