@@ -123,8 +123,9 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
         _counted(transform.orphans(joined), "orphans", obs), db, at["orphans"], "orphan_rejects")
     inter = transform.within_limit(transform.metrics(transform.valid_joined(joined), s)).select(
         *transform.intermediate_columns(s))
+    inter = materialize(_counted(inter, "intermediate", obs), "intermediate")
     res.tables["intermediate"], _ = sinks.write_intermediate(
-        _counted(inter, "intermediate", obs), db, at["intermediate"], sinks.sized_buckets(joined.count(), s))
+        inter, db, at["intermediate"], sinks.sized_buckets(inter.count(), s))
 
     # Step 5: the report views.
     if cache:

@@ -98,11 +98,11 @@ def write_transaction_stage(df: DataFrame, db: str, path: str) -> str:
 def write_intermediate(df: DataFrame, db: str, path: str, buckets: int) -> tuple[str, str]:
     """The intermediate table and, beside it, the table of card totals with their
     predecessors, which a view cannot compute by range.  Both are written here,
-    so one does not change without the other."""
-    spark, t, p = df.sparkSession, f"{quoted(db)}.card_intermediate", f"{quoted(db)}.card_previous"
+    so one does not change without the other.  `df` is a written frame: it is read
+    for each of the two (the table's own files are many and small)."""
+    t, p = f"{quoted(db)}.card_intermediate", f"{quoted(db)}.card_previous"
     save_table(df, t, path, ["YEAR", "COUNTRY", "STATE"], "Cust_Id", buckets)
-    previous = reports.previous_transaction(read_files(spark, t, path))
-    save_table(previous, p, f"{path.rstrip('/')}_previous")
+    save_table(reports.previous_transaction(df), p, f"{path.rstrip('/')}_previous")
     return t, p
 
 
