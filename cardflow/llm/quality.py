@@ -83,15 +83,15 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, min_rows: int =
     weights, cuts = np.zeros(WIDTH), np.arange(levels - 1, dtype=float) - (levels - 2) / 2
     if len(rows) == 0:
         return Ordinal(weights, cuts)
-    flat = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    seen = np.bincount(flat, minlength=WIDTH)
-    apart = np.bincount(flat, (grades - grades.mean())[row], WIDTH) / (grades.std() + 1e-9)
-    used = np.flatnonzero((seen >= min_rows) & (np.abs(apart) >= least_z * np.sqrt(seen)))
+    seen, apart, offset = np.zeros(WIDTH, np.int64), np.zeros(WIDTH), grades - grades.mean()
+    for r, d in zip(rows, offset):  # a row has a feature once
+        seen[r] += 1
+        apart[r] += d
+    used = np.flatnonzero((seen >= min_rows) & (np.abs(apart) >= least_z * (grades.std() + 1e-9) * np.sqrt(seen)))
     place = np.full(WIDTH, -1)
     place[used] = np.arange(len(used))
-    col = place[flat]
-    row, col = row[col >= 0], col[col >= 0]
+    kept = [c[c >= 0] for c in (place[r] for r in rows)]
+    row, col = np.repeat(np.arange(len(rows)), [len(c) for c in kept]), np.concatenate(kept)
     w = np.zeros(len(used))
     base, steps = cuts[0], np.full(levels - 2, 0.0)  # thresholds: base, then + exp(step) each
     params = [w, np.array([base]), steps]
@@ -124,7 +124,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, min_rows: int =
 
 def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = pa.array(list(features(batch.column(1))), pa.list_(pa.int64()))
+        rows = pa.array([x.astype(np.int32) for x in features(batch.column(1))], pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([batch.column(0), rows], names=["grade", "x"])
 
 
@@ -146,8 +146,9 @@ def train(df: DataFrame, labels: DataFrame, most: int = 8000, seed: int = 11, id
     drawn = rated.filter(unit(h) <= F.lit(3.0 * most / max(1, n))).orderBy(h, "_id", "grade").limit(most)
     texts = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
     found = texts.join(F.broadcast(drawn), "_id").select(F.col("grade").cast("long").alias("grade"), "text")
-    rows = found.mapInArrow(feature_rows, "grade long, x array<bigint>").toPandas()
-    return fit([np.asarray(x, dtype=np.int64) for x in rows["x"]], rows["grade"].to_numpy(dtype=np.int64), 3)
+    table = found.mapInArrow(feature_rows, "grade long, x array<int>").toArrow()
+    rows = [x.values.to_numpy() for chunk in table["x"].chunks for x in chunk]
+    return fit(rows, table["grade"].to_numpy().astype(np.int64), 3)
 
 
 def score(df: DataFrame, model: Ordinal, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
