@@ -8,8 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# The names of the parameter file that are read.
+# Names of the parameter file that are read: the names of the raw files, which the
+# reference has in its code, then the reference's own (fixed values).
 PARAMETERS = (
+    "CustomerFile", "AccountFile", "TransactionFile", "SanctionedFile",
     "InputFilePath", "TempFilePath", "OutputFilePath", "RejectFilePath", "TransactionOPPath", "Inter_Table_Path",
     "DatabaseName", "Annual_Income_Limit1", "Annual_Income_Limit2", "Annual_Income_Limit3", "Annual_Income_Score1",
     "Annual_Income_Score2", "Annual_Income_Score3", "Annual_Income_Score4", "Credit_Limit_Multiplier",
@@ -27,6 +29,11 @@ class Settings:
     emi_percentages: tuple[tuple[int, float], ...] = ((3, 9), (6, 11), (9, 13))
     notify_threshold: float = 75
 
+    # Names of the raw files in the input folder.
+    customer_file: str = "customers.csv"
+    account_file: str = "accounts.csv"
+    transaction_file: str = "transactions.csv"
+    sanctioned_file: str = "sanctioned.csv"
     database: str = "cardflow"
     input_path: str | None = None
     temp_path: str | None = None
@@ -60,6 +67,10 @@ class Settings:
             credit_limit_multiplier=num("Credit_Limit_Multiplier", d.credit_limit_multiplier),
             emi_percentages=tuple((n, num(f"Month_EMI_Percentage_{n}", p)) for n, p in d.emi_percentages),
             notify_threshold=num("Cred_Notify_Threshold", d.notify_threshold),
+            customer_file=pairs.get("CustomerFile", d.customer_file),
+            account_file=pairs.get("AccountFile", d.account_file),
+            transaction_file=pairs.get("TransactionFile", d.transaction_file),
+            sanctioned_file=pairs.get("SanctionedFile", d.sanctioned_file),
             database=pairs.get("DatabaseName", d.database),
             input_path=pairs.get("InputFilePath"),
             temp_path=pairs.get("TempFilePath"),

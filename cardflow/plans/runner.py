@@ -39,10 +39,10 @@ def inputs_from_files(spark: SparkSession, s: Settings) -> RawInputs:
     if not s.input_path:
         raise ValueError("the settings name no input folder (InputFilePath)")
     at = s.input_path.rstrip("/")
-    return RawInputs(csv.read_customers(spark, f"{at}/{csv.CUSTOMER_FILE}"),
-                     csv.read_sanctioned(spark, f"{at}/{csv.SANCTIONED_FILE}"),
-                     csv.read_accounts(spark, f"{at}/{csv.ACCOUNT_FILE}"),
-                     csv.read_transactions(spark, f"{at}/{csv.TRANSACTION_FILE}"))
+    return RawInputs(csv.read_customers(spark, f"{at}/{s.customer_file}"),
+                     csv.read_sanctioned(spark, f"{at}/{s.sanctioned_file}"),
+                     csv.read_accounts(spark, f"{at}/{s.account_file}"),
+                     csv.read_transactions(spark, f"{at}/{s.transaction_file}"))
 
 
 def table_paths(s: Settings, root: str) -> dict[str, str]:

@@ -25,11 +25,6 @@ ACCOUNT_TYPED_DDL = ("cust_id long, Account_num long, card_num long, acct_open_d
 TRANSACTION_DDL = ("Cust_Id long, Account_Num long, Card_Num long, Transaction_Dt date, Transaction_Amount double, "
                    "Transaction_Purpose string, Transaction_Place string, Opt_EMI string")
 CORRUPT = "_corrupt_record"
-# Names of the raw files in the input folder.
-CUSTOMER_FILE = "Banking4_CustomerDetails_20230912.csv"
-ACCOUNT_FILE = "CUST_ACCT_DTL_Sample.csv"
-TRANSACTION_FILE = "TRAN_DTL_STG_SampleFile.csv"
-SANCTIONED_FILE = "Sanctioned_Countries.csv"
 
 
 def _reader(spark: SparkSession, ddl: str | None, mode: str = "PERMISSIVE", date_format: str | None = None):

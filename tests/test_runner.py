@@ -57,14 +57,14 @@ def _stage_file(spark, df, folder, name, date_format=None):
 def test_run_from_a_parameter_file(spark, tmp_path):
     """One call goes from the file and the raw CSVs to each table at its configured path."""
     inbox, out = tmp_path / "in", tmp_path / "out"
-    _stage_file(spark, fx.raw_customers(spark, SF0001), str(inbox), csv.CUSTOMER_FILE)
-    _stage_file(spark, fx.raw_sanctioned(spark, SF0001), str(inbox), csv.SANCTIONED_FILE)
-    _stage_file(spark, fx.raw_accounts(spark, SF0001), str(inbox), csv.ACCOUNT_FILE)
-    _stage_file(spark, fx.raw_transactions(spark, SF0001, year_shift=10), str(inbox), csv.TRANSACTION_FILE, "dd-MMM-yy")
+    _stage_file(spark, fx.raw_customers(spark, SF0001), str(inbox), "people.csv")
+    _stage_file(spark, fx.raw_sanctioned(spark, SF0001), str(inbox), "sanctioned.csv")
+    _stage_file(spark, fx.raw_accounts(spark, SF0001), str(inbox), "accounts.csv")
+    _stage_file(spark, fx.raw_transactions(spark, SF0001, year_shift=10), str(inbox), "transactions.csv", "dd-MMM-yy")
     db = f"cardflow_p_{uuid.uuid4().hex[:8]}"
     lines = {"InputFilePath": inbox, "TempFilePath": out / "tmp", "OutputFilePath": out / "main",
              "RejectFilePath": out / "rejects", "Inter_Table_Path": out / "inter", "TransactionOPPath": out / "txn",
-             "DatabaseName": db, "Cred_Notify_Threshold": 75}
+             "CustomerFile": "people.csv", "DatabaseName": db, "Cred_Notify_Threshold": 75}
     config = tmp_path / "Config.csv"
     config.write_text("Parameter,Value\n" + "".join(f"{k},{v}\n" for k, v in lines.items())
                       + "Cred_Notify_Threshold,10\n")                    # the first value counts
