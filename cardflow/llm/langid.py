@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardflow.llm.bytewords import slices
-from cardflow.llm.common import seeded
+from cardflow.llm.common import saved, seeded, unit
+from cardflow.operators.joins import broadcast_if_small
 
 STEPS = 64  # bytes of a window
 HIDDEN = 8
@@ -192,7 +193,10 @@ def train(df: DataFrame, per_language: int = 600, fragment: int = 512, seed: int
         F.col(lang_col).alias("lang"), F.col(id_col).alias("i"), h.alias("h"),
         text.substr((h % F.greatest(F.lit(1), F.length(text) - fragment + 1)).cast("int") + 1,
                     F.lit(fragment)).alias("part"))
-    best = Window.partitionBy("lang").orderBy("h", "i", "part")  # a limit per group: pruned before the shuffle
+    # first a cut by the hash, so that what reaches a language's task does not grow with the rows
+    sizes = saved(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang-sizes")
+    rows = rows.join(broadcast_if_small(sizes), "lang").filter(unit(F.col("h")) <= F.lit(3.0 * per_language) / F.col("n"))
+    best = Window.partitionBy("lang").orderBy("h", "i", "part")
     drawn = rows.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= per_language)
     got = sorted((r["lang"], r["h"], r["i"], r["part"]) for r in drawn.select("lang", "h", "i", "part").collect())
     return fit([r[3].encode() for r in got], [r[0] for r in got], seed=seed)
