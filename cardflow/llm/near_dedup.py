@@ -242,7 +242,16 @@ def near_groups(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_c
     cross = one.join(two, (one["key"] == two["key"]) & (one["a"] < two["b"]) & (one["a_c"] != two["b_c"])
                      & _alike("a", "b", percent, LONG))
     more = _verified(saved(cross.select("a", "b").distinct(), "near-cross-pairs"), docs, percent, "near-cross")
-    comp = connected(links.unionByName(more))
+    # the new links join whole components
+    label = comp.select(F.col("node"), "component")
+    ends = (more.join(label.withColumnRenamed("node", "a").withColumnRenamed("component", "ca"), "a", "left")
+            .join(label.withColumnRenamed("node", "b").withColumnRenamed("component", "cb"), "b", "left")
+            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    merged = connected(ends).select(F.col("node").alias("inner"), F.col("component").alias("outer"))
+    known = label.unionByName(more.select(F.explode(F.array("a", "b")).alias("node"))
+                              .join(label, "node", "left_anti").distinct().withColumn("component", F.col("node")))
+    comp = (known.join(merged, known["component"] == merged["inner"], "left")
+            .select("node", F.coalesce("outer", "component").alias("component")))
 
     found = (members.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
              .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
