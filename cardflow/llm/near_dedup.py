@@ -159,13 +159,19 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def _digest(bits: str, name: str, k: int) -> list[Column]:
+    """The longs of a digest as columns: a join compares them in compiled code, where
+    as many array accesses make its method too long to be compiled."""
+    return [F.get(bits, F.lit(i)).alias(f"{name}_{i}") for i in range(k * 2 // 64)]
+
+
 def _alike(a: str, b: str, percent: int, k: int) -> Column:
     """Sizes and the digests of k coordinates of both sides allow the wanted similarity."""
     na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
     size = F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
     odd = F.lit(0)
     for i in range(k * 2 // 64):
-        x = F.col(f"{a}_bits")[i].bitwiseXOR(F.col(f"{b}_bits")[i])
+        x = F.coalesce(f"{a}_{i}", F.lit(0)).bitwiseXOR(F.coalesce(f"{b}_{i}", F.lit(0)))
         odd = odd + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
     return size & (odd <= F.lit(k - agree_at_least(percent / 100, k)))
 
@@ -216,7 +222,7 @@ def near_groups(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_c
                  .join(shared.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "near-able")
 
     def side(name: str) -> DataFrame:
-        return able.select(F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("bits").alias(f"{name}_bits"))
+        return able.select(F.col("id").alias(name), F.col("n").alias(f"{name}_n"), *_digest("bits", name, K))
 
     star = (shared.select("id", F.explode(F.array("lo", "hi")).alias("hub")).filter(F.col("id") != F.col("hub"))
             .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
@@ -237,8 +243,8 @@ def near_groups(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_c
     long = saved(_texts(docs, ids).mapInArrow(long_rows, "id long, long_bits array<bigint>").dropDuplicates(["id"])
                  .join(able.select("id", "n"), "id"), "near-long")
     wide = rest.join(long, "id")
-    one, two = (wide.select("key", F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("long_bits").alias(f"{x}_bits"),
-                            F.col("component").alias(f"{x}_c")) for x in ("a", "b"))
+    one, two = (wide.select("key", F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("component").alias(f"{x}_c"),
+                            *_digest("long_bits", x, LONG)) for x in ("a", "b"))
     cross = one.join(two, (one["key"] == two["key"]) & (one["a"] < two["b"]) & (one["a_c"] != two["b_c"])
                      & _alike("a", "b", percent, LONG))
     more = _verified(saved(cross.select("a", "b").distinct(), "near-cross-pairs"), docs, percent, "near-cross")
