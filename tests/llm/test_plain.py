@@ -205,3 +205,25 @@ def test_ordinal_regression_orders_grades():
     assert np.mean((tails > 0.5).sum(axis=1) == grades) > 0.9
     empty = quality.fit([], np.zeros(0, int), 3)
     assert (empty.weights == 0).all()
+
+
+def test_toxic_words_of_each_language_are_learned_from_few_ratings():
+    rnd = random.Random(5)
+    vocab = {x: ["".join(rnd.choices("abdeilmnorstu", k=rnd.randint(3, 8))) for _ in range(500)] for x in ("en", "fr", "de", "es")}
+    toxic = {"en": "idiot", "fr": "crétin", "de": "trottel", "es": "imbécil"}
+    langs, grades, texts = [], [], []
+    for _ in range(800):
+        lang, bad = rnd.choice(sorted(vocab)), rnd.random() < 0.2
+        w = rnd.choices(vocab[lang], k=100) + [toxic[lang]] * bad
+        rnd.shuffle(w)
+        langs.append(lang)
+        grades.append(1 if bad else 2)
+        texts.append(" ".join(w) if rnd.random() < 0.9 else " ".join(w).upper() + "!!!")
+        grades[-1] = 0 if texts[-1].isupper() else grades[-1]
+    rows, grades, langs = list(quality.features(pa.array(texts))), np.array(grades), np.array(langs)
+    model = quality.fit(rows[:400], grades[:400], 3)
+    kept = model.tails(np.array([model.weights[r].sum() for r in rows]))[:, -1] >= 0.5
+    for lang in toxic:
+        here = (langs == lang) & (np.arange(800) >= 400)
+        assert np.mean(kept[here & (grades == 2)]) > 0.95
+        assert np.mean(~kept[here & (grades == 1)]) > 0.8
