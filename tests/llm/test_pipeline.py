@@ -6,7 +6,8 @@ from conftest import SF0001
 import corpus_pipeline as pipeline
 from cardflow.llm import packing, pii, quality
 from cardflow.llm.common import documents, saved
-from test_operators import components
+from odd import TEXTS, table
+from test_operators import components, sha
 from test_plain import plain_spans
 
 
@@ -46,3 +47,47 @@ def test_stages(spark):
     assert {r["doc_id"]: r["n_tokens"] for r in packed} == tokens
     lengths, counts = np.unique(list(tokens.values()), return_counts=True)
     assert {r["bucket_len"] for r in packed} == set(packing.best_edges(lengths, counts, 12))
+
+
+def test_stages_on_repeated_and_null_ids(spark):
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    near = [(200, long + " " + long[::-1], "en", "a"), (201, long + " " + long[::-1] + " end", "en", "a"),
+            (None, long + " " + long[::-1] + " End of it", "en", "a"), (None, "mail " * 3 + long[::-1] + long, "en", "b"),
+            (None, "mail " * 3 + long[::-1] + long + " x", "en", "b")]
+    rows = [*TEXTS, *TEXTS, (100, "A", "en", "a"), (101, "B", "en", "a"), (101, "A", "en", "a"), (101, "B", "en", "b"),
+            (None, "A", "fr", "c"), (None, "N", "en", "a"), (None, "N", "en", "a"), *near, near[1], near[4]]
+    docs = saved(table(spark, rows), "t-odd")
+    stages = dict(pipeline.STAGES)
+    labels = spark.read.parquet(f"{SF0001}/labels.parquet")
+    good = stages["quality"](spark, docs, SF0001)
+    assert good.count() == quality.score(docs, quality.train(docs, labels)).filter("kept").count()
+
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0)
+    once = saved(stages["exact dedup"](spark, docs, SF0001), "t-odd-exact")
+    first = {}
+    for r in sorted(docs.collect(), key=key):
+        first.setdefault(r["text"] or "", r["doc_id"])
+    got = once.collect()
+    assert once.columns == docs.columns and len(got) == len(first)       # one row of each text
+    assert {r["text"] or "": r["doc_id"] for r in got} == first
+    assert [r["source"] for r in got if r["text"] == "B"] == ["a"]
+
+    apart = saved(stages["near dedup"](spark, once, SF0001), "t-odd-near")
+    ordered = [(k, r["text"]) for k, r in enumerate(sorted(got, key=lambda r: (*key(r), sha(r["text"] or ""))))]
+    kept = {k for k, (_, c) in components([(k, t, None, None) for k, t in ordered], 80).items() if k == c}
+    assert apart.columns == docs.columns
+    assert sorted(r["text"] or "" for r in apart.collect()) == sorted(ordered[k][1] or "" for k in kept)
+    assert not {201} & {r["doc_id"] for r in apart.collect()} and len(kept) < len(got)
+
+    masked = saved(stages["personal data"](spark, apart, SF0001), "t-odd-masked")
+    assert masked.count() == len(kept)
+    assert stages["packing"](spark, masked, SF0001).count() == len(kept)
+
+
+def test_near_dedup_tells_rows_of_one_identifier_apart(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, text, None, None), (5, "quite another text with seven words", None, None), (9, text + " z", None, None),
+            (None, text + " y", None, None), (5, text + " x", None, None)]
+    got = pipeline.drop_near_copies(spark, table(spark, rows), SF0001).collect()
+    assert sorted(r["doc_id"] for r in got) == [5, 5]
+    assert len([r for r in got if r["text"].startswith("w0")]) == 1
