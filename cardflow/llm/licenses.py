@@ -1,7 +1,9 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
 A block is a line of a text (a line of more than WINDOW words gives overlapping
-windows).  A template matches a block if the block holds at least THRESHOLD of its
+windows) or an overlapping window over the words of the whole text, its lines joined,
+so that a template broken over line ends is found.  The latter are made where the words
+of the whole text hold enough of some template.  A template matches a block if the block holds at least THRESHOLD of its
 distinct words, which is a = ceil(THRESHOLD * size) words.  All words of templates are
 ordered by their frequency in the corpus, the rarest first; then
 
@@ -18,6 +20,8 @@ templates are a fixed list; their index is broadcast and does not grow with the
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,18 +93,26 @@ def scan_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     vocabulary = F.array(*[F.lit(w) for w in sorted({w for _, t in TEMPLATES for w in t.split()})])
     fewest = min(needed(t) for _, t in TEMPLATES)
 
-    def blocks(line: Column) -> Column:
-        all_words = F.split(line, " ")
+    def windows(all_words: Column) -> Column:
         n = F.size(all_words)
         return F.when(n <= WINDOW, F.array(all_words)).otherwise(
             F.transform(F.sequence(F.lit(0), n - 1, F.lit(STEP)), lambda i: F.slice(all_words, i + 1, F.lit(WINDOW))))
 
-    held = F.transform(F.flatten(F.transform("lines", blocks)), lambda b: F.array_intersect(b, vocabulary))
+    def held(blocks: Column) -> Column:
+        return F.transform(blocks, lambda b: F.array_intersect(b, vocabulary))
+
+    # a window over line ends holds no word that the lines do not hold
+    body = body.withColumn("held", held(F.flatten(F.transform("lines", lambda s: windows(F.split(s, " "))))))
+    body = body.withColumn("known", F.array_distinct(F.flatten("held")))
+    enough = [F.size(F.array_intersect("known", F.array(*[F.lit(w) for w in sorted(set(t.split()))]))) >= needed(t)
+              for _, t in TEMPLATES]
+    wrapped = (F.size("lines") > 1) & reduce(or_, enough)
+    body = body.withColumn("joined", F.when(wrapped, F.split(F.trim("body"), " ")).otherwise(F.array().cast("array<string>")))
     return body.withColumn("n_words", words).select(
         "doc_id", "key", "n_words", sum(counts[1:], counts[0]).cast("long").alias("n_base"),
         F.least(*firsts).cast("long").alias("first_word"), F.greatest(*lasts).cast("long").alias("last_word"),
         F.array_compact(F.array(*labels)).alias("base"),
-        F.filter(held, lambda b: F.size(b) >= fewest).alias("blocks"))
+        F.filter(F.concat("held", held(windows(F.col("joined")))), lambda b: F.size(b) >= fewest).alias("blocks"))
 
 
 def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

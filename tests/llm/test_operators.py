@@ -177,6 +177,20 @@ def test_licenses(spark):
     assert [got[i]["labels"] for i in (1, 2, 3)] == ["mit", "mit", ""]
 
 
+def test_licenses_broken_over_line_ends(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and so on"
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided"
+    mpl = ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy\n"
+           " * of it was not distributed */")
+    far = "permission is hereby granted free of charge\n" + "filler\n" * 100 + "to any person obtaining a copy of this software"
+    fill = "\n".join(["some words of a line that say nothing"] * 700)
+    rows = [(1, mit, None, None), (2, bsd, None, None), (3, mpl, None, None), (4, f"{fill}\n{mit}\n{bsd}\n\n{mpl}\n{fill}", None, None),
+            (5, far, None, None), (6, "\n".join("released under the mit license".split()), None, None)]
+    got = by_id(licenses.license_scan(table(spark, rows)))
+    assert [got[i]["labels"] for i in range(1, 7)] == ["mit", "bsd", "mpl-2.0", "bsd,mit,mpl-2.0", "", "mit"]
+    assert [got[i]["score"] for i in range(1, 7)] == [1.0, 1.0, 1.0, 1.0, 0.0, 1.0]
+
+
 def test_pii_digest(spark):
     got = by_id(pii.digest(pii.span_table(table(spark, TEXTS))))
     r = got[12]
