@@ -77,10 +77,11 @@ def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = NOT_SPACE
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word with A-Z folded to a-z."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """A 64-bit hash of each word, with A-Z folded to a-z where `fold` is set."""
     values = VALUES.copy()
-    values[0x41:0x5B] = VALUES[0x61:0x7B]
+    if fold:
+        values[0x41:0x5B] = VALUES[0x61:0x7B]
     run = np.zeros(len(data) + 1, dtype=U)
     np.cumsum(values[data] * powers(BASE, len(data)), out=run[1:], dtype=U)
     h = run[ends] - run[starts]
@@ -111,3 +112,33 @@ def shingle_sets(column: pa.Array, k: int = 5) -> Iterator[np.ndarray]:
                 yield mix(one + U(hi - lo))
             else:
                 yield np.zeros(0, dtype=U)
+
+
+def repeated_windows(h: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
+    """Per word hash in `h` (document d has h[first[d]:first[d + 1]]): whether the k-word
+    window that starts there lies in one document and occurs there more than once."""
+    found = np.zeros(len(h), bool)
+    n = len(h) - k + 1
+    if n < 2:
+        return found
+    step = U(0xD6E8FEB86659FD93)
+    s = np.zeros(n, dtype=U)
+    for i in range(k):
+        s *= step
+        s += h[i:i + n]
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    whole = np.flatnonzero(doc[:n] == doc[k - 1:])  # windows that end in the document they start in
+    s = mix(s[whole] ^ mix(doc[whole].astype(U) + U(1)))
+    order = np.argsort(s)
+    same = s[order[1:]] == s[order[:-1]]
+    found[whole[order[1:][same]]] = True
+    found[whole[order[:-1][same]]] = True
+    return found
+
+
+def covered(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray:
+    """Which of the places 0 .. n - 1 lie in one of the stretches [start, start + length)."""
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + lengths, -1)
+    return np.cumsum(change[:-1]) > 0

@@ -94,11 +94,15 @@ def _seeded(seed: int, *parts: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
 
 
+_CRC_BIT = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+#: The table of CRC-32, one list `tbl`.
+_CRC_TABLE = f"""tbl AS (SELECT list(c ORDER BY n) AS tbl FROM (
+  SELECT n, list_reduce([n] || range(8), lambda c, i: {_CRC_BIT}) AS c FROM range(256) AS r(n)))"""
+
+
 def _shards(shards: int = 24, seed: int = 20240101) -> str:
-    crc_bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
     return f"""
-WITH tbl AS (SELECT list(c ORDER BY n) AS tbl FROM (
-  SELECT n, list_reduce([n] || range(8), lambda c, i: {crc_bit}) AS c FROM range(256) AS r(n))),
+WITH {_CRC_TABLE},
 d AS (SELECT doc_id, coalesce(source, chr(0) || 'null') AS stratum, source, {_seeded(seed, 'doc_id')} AS h,
              strlen(coalesce(text, '')) + 8 AS size,
              [4294967295] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
@@ -147,3 +151,25 @@ SELECT doc_id, n AS n_tokens, bucket, len AS bucket_len, r // room AS batch, (r
 
 
 ORACLE["op1_packing"] = _packing()
+
+ORACLE["op12_prefix_trie"] = f"""
+WITH {_CRC_TABLE},
+own AS (SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+                                  ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS l
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+b AS (SELECT c, l, [4294967295] || list_transform(regexp_extract_all(hex(encode(c::VARCHAR)), '..'),
+                                                  lambda x: ('0x' || x)::BIGINT) AS b FROM own),
+h AS (SELECT c, l, xor(list_reduce(b, lambda c, x: xor(tbl[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 6 AS h FROM b, tbl),
+f AS (SELECT h.c, list_concat(coalesce(base.l, [])[1:h.h], h.l[h.h + 1:]) AS l
+      FROM h LEFT JOIN own base ON base.c = h.c - h.c % 100),
+m AS (SELECT c, l[1:d] AS p, d, len(l) = d AS e, CASE WHEN d = 0 THEN NULL ELSE l[1:d - 1] END AS up
+      FROM f, unnest(range(0, len(l) + 1)) AS r(d)),
+n AS (SELECT p, any_value(d) AS depth, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE e), '')) AS ends_sha256 FROM m GROUP BY p),
+k AS (SELECT up AS p, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+w AS (SELECT n.*, coalesce(n_children, 0) AS n_children,
+             CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(p[depth].t) END AS own FROM n LEFT JOIN k USING (p)),
+t AS (SELECT p[1:d] AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(own)::BIGINT AS saved_tokens
+      FROM w, unnest(range(0, depth + 1)) AS r(d) GROUP BY ALL)
+SELECT w.conv_id, w.depth, par.conv_id AS parent_conv_id, w.n_convs, w.n_children, t.n_leaves, t.saved_tokens, w.ends_sha256
+FROM w JOIN t USING (p) LEFT JOIN n par ON par.p = w.up"""

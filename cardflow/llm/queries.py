@@ -5,16 +5,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardflow.llm import bpe, exact_dedup, langid, licenses, merkle, near_dedup, packing, pii, quality, shards
+from cardflow.llm import (bpe, exact_dedup, fertility, langid, licenses, merkle, near_dedup, packing, pii, quality, runs,
+                          shards, trie)
 from cardflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def vocabulary(name: str) -> str:
+    """The path of a public tokenizer's file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -59,7 +65,7 @@ def op9_quality(spark, d):
 
 @query
 def op10_bpe(spark, d):
-    return bpe.bpe_round_trip(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return bpe.bpe_round_trip(documents(spark, d), vocabulary("byte_bpe_50k.json"), with_ids=False)
 
 
 @query
@@ -70,3 +76,20 @@ def op6_licenses(spark, d):
 @query
 def op4_merkle(spark, d):
     return merkle.fingerprints(documents(spark, d))
+
+
+@query
+def op11_fertility(spark, d):
+    import public_tokenizers
+    return fertility.quality_rules(documents(spark, d), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                                   vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op12_prefix_trie(spark, d):
+    return trie.prefix_trie(spark.read.parquet(f"{d}/conversations.parquet"))
+
+
+@query
+def op13_periodic_runs(spark, d):
+    return runs.digest(runs.periodic_runs(documents(spark, d), echo=True))

@@ -1,0 +1,263 @@
+"""Fertility rules, prefix trie and periodic runs, against brute force."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+from math import log2
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+import tiktoken
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import SF0001
+from cardflow.llm import fertility, runs, trie
+from cardflow.llm.common import documents
+from odd import LONG, TEXTS, table
+
+FILES = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
+WORD = re.compile("[^\x20\x09-\x0D]+")
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# fertility
+
+def plain_rules(text):
+    text = text or ""
+    ws = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    windows = [tuple(ws[i:i + 8]) for i in range(len(ws) - 7)]
+    often = Counter(windows)
+    inside = {j for i, w in enumerate(windows) if often[w] > 1 for j in range(i, i + 8)}
+    failed = len(ws) < 20 or 100 * len(inside) > 30 * len(ws)
+    return (len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", text)),
+            sum(x in lines[:i] for i, x in enumerate(lines)), len(inside), failed)
+
+
+REPEATS = "a b c d e f g h i j k a b c d e f g h i j k l m n a b c d e f g h # $ | <x> %&*"
+
+
+def test_rules_on_the_table_and_awkward_rows(spark):
+    more = [(50, REPEATS, "en", "a"), (51, "x\n\n y \nx\n y \n\t\nx", None, "a"), (52, "A b " * 30, "en", "a"),
+            (53, "one word\x1c  " * 9, "en", "a"), (54, "日本 語 " * 12, None, "a")]
+    for rows in ([r[:4] for r in documents(spark, SF0001).select("doc_id", "text", "lang", "source").collect()], TEXTS + more):
+        got = fertility.quality_rules(table(spark, rows), *FILES).collect()
+        want = sorted(((i, *plain_rules(t)) for i, t, _, _ in rows), key=repr)
+        assert sorted(((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"],
+                        r["base_failed"]) for r in got), key=repr) == want
+        assert all(r["kept"] == (not r["base_failed"] and r["rejected_by"] == "") for r in got)
+    by = {r["doc_id"]: r for r in got}
+    assert by[54]["lang"] == "[han]" and by[51]["lang"] == "[latin]" and by[4]["lang"] == "[none]"
+    assert by[4]["n_tokens"] == by[5]["n_tokens"] == 0
+
+
+def test_fertility_measures():
+    vocabularies = fertility.Vocabularies(open(FILES[0], "rb").read(), FILES[1], open(FILES[2], "rb").read())
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(FILES[0], "rb"))}
+    library = tiktoken.Encoding("x", pat_str=FILES[1], mergeable_ranks=ranks, special_tokens={})
+    pieces = sentencepiece.SentencePieceProcessor(model_file=FILES[2])
+    for text in ("The quick brown fox.", "naïve 日本語 \U0001f600 ñandú", "a", REPEATS):
+        ids, own = library.encode_ordinary(text), pieces.encode(text)
+        n, chars, back, entropy = vocabularies.measure(text)
+        assert n == len(ids) and chars == len(text) / n
+        assert back == sum(pieces.is_byte(i) for i in own) / len(own)
+        assert entropy == pytest.approx(-sum(k / n * log2(k / n) for k in Counter(ids).values()), abs=1e-9)
+    assert vocabularies.measure("") == (0, 0.0, 0.0, 0.0)
+    for text in (" " * 300_000, "\n" * 300_000, "x" * 300_000, LONG):  # a run of blanks is too much for the pattern at once
+        assert "".join(fertility.parts(text)) == text and max(map(len, fertility.parts(text))) <= fertility.PART
+        assert vocabularies.measure(text)[0] > 0
+
+
+def test_bands_learn_from_all_rows_and_reject_outliers(spark):
+    rnd = random.Random(4)
+    stem = ["the", "river", "of", "house", "green", "walks", "under", "old", "stone", "light", "with", "many", "small", "boats"]
+    usual = [(i, " ".join(rnd.choices(stem, k=60)), "en", "a") for i in range(80)]
+    usual += [(100 + i, " ".join(rnd.choices(stem, k=60)), None, "a") for i in range(40)]
+    odd = [(900, " ".join("".join(rnd.choices("qxzjvkw", k=6)) for _ in range(60)), "en", "a"),
+           (901, " ".join("".join(rnd.choices("ШЖЫЮЪЭ", k=3)) for _ in range(60)), "en", "a")]
+    rows = usual + odd
+    rules = fertility.quality_rules(table(spark, rows), *FILES, lang_col="lang")
+    got = {r["doc_id"]: r for r in rules.collect()}
+    assert {i for i, r in got.items() if not r["kept"]} == {900, 901}
+    measured = [r for i, r in got.items() if r["lang"] == "en"]
+    found = fertility.bands(spark.createDataFrame(
+        [(r["lang"], r["n_tokens"], r["chars_per_token"], r["fallback"], r["entropy"]) for r in measured],
+        "lang string, n_tokens long, chars_per_token double, fallback double, entropy double"), min_rows=5).collect()
+    whole = next(r for r in found if r["lang"] is None and r["class"] is None)
+    q = np.percentile([round(r["chars_per_token"] * 256) / 256 for r in measured], [25, 50, 75])
+    spread = max((q[2] - q[0]) / 1.349, 0.01 * q[1])
+    assert whole["chars_per_token_low"] == pytest.approx(q[1] - 8 * spread)
+    assert whole["chars_per_token_high"] == pytest.approx(q[1] + 8 * spread)
+
+
+# prefix trie
+
+def plain_trie(rows):
+    turns = {}
+    for c, t, r, x in rows:
+        if c is not None:
+            turns.setdefault(c, []).append((t is not None, t or 0, r or "", x or ""))
+    first = {c: [(r, x) for _, _, r, x in sorted(v)] for c, v in turns.items()}
+    whole = {}
+    for c, v in first.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = abs(c) // 100 * 100 * (1 if c >= 0 else -1)
+        whole[c] = first.get(base, [])[:h] + v[h:]
+    nodes = {}
+    for c, v in whole.items():
+        for d in range(len(v) + 1):
+            nodes.setdefault(tuple(v[:d]), []).append(c)
+    kids = Counter(k[:-1] for k in nodes if k)
+    leaves, saved = Counter(), Counter()
+    for k, m in nodes.items():
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += not kids[k]
+            saved[k[:d]] += (len(m) - 1) * len(k[-1][1]) if k else 0
+    return sorted(((min(m), len(k), min(nodes[k[:-1]]) if k else None, len(m), kids[k], leaves[k], saved[k],
+                    sha(",".join(str(c) for c in sorted(m) if len(whole[c]) == len(k)))) for k, m in nodes.items()), key=repr)
+
+
+TURNS = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.IntegerType()),
+                      T.StructField("role", T.StringType()), T.StructField("text", T.StringType()),
+                      *[T.StructField(c, T.StringType()) for c in ("conv", "part", "place", "id", "parent", "k1", "saved", "n")]])
+
+
+def trie_of(spark, rows):
+    df = spark.createDataFrame([(*r, *["x"] * 8) for r in rows], TURNS).repartition(5)
+    return sorted((tuple(r) for r in trie.prefix_trie(df).collect()), key=repr)
+
+
+def test_trie_awkward_rows(spark):
+    rows = [(c, t, "user" if t % 2 else "bot", f"turn {t} of {c % 3}") for c in (*range(100, 112), 200, 303, 304, -5, 1) for t in range(c % 7)]
+    rows += [(100, None, None, None), (100, None, "", ""), (101, 2, "a", "b"), (101, 2, "a", "b"), (102, 2, None, "é日\U0001f600"),
+             (None, 1, "user", "no conversation"), (None, None, None, None), (110, 1, "ab", "c"), (111, 1, "a", "bc"),
+             (305, 0, "user", LONG), (306, 0, "user", LONG + " more"), (307, 5, "user", "")]
+    rows += [(c, 0, "user", "hello") for c in range(400, 440)]
+    assert trie_of(spark, rows) == plain_trie(rows)
+
+
+def test_trie_of_one_long_conversation(spark):
+    rows = [(7, t, "user", f"w{t % 9}") for t in range(900)] + [(8, t, "user", f"w{t % 9}") for t in range(700)]
+    rows += [(c, 0, "user", f"start {c % 4}") for c in range(20, 60)]
+    assert trie_of(spark, rows) == plain_trie(rows)
+
+
+def test_trie_of_nothing(spark):
+    assert trie_of(spark, []) == []
+    assert trie_of(spark, [(None, 1, "user", "x")]) == []
+
+
+def test_ends_lists_longer_than_a_piece(spark, monkeypatch):
+    monkeypatch.setattr(trie, "CHUNK", 7)
+    df = spark.range(0, 1000, 3).select(F.lit(1).alias("k1"), F.lit(2).alias("k2"), F.col("id").alias("conv"))
+    df = df.unionByName(spark.range(5).select(F.lit(1).alias("k1"), F.lit(3).alias("k2"), (-F.col("id")).alias("conv")))
+    got = {(r[0], r[1]): r[2] for r in trie.ends_digests(df.withColumns({k: F.col(k).cast("long") for k in ("k1", "k2")})).collect()}
+    assert got == {(1, 2): sha(",".join(map(str, range(0, 1000, 3)))), (1, 3): sha("-4,-3,-2,-1,0")}
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "random", "one"])
+def test_tree_contraction(spark, shape):
+    rnd = random.Random(2)
+    n = 1 if shape == "one" else 300
+    up = [None] + [{"chain": i - 1, "star": 0, "random": rnd.randrange(max(0, i - 4), i)}.get(shape) for i in range(1, n)]
+    own = [rnd.randrange(10) for _ in range(n)]
+    want = list(own)
+    for i in range(n - 1, 0, -1):
+        want[up[i]] += want[i]
+    df = spark.createDataFrame([(str(i), None if p is None else str(p), own[i], 1) for i, p in enumerate(up)],
+                               "id string, parent string, w long, size long")
+    got = trie.subtree_totals(df).collect()
+    assert sorted((int(r["id"]), r["w"]) for r in got) == list(enumerate(want))
+    assert max(r["size"] for r in got) == n
+
+
+# periodic runs
+
+def plain_runs(s, least, times):
+    out = []
+    for p in range(1, len(s) // times + 1):
+        i = 0
+        while i + p < len(s):
+            j = i
+            while j + p < len(s) and s[j] == s[j + p]:
+                j += 1
+            w = s[i:j + p]
+            if len(w) >= max(least, times * p) and not any(w[q:] == w[:-q] for q in range(1, p)):
+                out.append((i, len(w), p))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def repetitive(rnd, n, k):
+    s = [rnd.randrange(1, k + 1) for _ in range(n)]
+    for _ in range(rnd.randrange(3)):
+        u = [rnd.randrange(1, k + 1) for _ in range(rnd.randrange(1, 13))]
+        a = rnd.randrange(len(s) + 1)
+        s[a:a] = (u * 30)[:rnd.randrange(10, 90)]
+    return s
+
+
+def test_runs_of_random_words():
+    rnd = random.Random(3)
+    for _ in range(1500):
+        s = repetitive(rnd, rnd.randrange(60), rnd.choice([1, 2, 3, 6]))
+        least, times = rnd.choice([(24, 3), (6, 3), (4, 2), (9, 3), (8, 4)])
+        assert [tuple(r) for r in runs.find_runs(s, least, times).tolist()] == plain_runs(s, least, times)
+
+
+def test_longest_common_extensions():
+    rnd = random.Random(5)
+    for n in (1, 2, 40, 700):
+        s = repetitive(rnd, n, 2)
+        x, y = np.array([(i, j) for i in range(len(s)) for j in range(len(s)) if i != j][:20_000] or [(0, 0)]).T
+        if len(s) > 1:
+            common = lambda i, j: next((k for k in range(len(s)) if max(i, j) + k == len(s) or s[i + k] != s[j + k]), 0)
+            assert runs.SuffixTree(s).common().of(x, y).tolist() == [common(i, j) for i, j in zip(x.tolist(), y.tolist())]
+        for rising in (True, False):
+            ends = [[0] + [c if rising else -c for c in s[i:]] + [-1000] for i in range(len(s) + 1)]
+            order = sorted(range(len(s) + 1), key=ends.__getitem__)
+            assert [order[r] for r in range(len(order))] == sorted(range(len(s) + 1), key=runs.SuffixTree(s).ranks(rising).__getitem__)
+
+
+def plain_row(i, text):
+    ws = WORD.findall(text or "")
+    n, h = len(ws), 1 if i is None else zlib.crc32(str(i).encode())
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        ws = [w if j < a else ws[a + (j - a) % p] for j, w in enumerate(ws)]
+    found = plain_runs(ws, 24, 3)
+    best = min(found, key=lambda r: (-r[1] * 10 ** 12 // r[2], r[0], r[2])) if found else (None,) * 3
+    gone = {j for s, length, q in found for j in range(s + q, s + length)}
+    return (i, len(found), *best, best[0] if best[0] is None else 1000 * best[1] // best[2],
+            sha("".join("%d,%d,%d\n" % r for r in found)), sha(" ".join(w for j, w in enumerate(ws) if j not in gone)))
+
+
+def test_periodic_runs_of_documents(spark):
+    rnd = random.Random(8)
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 10 == 0][:60]
+    rows = TEXTS + [(i, " ".join(f"w{c}" for c in repetitive(rnd, rnd.randrange(90), rnd.choice([2, 5, 30]))), "en", "a")
+                    for i in (*ids, *range(5000, 5060))]
+    rows += [(6001, "x y z\n" * 3000, "en", "a"), (6002, "one two\x1c " * 40, "en", "a"), (None, "b " * 30, "en", "a")]
+    rows = [(i, "one two three four five six seven eight nine ten " * 40 if i == 9 else t, a, b) for i, t, a, b in rows if i != 10]
+    got = runs.digest(runs.periodic_runs(table(spark, rows), echo=True)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == sorted((plain_row(i, t) for i, t, _, _ in rows), key=repr)
+    assert any(r["n_runs"] > 1 for r in got)
+    assert runs.digest(runs.periodic_runs(table(spark, []))).count() == 0
+
+
+def test_very_long_periodic_text():
+    text = "one two three four five six seven eight nine ten " * 20_000
+    (found, kept), = runs.document_runs([9], pa.array([text]), 24, 3, False)
+    assert found.tolist() == [[0, 200_000, 10]] and kept.decode() == text[:49].strip()

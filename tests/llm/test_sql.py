@@ -9,7 +9,7 @@ from cardflow.llm.queries import QUERIES
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 
@@ -17,6 +17,7 @@ def test_names():
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF0001}/documents.parquet'")
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF0001}/conversations.parquet'")
     df = QUERIES[name](spark, SF0001)
     order = sorted(df.columns)
     res = con.execute(ORACLE[name])
