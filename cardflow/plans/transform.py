@@ -67,7 +67,9 @@ def metrics(joined: DataFrame, s: Settings) -> DataFrame:
     cs1 = credit.tenure_score(tenure)
     cs2 = credit.default_score(F.col("Defaulted"))
     cs3 = credit.income_score(income, s)
-    is_open = ~F.coalesce(F.col(CLOSED), F.lit(False))
+    # closed by what the account file says, if the frame has it, else by the date read from it
+    closed = F.col(CLOSED) if CLOSED in joined.columns else F.col("Acct_close_dt").isNotNull()
+    is_open = ~F.coalesce(closed, F.lit(False))
     since = F.when(is_open, tenure)
     cols = {
         "Account_Current_Status": F.when(F.col("Defaulted") >= 1, "Y").otherwise("N"),
@@ -99,6 +101,7 @@ def within_limit(df: DataFrame) -> DataFrame:
 
 
 def intermediate_columns(s: Settings) -> list:
+    # Names, order and types of the 47 columns.
     emi = []
     for months, _ in s.emi_percentages:
         emi += [F.col(f"EMI_{months}_month_check1").cast("double"), F.col(f"EMI_{months}_month_check2").cast("double"),

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from cardflow.config import Settings
 from cardflow.functions import fixed
 from cardflow.plans import ingest, transform
@@ -146,6 +148,20 @@ def test_metrics_boundaries(spark):
     assert abs(m[4]["EMI_3_month"] - emi) < 1e-6
     assert m[0]["Cust_credit_limit_used"] == m[0]["Credit_Limit"]
     assert transform.within_limit(transform.metrics(spark.createDataFrame(rows, schema), s)).count() == 6
+    closed = transform.metrics(spark.createDataFrame([(*rows[4][:9], as_of, *rows[4][10:])], schema), s).first()
+    assert closed["Acct_Active"] == "N" and closed["Customer_Since"] is None and closed["EMI_Eligible"] == "N"
+
+
+def test_an_unreadable_close_date_closes_the_account(spark):
+    d = dt.date(2020, 1, 1)
+    txn = spark.createDataFrame([(i, 500 + i, 370 + i, d, 10.0, "LOW", "PLACE", "Y") for i in range(3)], TRANSACTION_DDL)
+    acct = spark.createDataFrame([(0, 500, 370, d, None, 1, 0), (1, 501, 371, d, "no date", 1, 0), (2, 502, 372, d, "01-Feb-21", 1, 0)],
+                                 "cust_id long, Account_num long, card_num long, acct_open_dt date, acct_close_dt string, "
+                                 "acct_cycle_dt int, defaulted int")
+    joined = transform.join_accounts(txn, acct).withColumn("ANNUAL_INCOME", F.lit(1000.0))
+    got = {r["Cust_Id"]: r for r in transform.metrics(joined, Settings(as_of=dt.date(2024, 1, 1))).collect()}
+    assert [got[i]["Acct_Active"] for i in range(3)] == ["Y", "N", "N"]
+    assert got[1]["Acct_close_dt"] is None and got[1]["Customer_Since"] is None and got[0]["Customer_Since"] == 1461
 
 
 def test_transaction_history_key(spark):
