@@ -5,11 +5,17 @@ through catalog tables.  Here the steps are plain calls; an exception in one
 stops the rest (the reference's return-code gating).  Each step still writes
 its tables and the next step reads them back, which cuts the lineage at the
 same places and lets a lost executor recompute only the current step.
+
+Tables are written under the version of their run and take their published
+names together, after the last step: until then the tables of the run before
+stay as they are.  A manifest records the finished steps, so a run that failed
+goes on at the step where it stopped, if its inputs are the same.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +23,7 @@ from pyspark.sql import functions as F
 from cardflow.config import Settings
 from cardflow.operators.validate import CODE
 from cardflow.plans import ingest, sinks, transform
+from cardflow.plans.manifest import PUBLISHED, Manifest, fingerprint, step_key
 from cardflow.session import materialize, scratch_path
 from cardflow.sources import csv, fixtures
 
@@ -66,72 +73,144 @@ def table_paths(s: Settings, root: str) -> dict[str, str]:
 class RunResult:
     database: str
     root: str
+    #: Published names, configured folders, and where in them the tables of this run are.
     tables: dict[str, str] = field(default_factory=dict)
     paths: dict[str, str] = field(default_factory=dict)
+    versions: dict[str, str] = field(default_factory=dict)
     views: dict[str, str] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
+    #: Steps that an earlier, failed run had done.
+    resumed: list[str] = field(default_factory=list)
 
     def files(self, spark: SparkSession, name: str) -> DataFrame:
         """A table of the run, read by path (its buckets bind no plan)."""
-        return sinks.read_files(spark, self.tables[name], self.paths[name])
-
-
-def _counted(df: DataFrame, name: str, observations: dict) -> DataFrame:
-    obs = Observation(name)
-    observations[name] = obs
-    return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        return sinks.read_files(spark, self.tables[name], self.versions[name])
+
+
+#: Published table of each result of a run.
+NAMES = {"customer_stage": "customer_stage", "customer_rejects": "customer_rejects", "account_stage": "account_stage",
+         "account_rejects": "account_rejects", "transaction_stage": "transaction_stage",
+         "transaction_rejects": "transaction_rejects", "orphans": "orphan_rejects", "intermediate": "card_intermediate",
+         "previous": "card_previous"}
+
+
+class _Run:
+    """One run: where its tables go, and which of its steps are done."""
+
+    def __init__(self, spark: SparkSession, s: Settings, root: str, db: str) -> None:
+        self.spark, self.db = spark, db
+        self.manifest = Manifest.open(spark, root, s.as_of)
+        day = s.as_of or self.manifest.day() or spark.range(1).select(F.current_date()).first()[0]
+        self.s = replace(s, as_of=day)  # one day for all steps, also of a run over midnight
+        self.result = RunResult(db, root, paths=table_paths(s, root))
+        self.observations: dict[str, Observation] = {}
+
+    def suffix(self) -> str:
+        return f"__{self.manifest.run}"
+
+    def staged(self, name: str) -> str:
+        return NAMES[name] + self.suffix()
+
+    def path(self, name: str) -> str:
+        return f"{self.result.paths[name].rstrip('/')}/version={self.manifest.run}"
+
+    def observe(self, name: str) -> Callable[[DataFrame], DataFrame]:
+        obs = self.observations[name] = Observation(name)
+        return lambda df: df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+    def read(self, name: str) -> DataFrame:
+        """A table of this run, before or after it was published."""
+        staged = f"{sinks.quoted(self.db)}.{sinks.quoted(self.staged(name))}"
+        table = staged if self.spark.catalog.tableExists(staged) else f"{sinks.quoted(self.db)}.{sinks.quoted(NAMES[name])}"
+        return sinks.read_files(self.spark, table, self.result.versions[name])
+
+    def step(self, name: str, key: str | None, tables: list[str], work: Callable[[], None]) -> None:
+        """Do a step, or take its tables from the open run if it had done it on the same inputs."""
+        res = self.result
+        done = self.manifest.done(name, key)
+        if done and all(self._there(t) for t in tables):
+            res.versions |= done["tables"]
+            res.counts |= done["counts"]
+            res.resumed.append(name)
+            return
+        work()
+        res.versions |= {t: self.path(t) for t in tables}
+        counts = {t: int(self.observations[t].get["rows"]) for t in tables}
+        res.counts |= counts
+        self.manifest.add(name, key, {t: res.versions[t] for t in tables}, counts, self.s.as_of)
+
+    def _there(self, name: str) -> bool:
+        return any(self.spark.catalog.tableExists(f"{sinks.quoted(self.db)}.{sinks.quoted(t)}")
+                   for t in (self.staged(name), NAMES[name]))
 
 
 def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(), root: str | None = None,
               database: str | None = None, cache: bool = False) -> RunResult:
     """All steps.  Each checked or joined frame that feeds two tables is written to
     the shared folder once; the next step reads the tables by path.  With `cache`
-    the intermediate table is cached until the caller uncaches it."""
+    the intermediate table is cached until the caller uncaches it.
+
+    A run below the `root` of a run that failed goes on with it: steps that were done on the
+    same input files and settings are not repeated.  Without a `root` every run is new."""
     root = root or scratch_path(spark, "run")
     db = database or s.database
-    res = RunResult(db, root, paths=table_paths(s, root))
-    at, obs = res.paths, {}
     sinks.create_database(spark, db, sinks.table_path(root, "_db"))
-
-    # Step 1: customers.
-    cc = materialize(ingest.check_customers(inputs.customers, inputs.sanctioned, s), "checked-customers")
-    accepted = ingest.customer_stage(cc)
-    res.tables["customer_stage"] = sinks.write_customer_stage(
-        _counted(accepted, "customer_stage", obs), db, at["customer_stage"], sinks.sized_buckets(cc.count(), s))
-    res.tables["customer_rejects"] = sinks.write_rejects(
-        _counted(ingest.customer_rejects(cc), "customer_rejects", obs), db, at["customer_rejects"], "customer_rejects")
-
-    # Step 2: accounts.
-    ca = materialize(ingest.check_accounts(inputs.accounts), "checked-accounts")
-    res.tables["account_stage"] = sinks.write_account_stage(
-        _counted(ingest.account_stage(ca), "account_stage", obs), db, at["account_stage"])
-    res.tables["account_rejects"] = sinks.write_rejects(
-        _counted(ingest.account_rejects(ca), "account_rejects", obs), db, at["account_rejects"], "account_rejects")
-
-    # Step 3: transactions.
-    ct = materialize(ingest.check_transactions(inputs.transactions, s.transaction_key), "checked-transactions")
-    res.tables["transaction_stage"] = sinks.write_transaction_stage(
-        _counted(ingest.transaction_stage(ct), "transaction_stage", obs), db, at["transaction_stage"])
-    res.tables["transaction_rejects"] = sinks.write_rejects(
-        _counted(ingest.transaction_rejects(ct), "transaction_rejects", obs), db, at["transaction_rejects"],
-        "transaction_rejects")
-
-    # Step 4: transform, from the files of the stage tables.
-    joined = materialize(transform.enrich(res.files(spark, "transaction_stage"), res.files(spark, "account_stage"),
-                                          res.files(spark, "customer_stage")), "joined")
-    res.tables["orphans"] = sinks.write_rejects(
-        _counted(transform.orphans(joined), "orphans", obs), db, at["orphans"], "orphan_rejects")
-    inter = transform.within_limit(transform.metrics(transform.valid_joined(joined), s)).select(
-        *transform.intermediate_columns(s))
-    inter = materialize(_counted(inter, "intermediate", obs), "intermediate")
-    res.tables["intermediate"], _ = sinks.write_intermediate(
-        inter, db, at["intermediate"], sinks.sized_buckets(inter.count(), s))
-
-    # Step 5: the report views.
+    run = _Run(spark, s, root, db)
+    s, res = run.s, run.result
+    keys = {"customers": step_key(s, fingerprint(inputs.customers, inputs.sanctioned)),
+            "accounts": step_key(s, fingerprint(inputs.accounts)),
+            "transactions": step_key(s, fingerprint(inputs.transactions))}
+    keys["transform"] = step_key(*keys.values())
+
+    def customers() -> None:
+        checked = materialize(ingest.check_customers(inputs.customers, inputs.sanctioned, s), "checked-customers")
+        accepted = ingest.customer_stage(checked)
+        sinks.write_customer_stage(
+            accepted, db, run.path("customer_stage"), sinks.directory_buckets(accepted, sinks.CUSTOMER_DIRECTORIES, s),
+            run.staged("customer_stage"), run.observe("customer_stage"))
+        sinks.write_rejects(ingest.customer_rejects(checked), db, run.path("customer_rejects"),
+                            run.staged("customer_rejects"), run.observe("customer_rejects"))
+
+    def accounts() -> None:
+        checked = materialize(ingest.check_accounts(inputs.accounts), "checked-accounts")
+        sinks.write_account_stage(ingest.account_stage(checked), db, run.path("account_stage"),
+                                  run.staged("account_stage"), run.observe("account_stage"))
+        sinks.write_rejects(ingest.account_rejects(checked), db, run.path("account_rejects"),
+                            run.staged("account_rejects"), run.observe("account_rejects"))
+
+    def transactions() -> None:
+        checked = materialize(ingest.check_transactions(inputs.transactions, s.transaction_key), "checked-transactions")
+        sinks.write_transaction_stage(ingest.transaction_stage(checked), db, run.path("transaction_stage"),
+                                      run.staged("transaction_stage"), run.observe("transaction_stage"))
+        sinks.write_rejects(ingest.transaction_rejects(checked), db, run.path("transaction_rejects"),
+                            run.staged("transaction_rejects"), run.observe("transaction_rejects"))
+
+    def transformed() -> None:
+        """From the files of the stage tables."""
+        joined = materialize(transform.enrich(run.read("transaction_stage"), run.read("account_stage"),
+                                              run.read("customer_stage")), "joined")
+        sinks.write_rejects(transform.orphans(joined), db, run.path("orphans"), run.staged("orphans"), run.observe("orphans"))
+        inter = transform.within_limit(transform.metrics(transform.valid_joined(joined), s)).select(
+            *transform.intermediate_columns(s))
+        inter = materialize(run.observe("intermediate")(inter), "intermediate")
+        table, _ = sinks.write_intermediate(
+            inter, db, run.path("intermediate"), sinks.directory_buckets(inter, sinks.INTERMEDIATE_DIRECTORIES, s), run.suffix(),
+            f"{res.paths['intermediate'].rstrip('/')}_previous/version={run.manifest.run}")
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('as_of' = '{s.as_of}')")
+
+    run.step("customers", keys["customers"], ["customer_stage", "customer_rejects"], customers)
+    run.step("accounts", keys["accounts"], ["account_stage", "account_rejects"], accounts)
+    run.step("transactions", keys["transactions"], ["transaction_stage", "transaction_rejects"], transactions)
+    run.step("transform", keys["transform"], ["orphans", "intermediate"], transformed)
+
+    # The tables take their names, and the views are made over them.
+    for name, table in NAMES.items():
+        sinks.publish(spark, db, table, run.staged(name))
+    res.tables = {name: f"{sinks.quoted(db)}.{sinks.quoted(table)}" for name, table in NAMES.items() if name != "previous"}
     if cache:
         sinks.cache_table(spark, res.tables["intermediate"])
     res.views = sinks.create_report_views(spark, db, s)
-    res.counts = {k: int(o.get["rows"]) for k, o in obs.items()}
+    run.manifest.add(PUBLISHED, None, res.versions, res.counts, s.as_of)
     return res
 
 

@@ -2,23 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardflow.config import Settings
+from cardflow.operators.joins import broadcast_if_small
 from cardflow.plans import reports
 
-# Rows per output file; keeps files bounded without a single-file coalesce.
+#: Rows per output file, and per bucket of a directory.
 MAX_RECORDS_PER_FILE = 5_000_000
-
-
-#: Rows that a bucket of a sized table aims at, and Spark's limit on their number.
 ROWS_PER_BUCKET = 2_000_000
+#: Buckets of a table in one directory (the reference's number), and Spark's limit.
 MIN_BUCKETS, MAX_BUCKETS = 4, 100_000
+#: What one write task takes: rows, and files to open.
+ROWS_PER_TASK, FILES_PER_TASK = 2_000_000, 128
+
+
+def sized_buckets(rows: int, s: Settings, directories: int = 1) -> int:
+    """The bucket count asked for, else one that follows the rows of a directory: every
+    bucket exists in every directory, so a count that followed all rows would cut the
+    directories of a finely partitioned table into tiny files."""
+    least = MIN_BUCKETS if directories <= 1 else 1
+    return s.buckets or min(MAX_BUCKETS, max(least, -(-rows // (max(1, directories) * ROWS_PER_BUCKET))))
 
 
-def sized_buckets(rows: int, s: Settings) -> int:
-    """The bucket count asked for, else one that follows the rows (4 for small tables)."""
-    return s.buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
+def directory_buckets(df: DataFrame, partition_by: list[str], s: Settings) -> int:
+    """`sized_buckets` for a frame that is written into directories by `partition_by`."""
+    counted = df.groupBy(*partition_by).count().agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("dirs")).first()
+    return sized_buckets(counted["rows"] or 0, s, max(2, counted["dirs"]))
+
+
+def planned(df: DataFrame, partition_by: list[str], bucket_by: str | None = None, buckets: int = 1) -> DataFrame:
+    """`df` dealt to write tasks by a plan of its (directory, bucket) groups.
+
+    A histogram counts the groups.  Each group goes to one task, so it gives one file, but
+    groups with more rows than a task should write, which are cut by a salt: a hot directory
+    is written by many tasks.  The number of tasks follows from rows and from files, so small
+    directories are many to a task, and many directories are not left to one task."""
+    group: list[Column] = [F.col(c) for c in partition_by]
+    if bucket_by:
+        group.append(F.pmod(F.hash(bucket_by), F.lit(buckets)))  # as the writer assigns buckets
+    key = F.xxhash64(*[F.coalesce(c.cast("string"), F.lit("")) for c in group]).alias("_group")
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("groups"), F.max("_n").alias("most")).first()
+    rows, groups, most = (total[c] or 0 for c in ("rows", "groups", "most"))
+    tasks = max(1, -(-rows // ROWS_PER_TASK), -(-groups // FILES_PER_TASK))
+    keyed = df.withColumn("_group", key)
+    if most <= ROWS_PER_TASK:
+        return keyed.repartition(tasks, "_group").drop("_group")
+    # at most rows / ROWS_PER_TASK groups are hot
+    hot = counts.filter(F.col("_n") > ROWS_PER_TASK).select("_group", F.ceil(F.col("_n") / ROWS_PER_TASK).alias("_cuts"))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.coalesce("_cuts", F.lit(1))).alias("_salt")
+    salted = keyed.join(broadcast_if_small(hot), "_group", "left").select("*", salt)
+    return salted.repartition(tasks, "_group", "_salt").drop("_group", "_cuts", "_salt")
 
 
 def quoted(name: str) -> str:
@@ -41,14 +77,16 @@ def drop_database(spark: SparkSession, name: str) -> None:
 
 
 def save_table(df: DataFrame, table: str, path: str, partition_by: list[str] | None = None,
-               bucket_by: str | None = None, buckets: int = 4) -> None:
-    """Snappy Parquet table at an external path, overwritten.  Partition
-    columns move to the end of the schema.  Bucketed tables are sorted by the
-    bucket column within each bucket."""
-    # REBALANCE lets AQE size the write tasks: rows of one partition directory
-    # mostly land in one task (few files per directory), a skewed directory is
-    # split over several tasks, and no single task writes everything.
-    df = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+               bucket_by: str | None = None, buckets: int = 4, observe=None) -> None:
+    """Snappy Parquet table at an external path, overwritten.  Partition columns move to
+    the end of the schema; their directories are written by plan (`planned`, for which
+    `df` is read twice).  Bucketed tables are sorted by the bucket column within each
+    file.  `observe` is applied to the rows as they are written."""
+    whole = observe or (lambda d: d)
+    if partition_by:
+        df = whole(planned(df, partition_by, bucket_by, buckets))
+    else:
+        df = whole(df).hint("rebalance")  # AQE sizes the tasks by bytes
     w = (df.write.format("parquet").mode("overwrite").option("compression", "snappy")
          .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("path", path))
     if partition_by:
@@ -68,44 +106,58 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def write_customer_stage(df: DataFrame, db: str, path: str, buckets: int) -> str:
-    t = f"{quoted(db)}.customer_stage"
-    save_table(df, t, path, ["COUNTRY", "STATE"], "CUSTOMER_ID", buckets)
+CUSTOMER_DIRECTORIES = ["COUNTRY", "STATE"]
+INTERMEDIATE_DIRECTORIES = ["YEAR", "COUNTRY", "STATE"]
+
+
+def write_customer_stage(df: DataFrame, db: str, path: str, buckets: int, name: str = "customer_stage", observe=None) -> str:
+    t = f"{quoted(db)}.{quoted(name)}"
+    save_table(df, t, path, CUSTOMER_DIRECTORIES, "CUSTOMER_ID", buckets, observe)
     return t
 
 
-def write_rejects(df: DataFrame, db: str, path: str, name: str) -> str:
+def write_rejects(df: DataFrame, db: str, path: str, name: str, observe=None) -> str:
     """Reject table partitioned by the short reason code (the text holds '/')."""
-    t = f"{quoted(db)}.{name}"
-    save_table(df, t, path, ["reason_code"])
+    t = f"{quoted(db)}.{quoted(name)}"
+    save_table(df, t, path, ["reason_code"], observe=observe)
     return t
 
 
-def write_account_stage(df: DataFrame, db: str, path: str) -> str:
-    t = f"{quoted(db)}.account_stage"
-    save_table(df, t, path)
+def write_account_stage(df: DataFrame, db: str, path: str, name: str = "account_stage", observe=None) -> str:
+    t = f"{quoted(db)}.{quoted(name)}"
+    save_table(df, t, path, observe=observe)
     return t
 
 
-def write_transaction_stage(df: DataFrame, db: str, path: str) -> str:
+def write_transaction_stage(df: DataFrame, db: str, path: str, name: str = "transaction_stage", observe=None) -> str:
     """Transactions as a plain table; no single-file coalesce (one task would
     write all data), file size is bounded by `maxRecordsPerFile`."""
-    t = f"{quoted(db)}.transaction_stage"
-    save_table(df, t, path)
+    t = f"{quoted(db)}.{quoted(name)}"
+    save_table(df, t, path, observe=observe)
     return t
 
 
-def write_intermediate(df: DataFrame, db: str, path: str, buckets: int) -> tuple[str, str]:
+def write_intermediate(df: DataFrame, db: str, path: str, buckets: int, suffix: str = "",
+                       previous_path: str | None = None) -> tuple[str, str]:
     """The intermediate table and, beside it, the table of card totals with their
     predecessors, which a view cannot compute by range.  Both are written here,
     so one does not change without the other.  `df` is a written frame: it is read
     for each of the two (the table's own files are many and small)."""
-    t, p = f"{quoted(db)}.card_intermediate", f"{quoted(db)}.card_previous"
-    save_table(df, t, path, ["YEAR", "COUNTRY", "STATE"], "Cust_Id", buckets)
-    save_table(reports.previous_transaction(df), p, f"{path.rstrip('/')}_previous")
+    t, p = (f"{quoted(db)}.{quoted(name + suffix)}" for name in ("card_intermediate", "card_previous"))
+    save_table(df, t, path, INTERMEDIATE_DIRECTORIES, "Cust_Id", buckets)
+    save_table(reports.previous_transaction(df), p, previous_path or f"{path.rstrip('/')}_previous")
     return t, p
 
 
+def publish(spark: SparkSession, db: str, name: str, staged: str) -> None:
+    """Let a staged table take the place of the published one.  Only the catalog changes:
+    the old table's files stay, and no data is written in between.  A staged table that is
+    no longer there was published by an earlier call."""
+    if spark.catalog.tableExists(f"{quoted(db)}.{quoted(staged)}"):
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(db)}.{quoted(name)}")
+        spark.sql(f"ALTER TABLE {quoted(db)}.{quoted(staged)} RENAME TO {quoted(db)}.{quoted(name)}")
+
+
 def cache_table(spark: SparkSession, table: str) -> DataFrame:
     spark.catalog.cacheTable(table)
     return spark.table(table)

@@ -196,7 +196,8 @@ def scan_stage_table(spark, d):
 def sink_customer_stage(spark, d):
     db, root = _database(spark)
     stage = materialize(ingest.customer_stage(_checked_customers(spark, d)), "stage-cust")
-    t = sinks.write_customer_stage(stage, db, f"{root}/customer_stage", sinks.sized_buckets(stage.count(), SETTINGS))
+    t = sinks.write_customer_stage(stage, db, f"{root}/customer_stage",
+                                   sinks.directory_buckets(stage, sinks.CUSTOMER_DIRECTORIES, SETTINGS))
     return spark.table(t)
 
 
@@ -232,7 +233,8 @@ def sink_transaction_stage(spark, d):
 def _written_intermediate(spark, d):
     db, root = _database(spark)
     inter = materialize(_intermediate(spark, d), "intermediate")
-    t, _ = sinks.write_intermediate(inter, db, f"{root}/card_intermediate", sinks.sized_buckets(inter.count(), SETTINGS))
+    t, _ = sinks.write_intermediate(inter, db, f"{root}/card_intermediate",
+                                    sinks.directory_buckets(inter, sinks.INTERMEDIATE_DIRECTORIES, SETTINGS))
     return t
 
 

@@ -1,8 +1,12 @@
 """All steps in one session: tables, views, observed counts."""
 
+import datetime as dt
 import os
 import re
 import uuid
+from dataclasses import replace
+
+import pytest
 
 from conftest import SF0001
 from cardflow.plans import reports, runner, sinks, transform
@@ -114,3 +118,87 @@ def test_buckets_bind_no_plan_of_the_run(spark):
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
         sinks.drop_database(spark, db)
+
+
+def _tables(spark, db):
+    """Rows of every published table, and the location of its files."""
+    return {n: (spark.table(f"{db}.{n}").count(),
+                next(r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {db}.{n}").collect() if r["col_name"] == "Location"))
+            for n in runner.NAMES.values()}
+
+
+def test_a_failed_run_leaves_the_tables_and_goes_on(spark, tmp_path, monkeypatch):
+    """A run that dies in step 4 changes no published table; the next one starts at step 4."""
+    root, db = str(tmp_path / "root"), f"cardflow_f_{uuid.uuid4().hex[:8]}"
+    inputs = lambda: runner.inputs_from_tables(spark, SF0001)
+    first = runner.run_steps(spark, inputs(), SETTINGS, root=root, database=db)
+    before, views = _tables(spark, db), {n: spark.table(v).count() for n, v in first.views.items()}
+    assert first.resumed == []
+
+    whole = sinks.write_intermediate
+    monkeypatch.setattr(sinks, "write_intermediate", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        runner.run_steps(spark, inputs(), SETTINGS, root=root, database=db)
+    assert _tables(spark, db) == before and {n: spark.table(v).count() for n, v in first.views.items()} == views
+
+    monkeypatch.setattr(sinks, "write_intermediate", whole)
+    for step in ("check_customers", "check_accounts", "check_transactions"):
+        monkeypatch.setattr(runner.ingest, step, lambda *a: 1 / 0)
+    second = runner.run_steps(spark, inputs(), SETTINGS, root=root, database=db)
+    assert second.resumed == ["customers", "accounts", "transactions"] and second.counts == first.counts
+    after = _tables(spark, db)
+    assert {n: rows for n, (rows, _) in after.items()} == {n: rows for n, (rows, _) in before.items()}
+    assert all(after[n][1] != before[n][1] for n in after)             # other files, the same names
+    assert {t.name for t in spark.catalog.listTables(db) if t.tableType != "VIEW"} == set(runner.NAMES.values())
+
+    monkeypatch.undo()
+    third = runner.run_steps(spark, inputs(), SETTINGS, root=root, database=db)
+    assert third.resumed == []                                         # a published run is not gone on with
+    sinks.drop_database(spark, db)
+
+
+def test_other_inputs_repeat_only_their_steps(spark, tmp_path, monkeypatch):
+    folder, root, db = tmp_path / "in", str(tmp_path / "root"), f"cardflow_g_{uuid.uuid4().hex[:8]}"
+
+    def inputs():
+        return runner.RawInputs(csv.read_customers(spark, str(folder / "c")), csv.read_sanctioned(spark, str(folder / "s")),
+                                csv.read_accounts(spark, str(folder / "a")), csv.read_transactions(spark, str(folder / "t")))
+
+    _stage_file(spark, fx.raw_customers(spark, SF0001), str(folder), "c")
+    _stage_file(spark, fx.raw_sanctioned(spark, SF0001), str(folder), "s")
+    _stage_file(spark, fx.raw_accounts(spark, SF0001), str(folder), "a")
+    _stage_file(spark, fx.raw_transactions(spark, SF0001, year_shift=10), str(folder), "t", "dd-MMM-yy")
+    whole = transform.enrich
+    monkeypatch.setattr(transform, "enrich", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        runner.run_steps(spark, inputs(), SETTINGS, root=root, database=db)
+    assert not [t for t in spark.catalog.listTables(db) if t.name in runner.NAMES.values()]
+    monkeypatch.setattr(transform, "enrich", whole)
+    fx.raw_accounts(spark, SF0001).limit(100).coalesce(1).write.mode("overwrite").option("header", True).csv(str(folder / "a"))
+    res = runner.run_steps(spark, inputs(), SETTINGS, root=root, database=db)
+    assert res.resumed == ["customers", "transactions"]
+    assert res.counts["account_stage"] + res.counts["account_rejects"] <= 100
+    sinks.drop_database(spark, db)
+
+
+def test_one_day_for_the_whole_run(spark, tmp_path, monkeypatch):
+    """Without a day in the settings the run's day is fixed when it begins, also for the run that goes on with it."""
+    root, db = str(tmp_path / "root"), f"cardflow_d_{uuid.uuid4().hex[:8]}"
+    inputs = lambda: runner.inputs_from_tables(spark, SF0001)
+    s = replace(SETTINGS, as_of=None)
+    whole = transform.metrics
+    monkeypatch.setattr(transform, "metrics", lambda *a: 1 / 0)
+    monkeypatch.setattr(runner.Manifest, "day", lambda self: None)
+    real = runner.F.current_date
+    monkeypatch.setattr(runner.F, "current_date", lambda: runner.F.lit(dt.date(2023, 12, 31)))
+    with pytest.raises(ZeroDivisionError):
+        runner.run_steps(spark, inputs(), s, root=root, database=db)
+    monkeypatch.undo()
+    assert real is runner.F.current_date
+    res = runner.run_steps(spark, inputs(), s, root=root, database=db)   # on another day
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {res.tables['intermediate']}").collect()}
+    assert props["as_of"] == "2023-12-31" and len(res.resumed) == 3
+    t = spark.table(res.tables["intermediate"]).filter("Customer_Since IS NOT NULL")
+    assert t.filter("Customer_Since != datediff(DATE'2023-12-31', Acct_open_dt)").count() == 0
+    assert transform.metrics is whole
+    sinks.drop_database(spark, db)
