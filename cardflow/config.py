@@ -47,6 +47,9 @@ class Settings:
     pep_accepted: tuple[str, ...] = ("TRUE",)
     # Bucket count of the partitioned output tables; None sizes it from their rows.
     buckets: int | None = None
+    # Share of a raw file's records that may not fit its layout; more stops a run from a
+    # parameter file before it writes anything.  None: no such gate.
+    bad_share: float | None = None
     # Key of the transaction dedup: the reference keeps one transaction per
     # account; add e.g. the date and amount to keep the full history.
     transaction_key: tuple[str, ...] = ("Cust_Id", "Account_Num")

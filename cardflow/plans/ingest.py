@@ -8,7 +8,7 @@ stage frame and the reject frame are two filters of it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardflow.config import Settings
@@ -79,12 +79,17 @@ def check_customers(raw: DataFrame, sanctioned: DataFrame, settings: Settings =
     return apply_rules(joined, customer_rules(settings)).drop("_s_country", "_sanctioned", FIRST)
 
 
+def customer_casts() -> dict[str, Column]:
+    """The text columns of customers that the stage table types."""
+    return {"CUSTOMER_ID": F.col("CUSTOMER_ID").try_cast("long")}
+
+
 def customer_stage(checked: DataFrame) -> DataFrame:
     """Accepted customers in the stage layout (CUSTOMER_ID as a number; ids
-    such as `12-1` pass the rules but are no number: NULL)."""
+    such as `12-1` pass the rules but are no number: NULL, see `cast_losses`)."""
     ok = accepted(checked)
     return ok.select(
-        F.col("CUSTOMER_ID").try_cast("long").alias("CUSTOMER_ID"),
+        customer_casts()["CUSTOMER_ID"].alias("CUSTOMER_ID"),
         "FIRST_NAME", "MIDDLE_NAME", "LAST_NAME", "DOB", "ADDRESS1", "ADDRESS2", "STATE", "CITY", "COUNTRY",
         "PIN_CODE", "CUST_PEP_EXPOSED", "ANNUAL_INCOME",
         F.col("YEAR").cast("int").alias("YEAR"), F.col("MONTH").cast("int").alias("MONTH"),
@@ -121,19 +126,33 @@ def check_accounts(raw: DataFrame) -> DataFrame:
     return apply_rules(flagged, account_rules()).drop(FIRST)
 
 
+def account_casts() -> dict[str, Column]:
+    """The text columns of accounts that the stage table types."""
+    return {
+        "cust_id": F.col("cust_id").try_cast("long"),
+        "Account_num": F.col("Account_num").try_cast("long"),
+        "card_num": F.col("card_num").try_cast("long"),
+        "acct_open_dt": parse_date(F.col("acct_open_dt"), fixed.ACCOUNT_DATE_FORMAT),
+        "acct_cycle_dt": F.col("acct_cycle_dt").try_cast("int"),
+        "defaulted": F.col("defaulted").try_cast("int"),
+    }
+
+
 def account_stage(checked: DataFrame) -> DataFrame:
     """Accepted accounts, typed (ids and card as long; open date parsed,
-    unparseable -> NULL, found later as an orphan)."""
-    ok = accepted(checked)
-    return ok.select(
-        F.col("cust_id").try_cast("long").alias("cust_id"),
-        F.col("Account_num").try_cast("long").alias("Account_num"),
-        F.col("card_num").try_cast("long").alias("card_num"),
-        parse_date(F.col("acct_open_dt"), fixed.ACCOUNT_DATE_FORMAT).alias("acct_open_dt"),
-        F.col("acct_close_dt").cast("string").alias("acct_close_dt"),
-        F.col("acct_cycle_dt").try_cast("int").alias("acct_cycle_dt"),
-        F.col("defaulted").try_cast("int").alias("defaulted"),
-    )
+    unparseable -> NULL, found later as an orphan; see `cast_losses`)."""
+    typed = account_casts() | {"acct_close_dt": F.col("acct_close_dt").cast("string")}
+    return accepted(checked).select(*[typed[c].alias(c) for c in ACCOUNT_COLUMNS])
+
+
+def cast_losses(checked: DataFrame, source: str, casts: dict[str, Column]) -> DataFrame:
+    """(source, column, present, lost) per typed column of the accepted rows: values that
+    are there as text, and those of them that have no value of the type.  One pass and
+    one aggregate for all columns."""
+    counts = [F.struct(F.lit(c).alias("column"), F.count(c).alias("present"),
+                       F.count_if(F.col(c).isNotNull() & cast.isNull()).alias("lost")) for c, cast in casts.items()]
+    found = accepted(checked).agg(F.array(*counts).alias("c")).select(F.explode("c").alias("c"))
+    return found.select(F.lit(source).alias("source"), "c.*")
 
 
 def account_rejects(checked: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ import hashlib
 import json
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,10 +50,9 @@ class Manifest:
         """The open run of a root, or a new one.  An open run that was asked for another
         fixed day is left, and a new one begun."""
         folder = f"{root.rstrip('/')}/_runs"
-        try:  # one row per step of each run
-            rows = spark.read.schema(ENTRY).option("recursiveFileLookup", True).json(folder).collect()
-        except AnalysisException:  # no run yet
-            rows = []
+        spark.createDataFrame([], ENTRY).write.mode("append").json(folder)  # makes the folder
+        # one row per step of each run
+        rows = spark.read.schema(ENTRY).option("recursiveFileLookup", True).json(folder).collect()
         latest = max((r["run"] for r in rows), default=None)
         steps = {r["step"]: r.asDict() for r in rows if r["run"] == latest}
         same_day = as_of is None or all(s["as_of"] in (None, str(as_of)) for s in steps.values())

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cardflow.config import Settings
+from cardflow.functions import fixed
 from cardflow.operators.validate import CODE
 from cardflow.plans import ingest, sinks, transform
 from cardflow.plans.manifest import PUBLISHED, Manifest, fingerprint, step_key
@@ -91,7 +92,9 @@ class RunResult:
 NAMES = {"customer_stage": "customer_stage", "customer_rejects": "customer_rejects", "account_stage": "account_stage",
          "account_rejects": "account_rejects", "transaction_stage": "transaction_stage",
          "transaction_rejects": "transaction_rejects", "orphans": "orphan_rejects", "intermediate": "card_intermediate",
-         "previous": "card_previous"}
+         "previous": "card_previous", "customer_casts": "customer_cast_losses", "account_casts": "account_cast_losses"}
+#: Tables beside the results: what the previous-card view reads, and the audits of the casts.
+BESIDE = ("previous", "customer_casts", "account_casts")
 
 
 class _Run:
@@ -162,6 +165,11 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
             "transactions": step_key(s, fingerprint(inputs.transactions))}
     keys["transform"] = step_key(*keys.values())
 
+    def audit(checked: DataFrame, source: str, casts: dict) -> None:
+        name = f"{source}_casts"
+        path = f"{sinks.table_path(s.reject_path or root, NAMES[name])}/version={run.manifest.run}"
+        sinks.save_table(ingest.cast_losses(checked, source, casts), f"{sinks.quoted(db)}.{sinks.quoted(run.staged(name))}", path)
+
     def customers() -> None:
         checked = materialize(ingest.check_customers(inputs.customers, inputs.sanctioned, s), "checked-customers")
         accepted = ingest.customer_stage(checked)
@@ -170,6 +178,7 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
             run.staged("customer_stage"), run.observe("customer_stage"))
         sinks.write_rejects(ingest.customer_rejects(checked), db, run.path("customer_rejects"),
                             run.staged("customer_rejects"), run.observe("customer_rejects"))
+        audit(checked, "customer", ingest.customer_casts())
 
     def accounts() -> None:
         checked = materialize(ingest.check_accounts(inputs.accounts), "checked-accounts")
@@ -177,6 +186,7 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
                                   run.staged("account_stage"), run.observe("account_stage"))
         sinks.write_rejects(ingest.account_rejects(checked), db, run.path("account_rejects"),
                             run.staged("account_rejects"), run.observe("account_rejects"))
+        audit(checked, "account", ingest.account_casts())
 
     def transactions() -> None:
         checked = materialize(ingest.check_transactions(inputs.transactions, s.transaction_key), "checked-transactions")
@@ -206,7 +216,7 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
     # The tables take their names, and the views are made over them.
     for name, table in NAMES.items():
         sinks.publish(spark, db, table, run.staged(name))
-    res.tables = {name: f"{sinks.quoted(db)}.{sinks.quoted(table)}" for name, table in NAMES.items() if name != "previous"}
+    res.tables = {name: f"{sinks.quoted(db)}.{sinks.quoted(table)}" for name, table in NAMES.items() if name not in BESIDE}
     if cache:
         sinks.cache_table(spark, res.tables["intermediate"])
     res.views = sinks.create_report_views(spark, db, s)
@@ -214,9 +224,28 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
     return res
 
 
+def check_files(spark: SparkSession, s: Settings) -> dict[str, float]:
+    """The gate before the first write: the share of misfit records of each raw file, and a
+    ValueError that names the files over the share that the settings allow."""
+    if s.bad_share is None:
+        return {}
+    at = s.input_path.rstrip("/")
+    shares = csv.bad_shares(spark, {
+        "customers": (f"{at}/{s.customer_file}", csv.CUSTOMER_DDL, None),
+        "accounts": (f"{at}/{s.account_file}", csv.ACCOUNT_DDL, None),
+        "transactions": (f"{at}/{s.transaction_file}", csv.TRANSACTION_DDL, fixed.ACCOUNT_DATE_FORMAT),
+        "sanctioned": (f"{at}/{s.sanctioned_file}", "COUNTRY string", None)})
+    over = {name: share for name, share in shares.items() if share > s.bad_share}
+    if over:
+        raise ValueError(f"more than {s.bad_share:.2%} of the records do not fit: " + ", ".join(
+            f"{name} {share:.2%}" for name, share in over.items()))
+    return shares
+
+
 def run_from_config(spark: SparkSession, config_path: str, root: str | None = None, **overrides) -> RunResult:
     """The whole run from a parameter file: its input folder to its output folders."""
     s = Settings.from_csv(spark, config_path, **overrides)
+    check_files(spark, s)
     return run_steps(spark, inputs_from_files(spark, s), s, root=root)
 
 

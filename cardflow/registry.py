@@ -255,6 +255,15 @@ def stage_counts(spark, d):
     return runner.counts_from_checked(*_checked_written(spark, d), SETTINGS)
 
 
+@query
+def cast_losses(spark, d):
+    """Texts of accepted customers and accounts that have no value of their column's type."""
+    customers, accounts = _together([lambda: materialize(_checked_customers(spark, d), "checked-cust"),
+                                     lambda: materialize(_checked_accounts(spark, d), "checked-acct")])
+    return sets.union_all([ingest.cast_losses(customers, "customer", ingest.customer_casts()),
+                           ingest.cast_losses(accounts, "account", ingest.account_casts())])
+
+
 @query
 def run_summary(spark, d):
     """All steps with their tables and views; rows per written table."""

@@ -33,6 +33,16 @@ ORACLE["scan_transaction_csv"] = with_("SELECT * FROM raw_txn_shifted", "raw_txn
 ORACLE["scan_sanctioned"] = with_("SELECT * FROM raw_sanctioned", "raw_sanctioned")
 ORACLE["scan_stage_table"] = with_("SELECT * FROM acct_stage", "acct_stage")
 
+_CASTS = [("customer", "CUSTOMER_ID", "TRY_CAST(CUSTOMER_ID AS BIGINT)"), ("account", "cust_id", "TRY_CAST(cust_id AS BIGINT)"),
+          ("account", "Account_num", "TRY_CAST(Account_num AS BIGINT)"), ("account", "card_num", "TRY_CAST(card_num AS BIGINT)"),
+          ("account", "acct_open_dt", "try_strptime(acct_open_dt, '%d-%b-%y')"),
+          ("account", "acct_cycle_dt", "TRY_CAST(acct_cycle_dt AS INTEGER)"), ("account", "defaulted", "TRY_CAST(defaulted AS INTEGER)")]
+ORACLE["cast_losses"] = with_("\nUNION ALL ".join(
+    f"""SELECT '{source}' AS source, '{c}' AS "column", count({c}) AS present,
+       count(*) FILTER (WHERE {c} IS NOT NULL AND {cast} IS NULL) AS lost
+FROM {'cust' if source == 'customer' else 'acct'}_checked WHERE reason_code IS NULL""" for source, c, cast in _CASTS),
+    "cust_checked", "acct_checked")
+
 ORACLE["sink_customer_stage"] = with_("SELECT * FROM cust_stage", "cust_stage")
 ORACLE["sink_rejects"] = with_(
     f"SELECT Rejection_Reason, {_q(CUSTOMER_COLS)}, 'Customer Information' AS FileName, reason_code "

@@ -202,3 +202,22 @@ def test_one_day_for_the_whole_run(spark, tmp_path, monkeypatch):
     assert t.filter("Customer_Since != datediff(DATE'2023-12-31', Acct_open_dt)").count() == 0
     assert transform.metrics is whole
     sinks.drop_database(spark, db)
+
+
+def test_a_bad_file_stops_the_run_before_it_writes(spark, tmp_path):
+    inbox, root, db = tmp_path / "in", tmp_path / "root", f"cardflow_q_{uuid.uuid4().hex[:8]}"
+    _stage_file(spark, fx.raw_customers(spark, SF0001), str(inbox), "customers.csv")
+    _stage_file(spark, fx.raw_sanctioned(spark, SF0001), str(inbox), "sanctioned.csv")
+    _stage_file(spark, fx.raw_accounts(spark, SF0001), str(inbox), "accounts.csv")
+    _stage_file(spark, fx.raw_transactions(spark, SF0001, year_shift=10), str(inbox), "transactions.csv", "dd-MMM-yy")
+    config = tmp_path / "Config.csv"
+    config.write_text(f"Parameter,Value\nInputFilePath,{inbox}\nDatabaseName,{db}\n")
+    res = runner.run_from_config(spark, str(config), root=str(root), as_of=AS_OF, bad_share=0.01)
+    before = _tables(spark, db)
+    (inbox / "customers.csv" / "part-bad.csv").write_text("CUSTOMER_ID,FIRST_NAME\n" + "1,short\n" * 90)
+    with pytest.raises(ValueError, match="customers 3"):
+        runner.run_from_config(spark, str(config), root=str(root), as_of=AS_OF, bad_share=0.01)
+    assert _tables(spark, db) == before and res.counts["customer_stage"] == 92
+    audit = {(r["source"], r["column"]): r for n in ("customer", "account") for r in spark.table(f"{db}.{n}_cast_losses").collect()}
+    assert audit["customer", "CUSTOMER_ID"]["present"] == 92 and audit["account", "cust_id"]["lost"] == 0
+    sinks.drop_database(spark, db)
