@@ -1,32 +1,37 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text (a line of more than WINDOW words gives overlapping
-windows) or an overlapping window over the words of the whole text, its lines joined,
-so that a template broken over line ends is found.  The latter are made where the words
-of the whole text hold enough of some template.  A template matches a block if the block holds at least THRESHOLD of its
-distinct words, which is a = ceil(THRESHOLD * size) words.  All words of templates are
-ordered by their frequency in the corpus, the rarest first; then
+A template is a row (label, text), of a few words or a whole license; its words are folded
+and cut like those of a text.  Blocks for a template of at most W / 2 words, W the next such
+power of two and 64 at least, are the lines of a text (a line of more than W words gives
+windows of W words, each half a window after the one before) and the windows over the words
+of the whole text, its lines joined, so that a template broken over line ends is found.  A
+template matches a block if the block holds at least THRESHOLD of its distinct words, which
+is a = ceil(THRESHOLD * size) words.
+
+Candidates are texts that hold enough of a template in all, by a set-similarity join.  The
+words of all templates are ordered by the number of texts that hold them, the rarest first;
+then, with the template words of a text in this order,
 
 * prefix filter: of the size - a + 1 rarest words of a matching template, and of the
-  len - a + 1 rarest template words of the block, some word is common to both;
-* length filter: the block has at least a template words;
+  len - a + 1 rarest template words of the text, some word is common to both;
+* length filter: the text has at least a template words;
 * positional filter: after a common word at place i of the one and j of the other, no
   more than the remaining words can still agree.
 
-Candidates that pass are verified on the whole sets, so the join is exact.  The
-templates are a fixed list; their index is broadcast and does not grow with the data.
+What passes is verified on the whole sets, then block by block, so the join is exact: no
+block holds more of a template than its text.  Templates, their words and their prefixes are
+tables, which are broadcast behind a check of their bytes and joined as usual beyond it.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardflow.llm.common import saved
+from cardflow.operators.joins import broadcast_if_small
 
 # The base phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -48,7 +53,7 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
 THRESHOLD = 0.9
-WINDOW, STEP = 64, 32  # words; every template fits into the overlap of two windows
+WINDOW = 64  # words of the smallest window; every template fits into half of its window
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -57,6 +62,11 @@ def needed(template: str) -> int:
     return math.ceil(THRESHOLD * len(set(template.split())) - 1e-9)
 
 
+def template_table(spark: SparkSession) -> DataFrame:
+    """The templates of this library as a table."""
+    return spark.createDataFrame(TEMPLATES, "label string, text string")
+
+
 def folded(text: Column) -> Column:
     """A-Z in lower case.  `lower` does that faster; only two other characters have a
     lower-case form that begins with one of a-z."""
@@ -68,15 +78,39 @@ def _spaces(text: Column) -> Column:
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def words_of(text: Column) -> Column:
+    """The folded words of a text without line ends."""
+    clean = F.trim(F.regexp_replace(folded(text), NO_WORD, " "))
+    return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
+
+
+def known_templates(templates: DataFrame) -> DataFrame:
+    """(template, label, words, size, needed, window) of the templates with words; rows that
+    repeat are one, a null label or text counts as empty."""
+    own = templates.select(F.coalesce(F.col("label").cast("string"), F.lit("")).alias("label"),
+                           words_of(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("all")).distinct()
+    size = F.size("words")
+    return (own.withColumn("words", F.array_distinct("all")).filter(size > 0)
+            .withColumn("template", F.row_number().over(Window.orderBy("label", F.concat_ws(" ", "all"))))
+            .select("template", "label", "words", size.alias("size"), F.ceil(size * F.lit(THRESHOLD) - 1e-9).cast("int").alias("needed"),
+                    F.greatest(F.lit(WINDOW), F.pow(F.lit(2.0), F.ceil(F.log2(F.size("all"))) + 1).cast("int")).alias("window")))
+
+
+def lines_of(text: Column) -> Column:
+    """The non-empty lines of a text as its folded words with one space between them."""
+    return F.filter(F.transform(F.split(folded(text), "\n"), lambda s: F.trim(F.regexp_replace(s, NO_WORD, " "))),
+                    lambda s: s != "")
+
+
+def row_key(id_col: str, text: Column) -> Column:
+    return F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), text))
+
+
 def scan_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One pass over the texts: per row doc_id, a digest of (id, text) as its key, word
-    count, base matches, and the template words of each block that has enough of them."""
+    count, base matches, and its distinct words."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    lines = df.select(
-        F.col(id_col).alias("doc_id"),
-        F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), text)).alias("key"),
-        F.transform(F.split(folded(text), "\n"), lambda s: F.trim(F.regexp_replace(s, NO_WORD, " "))).alias("lines"))
-    body = lines.withColumn("lines", F.filter("lines", lambda s: s != ""))
+    body = df.select(F.col(id_col).alias("doc_id"), row_key(id_col, text).alias("key"), lines_of(text).alias("lines"))
     body = body.withColumn("body", F.concat(F.lit(" "), F.concat_ws(" ", "lines"), F.lit(" ")))
     words = F.when(F.size("lines") == 0, F.lit(0)).otherwise(_spaces(F.col("body")) - 1).cast("long")
 
@@ -90,70 +124,80 @@ def scan_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         lasts.append(F.when(hit, F.col("n_words") - n - _spaces(F.substring_index(mirror, padded[::-1], 1))))
         labels.append(F.when(hit, F.lit(label)))
 
-    vocabulary = F.array(*[F.lit(w) for w in sorted({w for _, t in TEMPLATES for w in t.split()})])
-    fewest = min(needed(t) for _, t in TEMPLATES)
-
-    def windows(all_words: Column) -> Column:
-        n = F.size(all_words)
-        return F.when(n <= WINDOW, F.array(all_words)).otherwise(
-            F.transform(F.sequence(F.lit(0), n - 1, F.lit(STEP)), lambda i: F.slice(all_words, i + 1, F.lit(WINDOW))))
-
-    def held(blocks: Column) -> Column:
-        return F.transform(blocks, lambda b: F.array_intersect(b, vocabulary))
-
-    # a window over line ends holds no word that the lines do not hold
-    body = body.withColumn("held", held(F.flatten(F.transform("lines", lambda s: windows(F.split(s, " "))))))
-    body = body.withColumn("known", F.array_distinct(F.flatten("held")))
-    enough = [F.size(F.array_intersect("known", F.array(*[F.lit(w) for w in sorted(set(t.split()))]))) >= needed(t)
-              for _, t in TEMPLATES]
-    wrapped = (F.size("lines") > 1) & reduce(or_, enough)
-    body = body.withColumn("joined", F.when(wrapped, F.split(F.trim("body"), " ")).otherwise(F.array().cast("array<string>")))
     return body.withColumn("n_words", words).select(
         "doc_id", "key", "n_words", sum(counts[1:], counts[0]).cast("long").alias("n_base"),
         F.least(*firsts).cast("long").alias("first_word"), F.greatest(*lasts).cast("long").alias("last_word"),
-        F.array_compact(F.array(*labels)).alias("base"),
-        F.filter(F.concat("held", held(windows(F.col("joined")))), lambda b: F.size(b) >= fewest).alias("blocks"))
+        F.array_compact(F.array(*labels)).alias("base"), F.array_distinct(F.split(F.trim("body"), " ")).alias("words"))
+
+
+def candidate_texts(scan: DataFrame, known: DataFrame) -> DataFrame:
+    """(key, template) of the texts that hold enough of a template, by prefix, length and
+    positional filters and a comparison of the whole sets."""
+    vocabulary = known.select(F.explode("words").alias("word")).distinct()
+    held = saved(scan.select("key", F.explode("words").alias("word")).join(broadcast_if_small(vocabulary), "word")
+                 .distinct(), "license-held")
+    # the global order: rarest first, over one row per word of the templates
+    counted = held.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    ranks = vocabulary.join(counted, "word", "left").select(
+        "word", F.row_number().over(Window.orderBy(F.coalesce("n", F.lit(0)), "word")).alias("rank"))
+    ranks = saved(ranks, "license-ranks")
+    ordered = (known.select("template", "size", "needed", F.explode("words").alias("word")).join(ranks, "word")
+               .groupBy("template", "size", "needed").agg(F.array_sort(F.collect_list("rank")).alias("ranks")))
+    index = saved(ordered.select("template", "size", "needed", "ranks", F.posexplode(
+        F.slice("ranks", 1, F.col("size") - F.col("needed") + 1)).alias("i", "rank")), "license-index")
+    # a text holds at most the words of the templates
+    mine = (held.join(broadcast_if_small(ranks), "word").groupBy("key")
+            .agg(F.array_sort(F.collect_list("rank")).alias("mine")))
+    placed = mine.select("key", "mine", F.size("mine").alias("len"), F.posexplode("mine").alias("j", "rank"))
+    near = placed.join(broadcast_if_small(index), "rank").filter(
+        (F.col("len") >= F.col("needed")) & (F.col("j") <= F.col("len") - F.col("needed"))
+        & (F.least(F.col("size") - F.col("i"), F.col("len") - F.col("j")) + F.least("i", "j") >= F.col("needed")))
+    return near.filter(F.size(F.array_intersect("mine", "ranks")) >= F.col("needed")).select("key", "template").distinct()
+
+
+def blocks_of(lines: Column, window: Column) -> Column:
+    """The word lists that templates of a window's size are compared with."""
+    def windows(all_words: Column) -> Column:
+        n = F.size(all_words)
+        return F.when(n <= window, F.array(all_words)).otherwise(F.transform(
+            F.sequence(F.lit(0), n - 1, (window / 2).cast("int")), lambda i: F.slice(all_words, i + 1, window)))
+
+    single = F.flatten(F.transform(lines, lambda s: windows(F.split(s, " "))))
+    joined = F.when(F.size(lines) > 1, windows(F.split(F.concat_ws(" ", lines), " ")))
+    return F.concat(single, F.coalesce(joined, F.array().cast("array<array<string>>")))
 
 
-def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_scan(df: DataFrame, templates: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score.
 
-    `score` is the largest share of a template's words that one block holds, over the
-    templates that match (1 for a base phrase, 0 without any match).  A null text counts
-    as empty: no words, no labels, null positions.  Whole texts are scanned.  Rows that
-    repeat an identifier keep their own results, equal rows get equal ones; only the two
-    named columns are read; an empty table gives an empty result.
+    `templates` is a table of (label, text), this library's own by default; it may be empty,
+    and rows without words match nothing.  `score` is the largest share of a template's
+    words that one block holds, over the templates that match (1 for a base phrase, 0
+    without any match).  A null text counts as empty: no words, no labels, null positions.
+    Whole texts are scanned.  Rows that repeat an identifier keep their own results, equal
+    rows get equal ones; only the two named columns are read; an empty table gives an empty
+    result.
     """
-    spark = df.sparkSession
+    known = saved(known_templates(template_table(df.sparkSession) if templates is None else templates), "license-templates")
     scan = saved(scan_table(df, id_col, text_col), "license-scan")
-    block = scan.filter(F.size("blocks") > 0).select("key", F.explode("blocks").alias("held"))
-
-    # the global order: rarest first; one row per word of the fixed templates
-    counted = block.select(F.explode("held").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    frequency = {r["word"]: r["n"] for r in counted.collect()}
-    order = sorted({w for _, t in TEMPLATES for w in t.split()}, key=lambda w: (frequency.get(w, 0), w))
-    rank = {w: i for i, w in enumerate(order)}
-    index = []  # prefixes of the templates
-    for number, (label, text) in enumerate(TEMPLATES):
-        ranks, a = sorted({rank[w] for w in text.split()}), needed(text)
-        index += [(r, number, label, i, a, ranks) for i, r in enumerate(ranks[:len(ranks) - a + 1])]
-    index = F.broadcast(spark.createDataFrame(index, "rank int, template int, label string, i int, least int, ranks array<int>"))
-    prefix_ranks = F.array(*[F.lit(r) for r in sorted({r["rank"] for r in index.select("rank").distinct().collect()})])
-
-    table = F.create_map(*[F.lit(x) for kv in rank.items() for x in kv])
-    ordered = block.select("key", F.array_sort(F.transform("held", lambda w: table[w])).alias("mine"))
-    ordered = ordered.filter(F.arrays_overlap("mine", prefix_ranks))
-    placed = ordered.select("key", "mine", F.size("mine").alias("len"), F.posexplode("mine").alias("j", "rank"))
-    near = placed.join(index, "rank").filter(
-        (F.col("len") >= F.col("least")) & (F.col("j") <= F.col("len") - F.col("least"))
-        & (F.least(F.size("ranks") - F.col("i"), F.col("len") - F.col("j")) + F.least("i", "j") >= F.col("least")))
-    common = F.size(F.array_intersect("mine", "ranks"))
-    found = (near.filter(common >= F.col("least"))
-             .groupBy("key").agg(F.collect_set("label").alias("own"), F.max(common / F.size("ranks")).alias("part")))
+    pairs = saved(candidate_texts(scan, known), "license-candidates")
+
+    # the candidate texts again, for their blocks; equal rows are one here
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = (df.select(row_key(id_col, text).alias("key"), text.alias("text"))
+             .join(broadcast_if_small(pairs.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"]))
+    cut = pairs.join(broadcast_if_small(known), "template").groupBy("key", "window").agg(
+        F.collect_list(F.struct("label", "words", "size", "needed")).alias("wanted"))
+    blocks = texts.select("key", lines_of(F.col("text")).alias("lines")).join(cut, "key")
+    best = F.transform("wanted", lambda t: F.struct(t["label"].alias("label"), t["size"].alias("size"), t["needed"].alias("needed"),
+                                                    F.array_max(F.transform("blocks", lambda b: F.size(F.array_intersect(t["words"], b)))).alias("held")))
+    matched = (blocks.select("key", "wanted", blocks_of(F.col("lines"), F.col("window")).alias("blocks"))
+               .select("key", F.explode(best).alias("m")).filter(F.col("m.held") >= F.col("m.needed")))
+    found = matched.groupBy("key").agg(F.collect_set("m.label").alias("own"), F.max(F.col("m.held") / F.col("m.size")).alias("part"))
 
     own = F.coalesce("own", F.array().cast("array<string>"))
-    return scan.drop("blocks").join(found, "key", "left").select(
+    return scan.drop("words").join(found, "key", "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.concat_ws(",", F.array_sort(F.array_distinct("base"))).alias("base_labels"),
         F.concat_ws(",", F.array_sort(F.array_union("base", own))).alias("labels"),

@@ -32,7 +32,7 @@ SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM
 
 
 def _licenses() -> str:
-    from cardflow.llm.licenses import NO_WORD, PHRASES, STEP, TEMPLATES, WINDOW, needed
+    from cardflow.llm.licenses import NO_WORD, PHRASES, TEMPLATES, WINDOW, needed
     phrases = ", ".join(f"({p!r}, {label!r})" for p, label in PHRASES)
     templates = ", ".join(f"({label!r}, {sorted(set(t.split()))!r}, {needed(t)})" for label, t in TEMPLATES)
     return f"""
@@ -44,8 +44,9 @@ place AS (SELECT doc_id, label, i - 1 AS pos FROM w, phrase, unnest(range(1, len
 base AS (SELECT doc_id, count(*) AS n, min(pos) AS a, max(pos) AS z, list(DISTINCT label) AS labels FROM place GROUP BY doc_id),
 line AS (SELECT doc_id, list_filter(string_split_regex(l, '{NO_WORD}'), lambda x: x <> '') AS l
          FROM t, unnest(string_split(t, chr(10))) AS r(l)),
-block AS (SELECT doc_id, l AS b FROM line WHERE len(l) BETWEEN 1 AND {WINDOW}
-          UNION ALL SELECT doc_id, l[i + 1:i + {WINDOW}] FROM line, unnest(range(0, len(l), {STEP})) AS r(i)
+whole AS (SELECT doc_id, l FROM line UNION ALL SELECT doc_id, w FROM w),
+block AS (SELECT doc_id, l AS b FROM whole WHERE len(l) BETWEEN 1 AND {WINDOW}
+          UNION ALL SELECT doc_id, l[i + 1:i + {WINDOW}] FROM whole, unnest(range(0, len(l), {WINDOW // 2})) AS r(i)
           WHERE len(l) > {WINDOW}),
 template(label, words, least) AS (VALUES {templates}),
 own AS (SELECT doc_id, list(DISTINCT label) AS labels,
@@ -63,9 +64,30 @@ ORACLE["op6_licenses"] = _licenses()
 
 def _merkle() -> str:
     from cardflow.llm.merkle import PIECE
+
     def tree(t):
         return (f"list_transform(string_split({t}, chr(10)), lambda s: "
                 f"list_transform(regexp_extract_all(s, '{PIECE}'), lambda p: sha256(p)))")
+
+    def numbered(t):
+        return (f"list_transform(flatten({t}), lambda x, i: x || ':' || "
+                f"len(list_filter(flatten({t})[1:i], lambda y: y = x)))")
+
+    def common(x, y):
+        return f"list_filter({x}, lambda v: list_contains({y}, v))"
+
+    def pairs(c):
+        return f"list_transform(range(1, len({c})), lambda i: {c}[i] || '>' || {c}[i + 1])"
+
+    def near(x, y, c, d, same):
+        both, either = f"len({c})", f"(len({x}) + len({y}) - len({c}))"
+        order = f"((len(list_intersect({pairs(c)}, {pairs(d)})) + 1)::DOUBLE / {both})"
+        return (f"CASE WHEN {same} THEN 1.0::DOUBLE WHEN {both} = 0 THEN 0 "
+                f"ELSE least({both}::DOUBLE / {either} * {order}, {either}::DOUBLE / ({either} + 1)) END")
+
+    def up_to(x, y):
+        return f"range(0, greatest(coalesce(len({x}), 0), coalesce(len({y}), 0), 1))"
+
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) // 3 AS k,
                   coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC),
@@ -76,14 +98,17 @@ s AS (SELECT doc_id, length(t) AS n_chars, sha256(e) AS edited_sha256, {tree('t'
 r AS (SELECT *, list_transform(a, lambda l: sha256(coalesce(array_to_string(l, ','), ''))) AS na,
              list_transform(b, lambda l: sha256(coalesce(array_to_string(l, ','), ''))) AS nb,
              list_transform(c, lambda l: sha256(coalesce(array_to_string(l, ','), ''))) AS nc,
-             list_distinct(flatten(a)) AS la, list_distinct(flatten(b)) AS lb, list_distinct(flatten(c)) AS lc FROM s),
-z AS (SELECT *, len(list_intersect(la, lb)) AS ab, len(list_intersect(la, lc)) AS ac FROM r)
+             {numbered('a')} AS la, {numbered('b')} AS lb, {numbered('c')} AS lc FROM s),
+z AS (SELECT *, {common('la', 'lb')} AS ab, {common('lb', 'la')} AS ba, {common('la', 'lc')} AS ac, {common('lc', 'la')} AS ca,
+             list_filter({up_to('na', 'nb')}, lambda i: na[i + 1] IS DISTINCT FROM nb[i + 1]) AS diff FROM r),
+w AS (SELECT *, flatten(list_transform(diff, lambda i: list_transform(list_filter(
+             {up_to('a[i + 1]', 'b[i + 1]')}, lambda j: a[i + 1][j + 1] IS DISTINCT FROM b[i + 1][j + 1]
+             OR greatest(coalesce(len(a[i + 1]), 0), coalesce(len(b[i + 1]), 0)) = 0), lambda j: i || ':' || j))) AS places FROM z)
 SELECT doc_id, n_chars, edited_sha256, sha256(array_to_string(na, ';')) AS fingerprint,
-       sha256(array_to_string(nb, ';')) AS edited_fingerprint,
-       CASE WHEN na = nb THEN 1.0::DOUBLE WHEN len(la) + len(lb) = 0 THEN 0 ELSE ab / (len(la) + len(lb) - ab) END AS near_edited,
-       CASE WHEN na = nc THEN 1.0::DOUBLE WHEN len(la) + len(lc) = 0 THEN 0 ELSE ac / (len(la) + len(lc) - ac) END AS near_next,
-       list_filter(range(0, greatest(len(na), len(nb))), lambda i: na[i + 1] IS DISTINCT FROM nb[i + 1])[1]::INT AS edited_section
-FROM z"""
+       sha256(array_to_string(nb, ';')) AS edited_fingerprint, {near('la', 'lb', 'ab', 'ba', 'na = nb')} AS near_edited,
+       {near('la', 'lc', 'ac', 'ca', 'na = nc')} AS near_next, diff[1]::INT AS edited_section,
+       coalesce(array_to_string(places, ','), '') AS edits
+FROM w"""
 
 
 ORACLE["op4_merkle"] = _merkle()

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -163,6 +164,58 @@ def test_merkle_locates_the_edit(spark):
     assert [tuple(r) for r in got] == [(2, 0.5), (None, 1.0), (1, 0.5)]
 
 
+def plain_tree(text):
+    leaves = [[hashlib.sha256(p.encode()).hexdigest() for p in re.findall(merkle.PIECE, s)] for s in text.split("\n")]
+    nodes = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in leaves]
+    flat = [x for s in leaves for x in s]
+    return leaves, nodes, hashlib.sha256(";".join(nodes).encode()).hexdigest(), [(x, flat[:i].count(x)) for i, x in enumerate(flat)]
+
+
+def plain_compare(p, q):
+    (pl, pn, pr, pf), (ql, qn, qr, qf) = plain_tree(p), plain_tree(q)
+    if pr == qr:
+        return 1.0, []
+    one, two = [x for x in pf if x in qf], [x for x in qf if x in pf]
+    either, same = len(set(pf) | set(qf)), set(zip(one, one[1:])) & set(zip(two, two[1:]))
+    near = min(len(one) / either * (len(same) + 1) / len(one), either / (either + 1)) if one else 0.0
+    at = lambda x, i, none=None: x[i] if i < len(x) else none
+    places = [(i, j) for i in range(max(len(pn), len(qn))) if at(pn, i) != at(qn, i)
+              for x, y in [(at(pl, i, []), at(ql, i, []))] for j in range(max(len(x), len(y), 1))
+              if at(x, j) != at(y, j) or not x and not y]
+    return near, places
+
+
+def test_merkle_likeness_and_edits_against_brute_force(spark):
+    rnd = random.Random(6)
+    piece = lambda: rnd.choice(["a.", "b.", "c!", "long words without an end ", "\n", "\n", "?", "x" * 70])
+    pairs = [("a.\nb.", "b.\na."), ("a.b.", "a.\nb."), ("a.\n" * 10, "a.\n" * 1000), ("", ""), ("", "a"), ("", "\n"), ("a", "a\n\n")]
+    for _ in range(120):
+        p = [piece() for _ in range(rnd.randrange(14))]
+        q = list(p)
+        for _ in range(rnd.randrange(4)):
+            q[rnd.randrange(len(q) + 1):][:0] = [piece()]
+            if q:
+                q[rnd.randrange(len(q))] = piece()
+        pairs.append(("".join(p), "".join(q)))
+    df = spark.createDataFrame([(i, p, q) for i, (p, q) in enumerate(pairs)], "i int, p string, q string")
+    s = df.select("i", merkle.summary(F.col("p")).alias("a"), merkle.summary(F.col("q")).alias("b"))
+    got = {r["i"]: r for r in s.select("i", (F.col("a.root") == F.col("b.root")).alias("same"), merkle.likeness(F.col("a"), F.col("b")).alias("near"),
+                                       merkle.differences(F.col("a"), F.col("b")).alias("d")).collect()}
+    for i, (p, q) in enumerate(pairs):
+        near, places = plain_compare(p, q)
+        assert got[i]["near"] == pytest.approx(near, abs=1e-12) and [tuple(x) for x in got[i]["d"]] == places
+        assert got[i]["same"] == (p == q) == (got[i]["near"] == 1.0) == (not places)
+
+
+def test_merkle_neighbours_of_one_hot_identifier(spark):
+    """Rows that share an identifier, or have none, are cut into ranges; each text follows one other."""
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, f"text {i % 200} " * 3, None, None) for i in range(600)]
+    pairs = merkle.with_next(table(spark, rows), "doc_id", "text").select("doc_id", "text", "next").collect()
+    assert sorted(r["text"] for r in pairs) == sorted(r["next"] for r in pairs) == sorted(t for _, t, _, _ in rows)
+    plan = merkle.fingerprints(table(spark, rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 60_000
+
+
 def test_licenses(spark):
     got = by_id(licenses.license_scan(table(spark, TEXTS)))
     r = got[13]
