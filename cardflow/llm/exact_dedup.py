@@ -7,9 +7,10 @@ keeps one identifier of each run.
 
 * The splitter key is (first 32 bytes, 64-bit digest, salt): the sample that the driver
   gets stays small however long the texts are.  The comparison is over whole texts.
-* A text with more rows than a fourth of an average partition is cut by a salt into
-  parts of about that size (at most 4 texts per partition can be so frequent, which
-  bounds the broadcast list).  Part leaders, one per part, carry the whole text and are
+* A text with more rows than a fourth of an average partition is cut by a salt (of the
+  identifier and the row's own number, so that repeated rows part as well) into parts of
+  about that size (at most 4 texts per partition can be so frequent; their list is
+  broadcast behind a check of its bytes).  Part leaders, one per part, carry the whole text and are
   grouped by it to join the parts again; nothing else of the group moves twice.
 """
 
@@ -19,6 +20,42 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardflow.llm.common import partitions, saved
+from cardflow.operators.joins import broadcast_if_small
+
+
+def frequent(keyed: DataFrame) -> DataFrame:
+    """(h, parts) of the content hashes `h` with more rows than a fourth of an average
+    partition: at most 4 rows per partition."""
+    often = keyed.count() // (4 * partitions(keyed.sparkSession)) + 1
+    hot = (keyed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > often)
+           .select("h", F.ceil(F.col("n") / F.lit(often)).alias("parts")))
+    return saved(hot, "dedup-hot")
+
+
+def first_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of the rows with equal texts the one that `exact_dedup` keeps, whole: the smallest
+    identifier (null after all others); of rows that share it too the one whose other
+    columns, as JSON, come first.  Texts are shuffled once, and of frequent texts, which
+    meet where they are read, only one copy a task.  Columns may have any name and type.
+    """
+    p = partitions(df.sparkSession)
+    others = [F.col(f"`{c}`") for c in df.columns if c not in (id_col, text_col)]
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                 (F.to_json(F.struct(*others)) if others else F.lit("")).alias("rest")).alias("rank"))
+    body = F.encode(F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit("")), "UTF-8")
+    keyed = rows.withColumn("h", F.xxhash64(body))
+    hot = frequent(keyed)
+    none_hot = hot.isEmpty()
+    cold = keyed if none_hot else keyed.join(broadcast_if_small(hot), "h", "left_anti")
+    ranged = cold.withColumn("head", F.substring(body, 1, 32)).repartitionByRange(p, "head", "h").withColumn("body", body)
+    run = Window.partitionBy("head", "h", "body").orderBy("rank")
+    first = ranged.withColumn("rn", F.row_number().over(run)).filter("rn = 1").select("row.*")
+    if none_hot:
+        return first
+    copies = keyed.join(broadcast_if_small(hot), "h", "left_semi").withColumn("body", body)
+    return first.unionByName(copies.groupBy("body").agg(F.min_by("row", "rank").alias("row")).select("row.*"))
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
@@ -36,16 +73,12 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     spark = df.sparkSession
     p = partitions(spark)
     body = F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "UTF-8")
-    rows = df.select(F.col(id_col).alias("doc_id"), body.alias("body"))
+    rows = df.select(F.col(id_col).alias("doc_id"), body.alias("body"), F.monotonically_increasing_id().alias("row"))
     keyed = rows.withColumn("h", F.xxhash64("body"))
 
-    often = df.count() // (4 * p) + 1
-    hot = (keyed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > often)
-           .select("h", F.ceil(F.col("n") / F.lit(often)).alias("parts")))
-    hot = saved(hot, "dedup-hot")  # at most 4 rows per partition: n > rows / 4p
-    salted = (keyed.join(F.broadcast(hot), "h", "left")
+    salted = (keyed.join(broadcast_if_small(frequent(keyed)), "h", "left")
               .withColumn("salt", F.when(F.col("parts").isNull(), F.lit(0))
-                          .otherwise(F.pmod(F.xxhash64("doc_id"), F.col("parts"))).cast("int"))
+                          .otherwise(F.pmod(F.xxhash64("doc_id", "row"), F.col("parts"))).cast("int"))
               .withColumn("head", F.substring("body", 1, 32)))
     ranged = salted.repartitionByRange(p, "head", "h", "salt")
     first = F.col("doc_id").asc_nulls_last() if keep == "min" else F.col("doc_id").desc_nulls_last()
@@ -75,8 +108,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
                                      F.sum("part_size").alias("group_size"),
                                      F.first("text_sha256").alias("text_sha256"), best.alias("best_salt"))
               .drop("leader"))
-    # one row per frequent text, so within the bound of `hot`
-    split = parts.filter("hot").join(F.broadcast(groups), "text_sha256").select(
+    # one row per frequent text
+    split = parts.filter("hot").join(broadcast_if_small(groups), "text_sha256").select(
         "doc_id", "keep_id", "group_size",
         ((F.col("rn") == 1) & (F.col("salt") == F.col("best_salt"))).alias("kept"), "text_sha256")
     return whole.unionByName(split).select(

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardflow.llm.bpe import texts
 from cardflow.llm.common import saved
@@ -182,19 +183,26 @@ def decoded(pattern: int) -> tuple[list[int], int]:
 CANDIDATES = "array<struct<kind:int,start:int,end:int,base:boolean,pattern:int>>"
 
 
+CANDIDATE = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()),
+                                ("pattern", pa.int32())]))
+
+
+def candidate_spans(column: pa.Array) -> pa.Array:
+    """The candidates of each text: base spans and wider ones, with votes and shape."""
+    rows = []
+    for text in texts(column):
+        failed: list = []
+        base = base_spans(text, failed)
+        both = [(s, True) for s in base] + [(s, False) for s in wider_spans(text, base, failed)]
+        rows.append([{"kind": k, "start": a, "end": b, "base": is_base,
+                      "pattern": encoded(votes(text, k, a, b), shape(text, a, b))}
+                     for (k, a, b), is_base in both])
+    return pa.array(rows, CANDIDATE)
+
+
 def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()),
-                               ("base", pa.bool_()), ("pattern", pa.int32())]))
     for batch in batches:
-        rows = []
-        for text in texts(batch.column(1)):
-            failed: list = []
-            base = base_spans(text, failed)
-            both = [(s, True) for s in base] + [(s, False) for s in wider_spans(text, base, failed)]
-            rows.append([{"kind": k, "start": a, "end": b, "base": is_base,
-                          "pattern": encoded(votes(text, k, a, b), shape(text, a, b))}
-                         for (k, a, b), is_base in both])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], names=["doc_id", "spans"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), candidate_spans(batch.column(1))], names=["doc_id", "spans"])
 
 
 def reliabilities(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
@@ -316,29 +324,37 @@ def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
 def masked(df: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
            size_col: str = "n_chars") -> DataFrame:
     """`df` with its personal data masked and `size_col`, where it has one, recounted.
-    Spans are those of `span_table`; they are found again in each row once the
-    classifier is learned, so no text is shuffled and identifiers may repeat."""
-    odds = span_odds(find_candidates(df, id_col, text_col))
+    Spans are those of `span_table`.  The texts are searched once: the candidates are written
+    beside the rows, and masked once the classifier is learned, so no text is shuffled and
+    identifiers may repeat."""
     names = [f.name for f in df.schema.fields]
     at = names.index(text_col)
+    size = names.index(size_col) if size_col in names else None
+    spans = "spans"
+    while spans in names:
+        spans += "_"
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, candidate_spans(batch.column(at))], names=[*names, spans])
+
+    schema = T.StructType([*df.schema.fields, T.StructField(spans, T.StructType.fromDDL(f"c {CANDIDATES}")["c"].dataType)])
+    found = saved(df.mapInArrow(search, schema), "pii-found")
+    odds = span_odds(found.select(F.col(spans).alias("spans")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols, new = list(batch.columns), batch.column(at).to_pylist()
-            sizes = batch.column(names.index(size_col)).to_pylist() if size_col in names else [None] * len(new)
+            cols, new, own = list(batch.columns[:-1]), batch.column(at).to_pylist(), batch.columns[-1].to_pylist()
+            sizes = batch.column(size).to_pylist() if size is not None else [None] * len(new)
             for i, text in enumerate(new):
-                if not text:
-                    continue
-                failed: list = []
-                base = base_spans(text, failed)
-                spans = base + [s for s in wider_spans(text, base, failed)
-                                if odds.get(s[0] * 4096 + encoded(votes(text, *s), shape(text, *s[1:])), 0.0) >= least]
-                if spans:
-                    new[i] = mask(text, spans)
+                kept = [(s["kind"], s["start"], s["end"]) for s in own[i]
+                        if s["base"] or odds.get(s["kind"] * 4096 + s["pattern"], 0.0) >= least]
+                if kept:
+                    new[i] = mask(text, kept)
                     sizes[i] = len(new[i])
             cols[at] = pa.array(new, batch.column(at).type)
-            if size_col in names:
-                cols[names.index(size_col)] = pa.array(sizes, cols[names.index(size_col)].type)
+            if size is not None:
+                cols[size] = pa.array(sizes, cols[size].type)
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return df.mapInArrow(run, df.schema)
+    return found.mapInArrow(replace, df.schema)
