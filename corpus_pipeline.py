@@ -22,22 +22,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one row stays, one with the smallest doc_id (null after all others);
-    of rows that share this doc_id and text the one with the smallest other columns."""
-    decided = exact_dedup.exact_dedup(docs, keep="min")
-    pairs = saved(decided.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-                  .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("_n")).filter("kept").drop("kept"), "exact-pairs")
-    keyed = docs.withColumn("_text_sha", F.sha2(F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8"), 256))
-
-    def at(chosen: DataFrame) -> DataFrame:
-        same = keyed["doc_id"].eqNullSafe(chosen["_id"]) & (keyed["_text_sha"] == chosen["_sha"])
-        return keyed.join(chosen, same, "left_semi")
-
-    single = at(pairs.filter("_n = 1")).drop("_text_sha")
-    if pairs.filter("_n > 1").isEmpty():  # identifiers do not repeat: the texts are read once
-        return single
-    repeated = (at(pairs.filter("_n > 1")).groupBy("doc_id", "_text_sha")
-                .agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*"))
-    return single.unionByName(repeated)
+    of rows that share this doc_id and text the one whose other columns, as JSON, come first."""
+    return exact_dedup.first_rows(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +32,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     others; of rows that share it the one with the smallest digest of its text).
 
     Rows are told apart by a number of their own, as identifiers may repeat or be null."""
-    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
-    groups = near_dedup.near_groups(rows, percent=80, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2(F.col("text").cast("string").cast("binary"), 256).alias("sha"), "_row")
-    kept = (rows.select("_row", first.alias("first")).join(groups, "_row")
-            .groupBy("component_id").agg(F.min("first").alias("first")).select(F.col("first._row").alias("doc_id")))
-    return only(rows, kept, id_col="_row").drop("_row")
+    row, own = "_row", list(docs.columns)
+    while row in own:
+        row += "_"
+    rows = saved(docs.withColumn(row, F.monotonically_increasing_id()), "near-rows")
+    groups = near_dedup.near_groups(rows, percent=80, id_col=row).select(F.col("doc_id").alias("_at"), "component_id")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2(F.col("text").cast("string").cast("binary"), 256).alias("sha"),
+                     F.col(row).alias("_at"))
+    kept = (rows.select(first.alias("_first")).join(groups, F.col("_first._at") == F.col("_at"))
+            .groupBy("component_id").agg(F.min("_first").alias("_first")).select(F.col("_first._at").alias("doc_id")))
+    return only(rows, kept, id_col=row).select(*own)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
