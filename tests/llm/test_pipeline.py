@@ -1,6 +1,8 @@
 """Each stage of the pipeline on its own input, against a brute-force version."""
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF0001
 import corpus_pipeline as pipeline
@@ -91,3 +93,28 @@ def test_near_dedup_tells_rows_of_one_identifier_apart(spark):
     got = pipeline.drop_near_copies(spark, table(spark, rows), SF0001).collect()
     assert sorted(r["doc_id"] for r in got) == [5, 5]
     assert len([r for r in got if r["text"].startswith("w0")]) == 1
+
+
+def test_stages_on_empty_tables_and_other_columns(spark):
+    """Columns of any type and name stay; an empty table stays empty."""
+    docs = saved(table(spark, TEXTS + TEXTS[:3]).withColumns(
+        {"tags": F.create_map(F.lit("k"), F.col("lang")), "_row": F.lit(7), "_text_sha": F.lit("mine"), "rank": F.col("doc_id")}), "t-more")
+    for name, stage in pipeline.STAGES:
+        got = stage(spark, docs, SF0001)
+        if name != "packing":
+            assert got.columns == docs.columns
+            rows = got.collect()
+            assert rows and all(r["_row"] == 7 and r["_text_sha"] == "mine" and r["tags"] == {"k": r["lang"]} for r in rows)
+        assert stage(spark, docs.limit(0), SF0001).count() == 0
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_exact_copies_of_a_frequent_text(spark, hot):
+    rows = [(i if i % 7 else None, "hot text" if hot and i % 3 else f"text {i % 50}", "en", f"s{i % 4}") for i in range(700)]
+    rows += rows[:40] + [(i, None, None, None) for i in range(3)] + [(i, "", None, None) for i in range(3, 6)]
+    got = pipeline.drop_exact_copies(spark, table(spark, rows), SF0001).collect()
+    best = {}
+    for i, t, _, s in rows:
+        best[t or ""] = min(best.get(t or "", (True, 0, "z")), (i is None, i or 0, s or ""))
+    assert len(got) == len(best)
+    assert {r["text"] or "": (r["doc_id"] is None, r["doc_id"] or 0, r["source"] or "") for r in got} == best
