@@ -183,23 +183,28 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def train(df: DataFrame, per_language: int = 600, fragment: int = 512, seed: int = 5, id_col: str = "doc_id",
+def train(df: DataFrame, per_language: int = 600, drawn_windows: int = 8192, seed: int = 5, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> Gru:
-    """Learns from at most `per_language` rows of each language, drawn by a seeded hash
-    of the id, a fragment of `fragment` characters from a hashed place of each.  Rows
-    that are held out or have no language or text are not used."""
-    text, h = F.col(text_col).cast("string"), seeded(seed, id_col)
-    rows = df.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & text.isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(id_col).alias("i"), h.alias("h"),
-        text.substr((h % F.greatest(F.lit(1), F.length(text) - fragment + 1)).cast("int") + 1,
-                    F.lit(fragment)).alias("part"))
+    """Learns from at most `drawn_windows` windows of each language, drawn by a seeded hash
+    from all windows of at most `per_language` whole texts, which are drawn by a seeded hash of
+    the id.  Rows that are held out or have no language or text are not used."""
+    body = F.encode(F.col(text_col).cast("string"), "UTF-8")
+    rows = df.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("i"), seeded(seed, id_col).alias("h"), body.alias("body"))
     # first a cut by the hash, so that what reaches a language's task does not grow with the rows
     sizes = saved(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang-sizes")
     rows = rows.join(broadcast_if_small(sizes), "lang").filter(unit(F.col("h")) <= F.lit(3.0 * per_language) / F.col("n"))
-    best = Window.partitionBy("lang").orderBy("h", "i", "part")
-    drawn = rows.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= per_language)
-    got = sorted((r["lang"], r["h"], r["i"], r["part"]) for r in drawn.select("lang", "h", "i", "part").collect())
-    return fit([r[3].encode() for r in got], [r[0] for r in got], seed=seed)
+    best = Window.partitionBy("lang").orderBy("h", "i", F.xxhash64("body"))
+    texts = rows.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= per_language)
+    # the windows of a text are cut at once, so its bytes are not repeated for each of them
+    parts = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.octet_length("body") - 1), F.lit(STEPS)),
+                        lambda at: F.struct(at.alias("at"), F.substring(F.col("body"), at + 1, F.lit(STEPS)).alias("part")))
+    cut = texts.select("lang", "i", "k", F.explode(parts).alias("w")).select(
+        "lang", "w.part", seeded(seed, "k", "w.at", "i").alias("h"))
+    least = Window.partitionBy("lang").orderBy("h", "part")
+    chosen = cut.withColumn("n", F.row_number().over(least)).filter(F.col("n") <= drawn_windows)
+    got = sorted((r["lang"], r["h"], bytes(r["part"])) for r in chosen.select("lang", "h", "part").collect())
+    return fit([r[2] for r in got], [r[0] for r in got], seed=seed)
 
 
 def predict(df: DataFrame, net: Gru, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

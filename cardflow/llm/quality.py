@@ -210,8 +210,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, min_rows: int =
 
 def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = pa.array([x.astype(np.int32) for x in features(batch.column(1))], pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), rows], names=["grade", "x"])
+        rows = pa.array([x.astype(np.int32) for x in features(batch.column(2))], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), rows], names=["grade", "h", "x"])
 
 
 def grade_of(quality: Column, toxic: Column) -> Column:
@@ -223,16 +223,18 @@ def grade_of(quality: Column, toxic: Column) -> Column:
 def train(df: DataFrame, labels: DataFrame, most: int = 8000, seed: int = 11, id_col: str = "doc_id",
           text_col: str = "text") -> Ordinal:
     """Fits on the rated rows, at most `most` of them, drawn by a seeded hash of the id
-    (the same rows however the tables are partitioned).  Rows of `labels` without an id
-    or a rating are left out; no rated row at all gives even odds for every text."""
+    (the same rows however the tables are partitioned); the bound holds for the ratings and
+    for the texts that have them, also where identifiers repeat.  Rows of `labels` without an
+    id or a rating are left out; no rated row at all gives even odds for every text."""
     rated = (labels.select(F.col("doc_id").alias("_id"), grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
              .filter("_id IS NOT NULL AND grade IS NOT NULL"))
     # first a cut by the hash, so that the final sort does not grow with the labels
     h, n = seeded(seed, "_id"), rated.count()
     drawn = rated.filter(unit(h) <= F.lit(3.0 * most / max(1, n))).orderBy(h, "_id", "grade").limit(most)
     texts = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    found = texts.join(F.broadcast(drawn), "_id").select(F.col("grade").cast("long").alias("grade"), "text")
-    table = found.mapInArrow(feature_rows, "grade long, x array<int>").toArrow()
+    found = texts.join(F.broadcast(drawn), "_id").select(F.col("grade").cast("long").alias("grade"), h.alias("h"), "text")
+    found = found.mapInArrow(feature_rows, "grade long, h long, x array<int>")
+    table = found.orderBy("h", F.xxhash64("x"), "grade").limit(most).select("grade", "x").toArrow()
     rows = [x.values.to_numpy() for chunk in table["x"].chunks for x in chunk]
     return fit(rows, table["grade"].to_numpy().astype(np.int64), 3)
 
