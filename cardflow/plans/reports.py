@@ -12,16 +12,32 @@ from cardflow.operators.ordered import lag_by_range
 MONEY = "decimal(28,6)"
 
 
+def geography_states(inter: DataFrame, by: tuple[str, ...] = ("YEAR", "COUNTRY", "STATE")) -> DataFrame:
+    """Mergeable states of the geography report: exact counts and sums, best and worst."""
+    income = F.col("ANNUAL_INCOME").cast(MONEY)
+    return inter.groupBy(*by).agg(
+        F.count("Cust_Id").alias("customers"), F.count(income).alias("incomes"), F.sum(income).alias("income"),
+        F.max("Credit_Score").alias("best"), F.min("Credit_Score").alias("worst"))
+
+
+def geography_from_states(states: DataFrame, ordered: bool = False) -> DataFrame:
+    """The geography report from states of any parts of the rows: the same numbers, bit
+    for bit, as from the rows, since sums of decimals are exact."""
+    out = states.groupBy("COUNTRY", "STATE").agg(
+        F.sum("customers").alias("CUST_ID_COUNT"),
+        F.try_divide(F.sum("income").cast("double"), F.sum("incomes")).alias("AVG_ANNUAL_INCOME"),
+        F.max("best").alias("MAX_CREDIT_SCORE"), F.min("worst").alias("MIN_CREDIT_SCORE"))
+    return out.orderBy("COUNTRY", "STATE") if ordered else out
+
+
 def geography(inter: DataFrame, ordered: bool = False) -> DataFrame:
     """Per country and state: rows with a customer id (transactions), mean
     income, best and worst credit score.
     The group count is bounded by the geography, so ordering it is cheap."""
-    out = inter.groupBy(F.col("COUNTRY"), F.col("STATE")).agg(
-        F.count("Cust_Id").alias("CUST_ID_COUNT"),
-        F.avg(F.col("ANNUAL_INCOME").cast(MONEY)).cast("double").alias("AVG_ANNUAL_INCOME"),
-        F.max("Credit_Score").alias("MAX_CREDIT_SCORE"),
-        F.min("Credit_Score").alias("MIN_CREDIT_SCORE"),
-    )
+    out = geography_states(inter, ("COUNTRY", "STATE")).select(
+        "COUNTRY", "STATE", F.col("customers").alias("CUST_ID_COUNT"),
+        F.try_divide(F.col("income").cast("double"), F.col("incomes")).alias("AVG_ANNUAL_INCOME"),
+        F.col("best").alias("MAX_CREDIT_SCORE"), F.col("worst").alias("MIN_CREDIT_SCORE"))
     return out.orderBy("COUNTRY", "STATE") if ordered else out
 
 

@@ -92,9 +92,9 @@ class RunResult:
 NAMES = {"customer_stage": "customer_stage", "customer_rejects": "customer_rejects", "account_stage": "account_stage",
          "account_rejects": "account_rejects", "transaction_stage": "transaction_stage",
          "transaction_rejects": "transaction_rejects", "orphans": "orphan_rejects", "intermediate": "card_intermediate",
-         "previous": "card_previous", "customer_casts": "customer_cast_losses", "account_casts": "account_cast_losses"}
-#: Tables beside the results: what the previous-card view reads, and the audits of the casts.
-BESIDE = ("previous", "customer_casts", "account_casts")
+         "previous": "card_previous", "geography": "card_geography", "years": "card_years", "customer_casts": "customer_cast_losses", "account_casts": "account_cast_losses"}
+#: Tables beside the results: those derived from the intermediate one, and the audits of the casts.
+BESIDE = ("previous", "geography", "years", "customer_casts", "account_casts")
 
 
 class _Run:
@@ -204,8 +204,8 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
             *transform.intermediate_columns(s))
         inter = materialize(run.observe("intermediate")(inter), "intermediate")
         table, _ = sinks.write_intermediate(
-            inter, db, run.path("intermediate"), sinks.directory_buckets(inter, sinks.INTERMEDIATE_DIRECTORIES, s), run.suffix(),
-            f"{res.paths['intermediate'].rstrip('/')}_previous/version={run.manifest.run}")
+            inter, db, res.paths["intermediate"].rstrip("/"), sinks.directory_buckets(inter, sinks.INTERMEDIATE_DIRECTORIES, s),
+            run.suffix(), f"/version={run.manifest.run}")
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('as_of' = '{s.as_of}')")
 
     run.step("customers", keys["customers"], ["customer_stage", "customer_rejects"], customers)

@@ -137,15 +137,16 @@ def write_transaction_stage(df: DataFrame, db: str, path: str, name: str = "tran
     return t
 
 
-def write_intermediate(df: DataFrame, db: str, path: str, buckets: int, suffix: str = "",
-                       previous_path: str | None = None) -> tuple[str, str]:
-    """The intermediate table and, beside it, the table of card totals with their
-    predecessors, which a view cannot compute by range.  Both are written here,
-    so one does not change without the other.  `df` is a written frame: it is read
-    for each of the two (the table's own files are many and small)."""
+def write_intermediate(df: DataFrame, db: str, path: str, buckets: int, suffix: str = "", version: str = "") -> tuple[str, str]:
+    """The intermediate table and, beside it, the tables that are derived from it by year
+    (`incremental`): card totals with their predecessors, which a view cannot compute by
+    range, the states of the geography report, and the fingerprints of the years.  All are
+    written here, so one does not change without the others.  `df` is a written frame: it is
+    read for each (the table's own files are many and small)."""
+    from cardflow.plans import incremental
     t, p = (f"{quoted(db)}.{quoted(name + suffix)}" for name in ("card_intermediate", "card_previous"))
-    save_table(df, t, path, INTERMEDIATE_DIRECTORIES, "Cust_Id", buckets)
-    save_table(reports.previous_transaction(df), p, previous_path or f"{path.rstrip('/')}_previous")
+    save_table(df, t, path + version, INTERMEDIATE_DIRECTORIES, "Cust_Id", buckets)
+    incremental.write_derived(df, db, suffix, path, version)
     return t, p
 
 
@@ -166,14 +167,14 @@ def cache_table(spark: SparkSession, table: str) -> DataFrame:
 def view_queries(db: str, s: Settings) -> dict[str, str]:
     """SQL of the four report views over the tables of `write_intermediate`.  None of
     them joins or groups by the bucket column."""
-    inter, previous = f"{quoted(db)}.card_intermediate", f"{quoted(db)}.card_previous"
+    inter, previous, geography = (f"{quoted(db)}.card_{n}" for n in ("intermediate", "previous", "geography"))
     emi = ", ".join(f"EMI_{m}_month, EMI_{m}_month * {m} AS PayAfter{m}month" for m, _ in s.emi_percentages)
     return {
         "geography_summary": f"""
-            SELECT COUNTRY, STATE, count(Cust_Id) AS CUST_ID_COUNT,
-                   cast(avg(cast(ANNUAL_INCOME AS {reports.MONEY})) AS double) AS AVG_ANNUAL_INCOME,
-                   max(Credit_Score) AS MAX_CREDIT_SCORE, min(Credit_Score) AS MIN_CREDIT_SCORE
-            FROM {inter} GROUP BY COUNTRY, STATE""",
+            SELECT COUNTRY, STATE, sum(customers) AS CUST_ID_COUNT,
+                   try_divide(cast(sum(income) AS double), sum(incomes)) AS AVG_ANNUAL_INCOME,
+                   max(best) AS MAX_CREDIT_SCORE, min(worst) AS MIN_CREDIT_SCORE
+            FROM {geography} GROUP BY COUNTRY, STATE""",
         "emi_offers": f"""
             SELECT FIRST_NAME, LAST_NAME, Cust_Id, Account_Num, Card_Num, Transaction_Dt, Transaction_Amount,
                    Transaction_Purpose, {emi}

@@ -23,7 +23,7 @@ from cardflow.operators.dedup import first_per_key, flag_first_per_key
 from cardflow.operators.joins import broadcast_if_small
 from cardflow.operators.ordered import lag_by_range
 from cardflow.operators.validate import CODE, REASON, any_match, not_all_clear
-from cardflow.plans import ingest, reports, runner, sinks, transform
+from cardflow.plans import incremental, ingest, reports, runner, sinks, transform
 from cardflow.session import materialize, scratch_path
 from cardflow.sources import csv, fixtures
 
@@ -291,6 +291,35 @@ def view_scan_previous(spark, d):
     return v.withColumns(_cents("Latest_Transaction", "PREVIOUS_TRANSACTION"))
 
 
+def _changed_years(spark, d) -> str:
+    """A written intermediate table of which some years were replaced (amounts doubled and
+    incomes one higher in every seventh year), with its derived tables refreshed."""
+    db, root = _database(spark)
+    inter = materialize(_intermediate(spark, d), "intermediate")
+    t, _ = sinks.write_intermediate(inter, db, f"{root}/card_intermediate",
+                                    sinks.directory_buckets(inter, sinks.INTERMEDIATE_DIRECTORIES, SETTINGS))
+    sinks.create_report_views(spark, db, SETTINGS)
+    other = inter.filter("YEAR % 7 = 0").withColumns({"Transaction_Amount": F.col("Transaction_Amount") * 2,
+                                                      "ANNUAL_INCOME": F.col("ANNUAL_INCOME") + 1})
+    incremental.replace_partitions(other, t)
+    incremental.refresh(spark, db)
+    return sinks.quoted(db)
+
+
+@query
+def incremental_previous(spark, d):
+    """The previous-card view after some years were replaced and only those recomputed."""
+    v = spark.sql(f"SELECT * FROM {_changed_years(spark, d)}.previous_transaction")
+    return v.withColumns(_cents("Latest_Transaction", "PREVIOUS_TRANSACTION"))
+
+
+@query
+def incremental_geography(spark, d):
+    """The geography view from mergeable states, after some years were replaced."""
+    v = spark.sql(f"SELECT * FROM {_changed_years(spark, d)}.geography_summary")
+    return v.withColumns(_cents("AVG_ANNUAL_INCOME"))
+
+
 @query
 def view_scan_threshold(spark, d):
     return spark.sql(f"SELECT * FROM {_run(spark, d).views['credit_threshold']}")

@@ -164,6 +164,16 @@ ORACLE["report_previous_transaction"] = with_(
     f'SELECT Cust_Id, "YEAR", "MONTH", FIRST_NAME, LAST_NAME, Latest_Transaction, {_LAG} AS PREVIOUS_TRANSACTION '
     'FROM card_totals ORDER BY "YEAR", Cust_Id', "card_totals")
 ORACLE["view_scan_previous"] = ORACLE["report_previous_transaction"]
+_CHANGED = """(SELECT * REPLACE (CASE WHEN "YEAR" % 7 = 0 THEN Transaction_Amount * 2 ELSE Transaction_Amount END AS Transaction_Amount,
+                    CASE WHEN "YEAR" % 7 = 0 THEN ANNUAL_INCOME + 1 ELSE ANNUAL_INCOME END AS ANNUAL_INCOME) FROM inter)"""
+ORACLE["incremental_previous"] = with_(
+    f"""SELECT Cust_Id, "YEAR", "MONTH", FIRST_NAME, LAST_NAME, Latest_Transaction, {_LAG} AS PREVIOUS_TRANSACTION
+FROM (SELECT Cust_Id, Card_Num, "YEAR", "MONTH", FIRST_NAME, LAST_NAME, round(sum(Transaction_Amount), 2) AS Latest_Transaction
+      FROM {_CHANGED} GROUP BY Cust_Id, Card_Num, "YEAR", "MONTH", FIRST_NAME, LAST_NAME)""", "inter")
+ORACLE["incremental_geography"] = with_(f"""
+SELECT COUNTRY, STATE, count(Cust_Id) AS CUST_ID_COUNT, round(avg(ANNUAL_INCOME), 2) AS AVG_ANNUAL_INCOME,
+       max(Credit_Score) AS MAX_CREDIT_SCORE, min(Credit_Score) AS MIN_CREDIT_SCORE
+FROM {_CHANGED} GROUP BY COUNTRY, STATE""", "inter")
 ORACLE["report_credit_threshold"] = with_("""
 SELECT * FROM (
   SELECT FIRST_NAME, LAST_NAME, COUNTRY, Cust_credit_limit_remaining, Credit_Limit AS Total_Credit_Limit,
