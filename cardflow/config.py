@@ -47,6 +47,9 @@ class Settings:
     pep_accepted: tuple[str, ...] = ("TRUE",)
     # Bucket count of the partitioned output tables; None sizes it from their rows.
     buckets: int | None = None
+    # Buckets by customer id of all three stage tables, whose joins then read them without a
+    # shuffle; choose as many as shuffle partitions.  None: the joins shuffle, and AQE sizes them.
+    co_partition: int | None = None
     # Share of a raw file's records that may not fit its layout; more stops a run from a
     # parameter file before it writes anything.  None: no such gate.
     bad_share: float | None = None

@@ -121,11 +121,13 @@ class _Run:
         obs = self.observations[name] = Observation(name)
         return lambda df: df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
-    def read(self, name: str) -> DataFrame:
-        """A table of this run, before or after it was published."""
+    def table(self, name: str) -> str:
+        """The name of a table of this run, before or after it was published."""
         staged = f"{sinks.quoted(self.db)}.{sinks.quoted(self.staged(name))}"
-        table = staged if self.spark.catalog.tableExists(staged) else f"{sinks.quoted(self.db)}.{sinks.quoted(NAMES[name])}"
-        return sinks.read_files(self.spark, table, self.result.versions[name])
+        return staged if self.spark.catalog.tableExists(staged) else f"{sinks.quoted(self.db)}.{sinks.quoted(NAMES[name])}"
+
+    def read(self, name: str) -> DataFrame:
+        return sinks.read_files(self.spark, self.table(name), self.result.versions[name])
 
     def step(self, name: str, key: str | None, tables: list[str], work: Callable[[], None]) -> None:
         """Do a step, or take its tables from the open run if it had done it on the same inputs."""
@@ -174,7 +176,8 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
         checked = materialize(ingest.check_customers(inputs.customers, inputs.sanctioned, s), "checked-customers")
         accepted = ingest.customer_stage(checked)
         sinks.write_customer_stage(
-            accepted, db, run.path("customer_stage"), sinks.directory_buckets(accepted, sinks.CUSTOMER_DIRECTORIES, s),
+            accepted, db, run.path("customer_stage"),
+            s.co_partition or sinks.directory_buckets(accepted, sinks.CUSTOMER_DIRECTORIES, s),
             run.staged("customer_stage"), run.observe("customer_stage"))
         sinks.write_rejects(ingest.customer_rejects(checked), db, run.path("customer_rejects"),
                             run.staged("customer_rejects"), run.observe("customer_rejects"))
@@ -183,7 +186,7 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
     def accounts() -> None:
         checked = materialize(ingest.check_accounts(inputs.accounts), "checked-accounts")
         sinks.write_account_stage(ingest.account_stage(checked), db, run.path("account_stage"),
-                                  run.staged("account_stage"), run.observe("account_stage"))
+                                  run.staged("account_stage"), run.observe("account_stage"), s.co_partition)
         sinks.write_rejects(ingest.account_rejects(checked), db, run.path("account_rejects"),
                             run.staged("account_rejects"), run.observe("account_rejects"))
         audit(checked, "account", ingest.account_casts())
@@ -191,14 +194,19 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
     def transactions() -> None:
         checked = materialize(ingest.check_transactions(inputs.transactions, s.transaction_key), "checked-transactions")
         sinks.write_transaction_stage(ingest.transaction_stage(checked), db, run.path("transaction_stage"),
-                                      run.staged("transaction_stage"), run.observe("transaction_stage"))
+                                      run.staged("transaction_stage"), run.observe("transaction_stage"),
+                                      s.co_partition)
         sinks.write_rejects(ingest.transaction_rejects(checked), db, run.path("transaction_rejects"),
                             run.staged("transaction_rejects"), run.observe("transaction_rejects"))
 
     def transformed() -> None:
-        """From the files of the stage tables."""
-        joined = materialize(transform.enrich(run.read("transaction_stage"), run.read("account_stage"),
-                                              run.read("customer_stage")), "joined")
+        """From the files of the stage tables, or from their buckets."""
+        stages = ("transaction_stage", "account_stage", "customer_stage")
+        if s.co_partition:
+            with transform.co_partitioned(spark):
+                joined = materialize(transform.enrich_by_buckets(*[spark.table(run.table(n)) for n in stages], s.co_partition), "joined")
+        else:
+            joined = materialize(transform.enrich(*map(run.read, stages)), "joined")
         sinks.write_rejects(transform.orphans(joined), db, run.path("orphans"), run.staged("orphans"), run.observe("orphans"))
         inter = transform.within_limit(transform.metrics(transform.valid_joined(joined), s)).select(
             *transform.intermediate_columns(s))

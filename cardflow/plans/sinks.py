@@ -85,6 +85,8 @@ def save_table(df: DataFrame, table: str, path: str, partition_by: list[str] | N
     whole = observe or (lambda d: d)
     if partition_by:
         df = whole(planned(df, partition_by, bucket_by, buckets))
+    elif bucket_by:
+        df = whole(df).repartition(buckets, bucket_by)
     else:
         df = whole(df).hint("rebalance")  # AQE sizes the tasks by bytes
     w = (df.write.format("parquet").mode("overwrite").option("compression", "snappy")
@@ -123,17 +125,19 @@ def write_rejects(df: DataFrame, db: str, path: str, name: str, observe=None) ->
     return t
 
 
-def write_account_stage(df: DataFrame, db: str, path: str, name: str = "account_stage", observe=None) -> str:
+def write_account_stage(df: DataFrame, db: str, path: str, name: str = "account_stage", observe=None,
+                        buckets: int | None = None) -> str:
     t = f"{quoted(db)}.{quoted(name)}"
-    save_table(df, t, path, observe=observe)
+    save_table(df, t, path, bucket_by="cust_id" if buckets else None, buckets=buckets or 1, observe=observe)
     return t
 
 
-def write_transaction_stage(df: DataFrame, db: str, path: str, name: str = "transaction_stage", observe=None) -> str:
+def write_transaction_stage(df: DataFrame, db: str, path: str, name: str = "transaction_stage", observe=None,
+                            buckets: int | None = None) -> str:
     """Transactions as a plain table; no single-file coalesce (one task would
     write all data), file size is bounded by `maxRecordsPerFile`."""
     t = f"{quoted(db)}.{quoted(name)}"
-    save_table(df, t, path, observe=observe)
+    save_table(df, t, path, bucket_by="Cust_Id" if buckets else None, buckets=buckets or 1, observe=observe)
     return t
 
 

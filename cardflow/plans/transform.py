@@ -3,12 +3,17 @@ orphans, compute the credit metrics and build the intermediate table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardflow.config import Settings
 from cardflow.functions import credit, fixed
+from cardflow.operators.joins import broadcast_if_small
 from cardflow.operators.validate import CODE, REASON
+from cardflow.session import materialize
 from cardflow.sources.fixtures import TRANSACTION_COLUMNS
 
 
@@ -46,6 +51,41 @@ def enrich(txn: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFra
     return join_customers(join_accounts(txn, accounts), customers)
 
 
+def hot_customers(txn: DataFrame, buckets: int) -> DataFrame:
+    """(Cust_Id) of the customers with more transactions than a fourth of an average bucket:
+    at most 4 per bucket."""
+    counts = materialize(txn.groupBy("Cust_Id").count(), "txn-counts")
+    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    return counts.filter(F.col("count") * (4 * buckets) > total).select("Cust_Id")
+
+
+def enrich_by_buckets(txn: DataFrame, accounts: DataFrame, customers: DataFrame, buckets: int) -> DataFrame:
+    """`enrich` of tables that are all bucketed by the customer id: both joins read the buckets
+    and nothing is shuffled (in a session where `co_partitioned` holds).  A bucket is one
+    task, so the rows of hot customers leave it: they are joined by account and card, which
+    cuts a customer over many tasks, and to the few rows of their customers."""
+    hot = broadcast_if_small(materialize(hot_customers(txn, buckets), "hot-customers"))
+    cold = enrich(txn.join(hot, "Cust_Id", "left_anti"), accounts, customers)
+    few = customers.join(hot, F.col("CUSTOMER_ID") == F.col("Cust_Id"), "left_semi")
+    own = accounts.withColumnRenamed("cust_id", "_own").join(hot, F.col("_own") == F.col("Cust_Id"), "left_semi")
+    theirs = join_accounts(
+        txn.join(hot, "Cust_Id", "left_semi").repartition(buckets, "Cust_Id", "Account_Num", "Card_Num"),
+        own.withColumnRenamed("_own", "cust_id").repartition(buckets, "cust_id", "Account_num", "card_num"))
+    return cold.unionByName(join_customers(theirs, broadcast_if_small(few)))
+
+
+@contextmanager
+def co_partitioned(spark: SparkSession) -> Iterator[None]:
+    """A bucket column that is a part of the join key is enough for a join of buckets."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _orphan(df: DataFrame):
     return F.col("Acct_open_dt").isNull() | F.col("FIRST_NAME").isNull()
 

@@ -442,6 +442,19 @@ def join_txn_customer(spark, d):
     return _joined(spark, d).drop(transform.CLOSED)
 
 
+@query
+def join_by_buckets(spark, d):
+    """Transactions with accounts and customers from tables bucketed by the customer id."""
+    db, root = _database(spark)
+    txn, acct, cust = _stages(spark, d)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = (sinks.write_transaction_stage(txn, db, f"{root}/transaction_stage", buckets=n),
+              sinks.write_account_stage(acct, db, f"{root}/account_stage", buckets=n),
+              sinks.write_customer_stage(cust, db, f"{root}/customer_stage", n))
+    with transform.co_partitioned(spark):
+        return materialize(transform.enrich_by_buckets(*map(spark.table, tables), n).drop(transform.CLOSED), "joined")
+
+
 @query
 def anti_join_sanctioned(spark, d):
     c = _normalized_customers(spark, d)

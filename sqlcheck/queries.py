@@ -120,6 +120,7 @@ FROM raw_account WHERE length(card_num) <> 15""", "raw_account")
 
 ORACLE["join_txn_account"] = with_("SELECT * FROM joined_acct", "joined_acct")
 ORACLE["join_txn_customer"] = with_("SELECT * FROM joined", "joined")
+ORACLE["join_by_buckets"] = ORACLE["join_txn_customer"]
 ORACLE["anti_join_sanctioned"] = with_(
     "SELECT * FROM cust_norm c WHERE NOT EXISTS (SELECT 1 FROM sanct s WHERE s.s_country = c.COUNTRY)",
     "cust_norm", "sanct")
