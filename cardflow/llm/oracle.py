@@ -198,3 +198,30 @@ t AS (SELECT p[1:d] AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, su
       FROM w, unnest(range(0, depth + 1)) AS r(d) GROUP BY ALL)
 SELECT w.conv_id, w.depth, par.conv_id AS parent_conv_id, w.n_convs, w.n_children, t.n_leaves, t.saved_tokens, w.ends_sha256
 FROM w JOIN t USING (p) LEFT JOIN n par ON par.p = w.up"""
+
+ORACLE["op13_periodic_runs"] = f"""
+WITH {_CRC_TABLE},
+b AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+             [4294967295] || list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'),
+                                            lambda x: ('0x' || x)::BIGINT) AS b FROM documents),
+h AS (SELECT doc_id, w, len(w) AS n,
+             xor(list_reduce(b, lambda c, x: xor(tbl[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) AS h FROM b, tbl),
+g AS (SELECT doc_id, w, n, h, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM h),
+f AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 THEN list_transform(range(0, n), lambda i:
+        CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM g),
+p AS (SELECT doc_id, n, unnest(w) AS x, unnest(range(0, n)) AS i FROM f),
+m AS (SELECT y.doc_id, y.i, z.i - y.i AS q FROM p y JOIN p z ON y.doc_id = z.doc_id AND y.x = z.x AND z.i > y.i
+      WHERE 3 * (z.i - y.i) <= y.n),
+s AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m)
+      GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM s GROUP BY doc_id, start, length),
+best AS (SELECT * FROM r QUALIFY row_number() OVER (
+           PARTITION BY doc_id ORDER BY length * 1000000000000::HUGEINT // period DESC, start, period) = 1),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS l
+           FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, i FROM r, unnest(range(start + period, start + length)) AS u(i)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS k FROM p ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT f.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, (1000 * length // period)::BIGINT AS exponent_milli,
+       sha256(coalesce(l, '')) AS runs_sha256, sha256(coalesce(k, '')) AS collapsed_sha256
+FROM f LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
