@@ -42,27 +42,24 @@ def unit(h: Column) -> Column:
     return h.cast("double") / F.lit(float(1 << 60))
 
 
-def ranked(df: DataFrame, group: str, position: Column, order: list[Column], out: str, total: str) -> DataFrame:
-    """Adds `out`, the 0-based rank of each row inside its `group`, and `total`, the
-    group's rows, without bringing a group into one task.  `df` is a written table
-    (it is read several times) and `group` has no nulls.
-
-    `position` maps a row into [0, 1] in the order of `order`, its leading sort key.
-    Each group is cut into equally wide parts of it, as many as its rows ask for:
-    one aggregate counts the parts, a running sum over the parts of a group gives the
-    first rank of each, and `row_number` ranks inside a part.
+def ranked(df: DataFrame, group: str, order: list[Column], out: str, total: str) -> DataFrame:
+    """Adds `out`, the 0-based rank of each row inside its `group` by `order`, and `total`, the
+    group's rows, without bringing a group into one task.  `df` is a written table and
+    `group` has no nulls; rows equal in `order` are ranked by their place in the table.
+
+    Spark range-partitions the rows by (group, order, place), so neither a large group nor
+    many rows with one key meet in one range.  A running sum over the ranges of a group gives
+    the first rank of each, and `row_number` ranks inside a range.
     """
-    spark = df.sparkSession
-    step = df.count() // (4 * partitions(spark)) + 1
-    sizes = (df.groupBy(group).agg(F.count(F.lit(1)).alias(total))
-             .withColumn("_rk_parts", F.ceil(F.col(total) / F.lit(step)).cast("long")))
-    cut = (df.join(saved(sizes, "rank-sizes"), group)
-           .withColumn("_rk_part", F.floor(position * F.col("_rk_parts")).cast("long")))
-    running = Window.partitionBy(group).orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (cut.groupBy(group, "_rk_part").agg(F.count(F.lit(1)).alias("_rk_n"))
-             .select(group, "_rk_part", F.coalesce(F.sum("_rk_n").over(running), F.lit(0)).alias("_rk_base")))
-    inside = Window.partitionBy(group, "_rk_part").orderBy(*order)
-    placed = cut.withColumn("_rk_in", F.row_number().over(inside) - 1)
-    return (placed.join(saved(bases, "rank-bases"), [group, "_rk_part"])
-            .withColumn(out, (F.col("_rk_base") + F.col("_rk_in")).cast("long"))
-            .drop("_rk_parts", "_rk_part", "_rk_base", "_rk_in"))
+    full = [*order, F.col("_rk_row")]
+    rows = df.withColumn("_rk_row", F.monotonically_increasing_id())
+    dealt = saved(rows.repartitionByRange(partitions(df.sparkSession), F.col(group), *full)
+                  .withColumn("_rk_part", F.spark_partition_id()), "rank-ranges")
+    own = Window.partitionBy(group)
+    before = own.orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = dealt.groupBy(group, "_rk_part").agg(F.count(F.lit(1)).alias("_rk_n")).select(
+        group, "_rk_part", F.coalesce(F.sum("_rk_n").over(before), F.lit(0)).alias("_rk_first"), F.sum("_rk_n").over(own).alias(total))
+    inside = F.row_number().over(Window.partitionBy(group, "_rk_part").orderBy(*full)) - 1
+    return (dealt.withColumn("_rk_in", inside).join(saved(first, "rank-first"), [group, "_rk_part"])
+            .withColumn(out, (F.col("_rk_first") + F.col("_rk_in")).cast("long"))
+            .drop("_rk_row", "_rk_part", "_rk_first", "_rk_in"))

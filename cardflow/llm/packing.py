@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import ranked, saved, seeded, unit
+from cardflow.llm.common import ranked, saved, seeded
 
 #: Lengths up to FINE are counted one by one; beyond, cells are 1/FINE of the length's
 #: power of two wide.  So a histogram has at most FINE cells per doubling of the length
@@ -100,7 +100,7 @@ def pack(df: DataFrame, buckets: int = 12, budget: int = 32768, seed: int = 7, i
     bucket = F.size(F.filter(edge_list, lambda e: e < F.col("n_tokens")))
     cut = thin.withColumn("bucket", bucket.cast("int"))
     order = [F.col("h").asc(), F.col("doc_id").asc(), F.col("n_tokens").asc()]
-    placed = ranked(cut, "bucket", unit(F.col("h")), order, "r", "rows")
+    placed = ranked(cut, "bucket", order, "r", "rows")
     placed = placed.withColumn("bucket_len", F.element_at(edge_list, F.col("bucket") + 1))
     room = F.greatest(F.lit(1), F.expr(f"{int(budget)}L div greatest(bucket_len, 1L)"))
     return placed.withColumn("room", room).select(

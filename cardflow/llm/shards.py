@@ -4,7 +4,7 @@ Within each source the rows are shuffled by a seeded hash and ranked; rank r of
 the fractional rank (r + 1/2) / n.  Sorting all rows by it interleaves the sources in
 proportion, and cutting that order into equal runs gives shards of equal row counts
 (at most one apart) in which every source has its share of the whole.  Both ranks are
-computed in parts (`common.ranked`): neither a source nor the table meets in one task.
+computed in ranges (`common.ranked`): no source, identifier or table meets in one task.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import ranked, saved, seeded, unit
+from cardflow.llm.common import ranked, saved, seeded
 
 MISSING = "\x00null"  # stratum of rows without a source
 
@@ -37,11 +37,10 @@ def interleaved_shards(df: DataFrame, shards: int = 24, seed: int = 20240101, id
         seeded(seed, id_col).alias("h")), "shard-rows")
     tie = ["h", "doc_id", "text_crc32", "size"]
     order = [F.col(c).asc() for c in tie]
-    within = ranked(thin, "stratum", unit(F.col("h")), order, "r", "n")
+    within = ranked(thin, "stratum", order, "r", "n")
     within = saved(within.withColumn("share", (F.col("r") + F.lit(0.5)) / F.col("n"))
                    .withColumn("all", F.lit(0)), "shard-shares")
-    placed = ranked(within, "all", F.col("share"), [F.col("share").asc(), F.col("stratum").asc(), *order],
-                    "p", "rows")
+    placed = ranked(within, "all", [F.col("share").asc(), F.col("stratum").asc(), *order], "p", "rows")
     # shard s takes the places from ceil(s * rows / shards) on
     shard = F.expr(f"cast(p * {shards}L div rows as long)")
     start = F.expr(f"(shard * rows + {shards - 1}) div {shards}L")
