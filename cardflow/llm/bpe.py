@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # White space of the pretokenizer's \s (the Unicode property), and its pattern.
-WS = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PRETOKEN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WS}\p{{L}}\p{{N}}]+"
             rf"|[{WS}]+(?![^{WS}])|[{WS}]+")
 #: Entries of one generation of a worker's memory; a full one becomes the old one.
@@ -58,11 +58,28 @@ def byte_symbols() -> dict[str, int]:
     return {**{chr(b): b for b in shown}, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
+def supported(file: dict) -> None:
+    """A ValueError for a tokenizer file that asks for more than this encoder does."""
+    model, pre, out = file["model"], file.get("pre_tokenizer") or {}, file.get("decoder") or {}
+    odd = [name for name in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk",
+                             "byte_fallback", "ignore_merges") if model.get(name)]
+    if model.get("type", "BPE") != "BPE" or odd:
+        raise ValueError(f"model {model.get('type')} with {', '.join(odd) or 'no settings'} is not supported")
+    if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
+        raise ValueError("only the byte-level pre-tokenizer without a prefix space is supported")
+    if file.get("normalizer") or file.get("post_processor") or out.get("type") != "ByteLevel":
+        raise ValueError("normalizers, post-processors and decoders but the byte-level one are not supported")
+    for t in file.get("added_tokens", []):
+        if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {t['content']!r} is matched in a way that is not supported")
+
+
 class Bpe:
     """Encoder and decoder of one byte-level BPE file of the `tokenizers` library."""
 
     def __init__(self, file: bytes):
         model = json.loads(file)
+        supported(model)
         alphabet = byte_symbols()
         vocab = model["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
@@ -85,7 +102,7 @@ class Bpe:
         self.find.make_automaton()
         self.coarse = re.compile(rf" ?[^{WS}]+|[{WS}]+(?![^{WS}])|[{WS}]+").findall
         self.fine = regex.compile(PRETOKEN).findall
-        self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split if self.special else None
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
         self.pieces, self.words, self.pairs = Memo(), Memo(), Memo()
         self.packed = [i.to_bytes(4, "little") for i in range(len(self.bytes))]
 

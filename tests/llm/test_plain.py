@@ -1,6 +1,7 @@
 """Parts without Spark, against brute force."""
 
 import itertools
+import json
 import random
 import re
 
@@ -44,6 +45,29 @@ def test_bpe_long_texts(both):
         assert own.decode(own.encode(text)) == text
 
 
+def test_bpe_refuses_files_that_ask_for_more():
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f, pytest.raises(ValueError, match="end_of_word_suffix"):
+        Bpe(f.read())
+    with open(PATH, "rb") as f:
+        whole = json.loads(f.read())
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None}, {"post_processor": {"type": "ByteLevel"}},
+                   {"added_tokens": [whole["added_tokens"][0] | {"lstrip": True}]}, {"model": whole["model"] | {"ignore_merges": True}}):
+        with pytest.raises(ValueError):
+            Bpe(json.dumps(whole | change).encode())
+
+
+def test_bpe_added_tokens_longest_first():
+    with open(PATH, "rb") as f:
+        whole = json.loads(f.read())
+    one = whole["added_tokens"][0]
+    whole["added_tokens"] = [one, one | {"content": "<|end", "id": 50257}, one | {"content": "<|endof", "id": 50258}]
+    file = json.dumps(whole)
+    own, library = Bpe(file.encode()), Tokenizer.from_str(file)
+    for text in ("a<|endoftext|>b", "<|endof<|end|>", "<|end<|endoftext|><|endo"):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == ids
+
+
 def test_bpe_memory_is_bounded(both, monkeypatch):
     import cardflow.llm.bpe as module
     monkeypatch.setattr(module, "MEMO", 50)
