@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
@@ -17,6 +18,8 @@ PARAMETERS = (
     "Annual_Income_Score2", "Annual_Income_Score3", "Annual_Income_Score4", "Credit_Limit_Multiplier",
     "Month_EMI_Percentage_3", "Month_EMI_Percentage_6", "Month_EMI_Percentage_9", "Cred_Notify_Threshold",
 )
+# Fixed value: a name of the parameter file that the reference sets and does not use.
+UNUSED = ("Date_Format_trn",)
 
 
 @dataclass(frozen=True)
@@ -92,9 +95,13 @@ class Settings:
     def from_csv(cls, spark: SparkSession, path: str, **overrides) -> "Settings":
         """Read a `Parameter,Value` CSV into settings.  Only the known names are
         kept, so at most one row per name reaches the driver however long the
-        file is; a repeated name keeps its first value."""
+        file is; a repeated name keeps its first value.  Other names are warned of, up
+        to ten of them."""
         df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
         first = (df.withColumn("_at", F.monotonically_increasing_id())
                  .filter(F.col("Parameter").isin(list(PARAMETERS)))
                  .groupBy("Parameter").agg(F.min_by("Value", "_at").alias("Value")))
+        other = df.filter(~F.col("Parameter").isin([*PARAMETERS, *UNUSED])).select("Parameter").distinct().limit(10).collect()
+        if other:
+            warnings.warn("unknown parameters: " + ", ".join(sorted(r["Parameter"] for r in other)), stacklevel=2)
         return cls.from_rows({r["Parameter"]: r["Value"] for r in first.collect() if r["Value"] is not None}, **overrides)

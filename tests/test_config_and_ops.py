@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from cardflow.config import Settings
@@ -100,3 +101,16 @@ def test_dedup_treats_signed_zero_and_nan_as_one_value(spark):
     assert sorted(r["k"] for r in f) == ["a", "b", "c"]
     assert all(r["is_first"] for r in f)
     assert [r["v"] for r in f if r["k"] == "a"] == [0.0]
+
+
+def test_unknown_parameters_are_warned_of(spark, tmp_path):
+    import warnings
+    from cardflow.config import Settings
+    config = tmp_path / "Config.csv"
+    config.write_text("Parameter,Value\nCred_Notify_Threshold,60\nDate_Format_trn,dd/MM/yyyy\nNotify_Treshold,5\n")
+    with pytest.warns(UserWarning, match="unknown parameters: Notify_Treshold$"):
+        assert Settings.from_csv(spark, str(config)).notify_threshold == 60
+    config.write_text("Parameter,Value\nCred_Notify_Threshold,60\nDate_Format_trn,dd/MM/yyyy\n")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        Settings.from_csv(spark, str(config))
