@@ -9,6 +9,9 @@ fingerprints and rewrites these years alone; the files of all others stay.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,10 @@ def year_fingerprints(inter: DataFrame) -> DataFrame:
                                      F.sum(F.xxhash64(*sorted(columns)).cast("decimal(38,0)")).alias("digest"))
 
 
+#: How each derived table follows from (any whole years of) the intermediate one.
+DERIVED = {"previous": reports.previous_transaction, "geography": reports.geography_states, "years": year_fingerprints}
+
+
 def replace_partitions(df: DataFrame, table: str) -> None:
     """Overwrite the partitions of a table that `df` has rows of, and no others."""
     spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
@@ -58,16 +65,17 @@ def refresh(spark: SparkSession, db: str) -> list[int]:
     if not years:
         return []
     rows = spark.table(names["card_intermediate"]).filter(F.col("YEAR").isin(years))
-    for name, derived in (("card_previous", reports.previous_transaction), ("card_geography", reports.geography_states),
-                          ("card_years", year_fingerprints)):
-        replace_partitions(derived(rows), names[name])
-        drop_years(spark, names[name], gone)
+    for kind, derived in DERIVED.items():
+        replace_partitions(derived(rows), names[f"card_{kind}"])
+        drop_years(spark, names[f"card_{kind}"], gone)
     return years
 
 
-def write_derived(inter: DataFrame, db: str, suffix: str = "", path: str | None = None, version: str = "") -> None:
-    """The derived tables of a whole intermediate frame, below `path` + _previous, _geography, _years."""
-    for kind, derived in (("previous", reports.previous_transaction), ("geography", reports.geography_states),
-                          ("years", year_fingerprints)):
+def derived_writes(inter: DataFrame, db: str, suffix: str, path: str, version: str) -> list[Callable[[], None]]:
+    """The writes of the derived tables of a whole intermediate frame, below `path` + _previous,
+    _geography, _years."""
+    def write(kind: str, derived: Callable[[DataFrame], DataFrame]) -> None:
         sinks.save_table(derived(inter), f"{sinks.quoted(db)}.{sinks.quoted(f'card_{kind}{suffix}')}",
                          f"{path.rstrip('/')}_{kind}{version}", ["YEAR"])
+
+    return [partial(write, kind, derived) for kind, derived in DERIVED.items()]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,14 +148,22 @@ def write_intermediate(df: DataFrame, db: str, path: str, buckets: int, suffix:
     (`incremental`): card totals with their predecessors, which a view cannot compute by
     range, the states of the geography report, and the fingerprints of the years.  All are
     written here, so one does not change without the others.  `df` is a written frame: it is
-    read for each (the table's own files are many and small)."""
+    read for each (the table's own files are many and small), so the writes are independent
+    and submitted together."""
     from cardflow.plans import incremental
     t, p = (f"{quoted(db)}.{quoted(name + suffix)}" for name in ("card_intermediate", "card_previous"))
-    save_table(df, t, path + version, INTERMEDIATE_DIRECTORIES, "Cust_Id", buckets)
-    incremental.write_derived(df, db, suffix, path, version)
+    together([lambda: save_table(df, t, path + version, INTERMEDIATE_DIRECTORIES, "Cust_Id", buckets),
+              *incremental.derived_writes(df, db, suffix, path, version)])
     return t, p
 
 
+def together(builds: list) -> tuple:
+    """Run independent builds (each ends in a write job) from driver threads, so their jobs
+    share the cluster instead of queueing one after another."""
+    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+        return tuple(f.result() for f in [pool.submit(b) for b in builds])
+
+
 def publish(spark: SparkSession, db: str, name: str, staged: str) -> None:
     """Let a staged table take the place of the published one.  Only the catalog changes:
     the old table's files stay, and no data is written in between.  A staged table that is

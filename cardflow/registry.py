@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,25 +61,18 @@ def _stages(spark, d):
         lambda: materialize(ingest.account_stage(_checked_accounts(spark, d)), "stage-acct"),
         lambda: materialize(ingest.customer_stage(_checked_customers(spark, d)), "stage-cust"),
     ]
-    return _together(builds)
+    return sinks.together(builds)
 
 
 def _checked_written(spark, d):
     """The three checked tables (accepted and rejected rows), written once."""
-    return _together([
+    return sinks.together([
         lambda: materialize(_checked_customers(spark, d), "checked-cust"),
         lambda: materialize(_checked_accounts(spark, d), "checked-acct"),
         lambda: materialize(_checked_transactions(spark, d), "checked-txn"),
     ])
 
 
-def _together(builds):
-    """Run independent builds (each ends in a write job) from driver threads,
-    so their jobs share the cluster instead of queueing one after another."""
-    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
-        return tuple(f.result() for f in [pool.submit(b) for b in builds])
-
-
 def _joined(spark, d):
     return transform.enrich(*_stages(spark, d))
 
@@ -258,7 +250,7 @@ def stage_counts(spark, d):
 @query
 def cast_losses(spark, d):
     """Texts of accepted customers and accounts that have no value of their column's type."""
-    customers, accounts = _together([lambda: materialize(_checked_customers(spark, d), "checked-cust"),
+    customers, accounts = sinks.together([lambda: materialize(_checked_customers(spark, d), "checked-cust"),
                                      lambda: materialize(_checked_accounts(spark, d), "checked-acct")])
     return sets.union_all([ingest.cast_losses(customers, "customer", ingest.customer_casts()),
                            ingest.cast_losses(accounts, "account", ingest.account_casts())])
@@ -431,7 +423,7 @@ def filter_card_length(spark, d):
 
 @query
 def join_txn_account(spark, d):
-    txn, acct = _together([
+    txn, acct = sinks.together([
         lambda: materialize(ingest.transaction_stage(_checked_transactions(spark, d)), "stage-txn"),
         lambda: materialize(ingest.account_stage(_checked_accounts(spark, d)), "stage-acct")])
     return transform.join_accounts(txn, acct).drop(transform.CLOSED)
@@ -531,7 +523,7 @@ def agg_card_totals_history(spark, d):
     card's sum has several rows."""
     ct = ingest.check_transactions(fixtures.raw_transactions(spark, d),
                                    ("Cust_Id", "Account_Num", "Transaction_Dt", "Transaction_Amount"))
-    txn, acct, cust = _together([
+    txn, acct, cust = sinks.together([
         lambda: materialize(ingest.transaction_stage(ct), "stage-txn"),
         lambda: materialize(ingest.account_stage(_checked_accounts(spark, d)), "stage-acct"),
         lambda: materialize(ingest.customer_stage(_checked_customers(spark, d)), "stage-cust")])
