@@ -25,6 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Hot keys (one short row each) that are broadcast, by their bound.
+MAX_HOT = 1 << 17
+
 def _resolved(df: DataFrame, names: Sequence[str]) -> list[str]:
     """The frame's own spelling of column names given in any case."""
     own = {c.lower(): c for c in df.columns}
@@ -56,8 +59,10 @@ def flag_first_per_key(df: DataFrame, key: Sequence[str], flag: str = "is_first"
             cond = cond & left[k].eqNullSafe(right[f"_k{i}"])
         return cond
 
+    # at most `parts` keys are hot; beyond MAX_HOT of them the planner chooses from measured sizes
+    few = F.broadcast if parts <= MAX_HOT else (lambda df: df)
     names = [f"_k{i}" for i in range(len(key))]
-    salted = (rows.join(F.broadcast(hot), same_key(rows, hot), "left").drop(*names)
+    salted = (rows.join(few(hot), same_key(rows, hot), "left").drop(*names)
               .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
                           .otherwise(F.pmod(F.xxhash64(*cols), F.col("_salts")))))
 
@@ -68,7 +73,7 @@ def flag_first_per_key(df: DataFrame, key: Sequence[str], flag: str = "is_first"
             .agg(F.min_by("_salt", first).alias("_best")))
     window = Window.partitionBy(*key, "_salt").orderBy(*[F.col(c).asc_nulls_last() for c in ordering])
     numbered = salted.withColumn("_rn", F.row_number().over(window))
-    joined = numbered.join(F.broadcast(best), same_key(numbered, best), "left")
+    joined = numbered.join(few(best), same_key(numbered, best), "left")
     return joined.select(*cols, ((F.col("_rn") == 1) & (F.col("_salts").isNull() | (F.col("_salt") == F.col("_best"))))
                          .alias(flag))
 
