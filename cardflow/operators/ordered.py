@@ -23,8 +23,15 @@ from pyspark.sql import functions as F
 from cardflow.operators.joins import broadcast_if_small
 from cardflow.session import materialize
 
-#: Rows that a range aims at.
+#: Rows that a range aims at, and the fewest for which another range pays: every range
+#: writes to every partition of the window's shuffle.
 ROWS_PER_RANGE = 1_000_000
+LEAST_ROWS_PER_RANGE = 50_000
+
+
+def range_count(rows: int, partitions: int) -> int:
+    """Ranges for `rows` rows: one per shuffle partition, but fewer of few rows and more of many."""
+    return max(1, min(partitions, -(-rows // LEAST_ROWS_PER_RANGE)), -(-rows // ROWS_PER_RANGE))
 
 
 def lag_by_range(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], value: str, out: str,
@@ -35,8 +42,7 @@ def lag_by_range(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     result to be deterministic."""
     part, order = list(partition_by), list(order_by)
     rows = materialize(df, "lag-rows")
-    n = num_partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                              -(-rows.count() // ROWS_PER_RANGE))
+    n = num_partitions or range_count(rows.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     group = F.struct(*part)
     w = Window.partitionBy("_pid", *part).orderBy(*order)
     local = (rows.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in part], *order)

@@ -2,9 +2,11 @@
 
 The reference chains five separate driver processes and passes data only
 through catalog tables.  Here the steps are plain calls; an exception in one
-stops the rest (the reference's return-code gating).  Each step still writes
-its tables and the next step reads them back, which cuts the lineage at the
-same places and lets a lost executor recompute only the current step.
+stops those that read its tables (the reference's return-code gating).  Each
+step still writes its tables and the next step reads them back, which cuts the
+lineage at the same places and lets a lost executor recompute only the current
+step.  Steps 1-3 read no table of each other and are submitted together, and so
+are the tables that one step writes from the same frame.
 
 Tables are written under the version of their run and take their published
 names together, after the last step: until then the tables of the run before
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -129,20 +132,31 @@ class _Run:
     def read(self, name: str) -> DataFrame:
         return sinks.read_files(self.spark, self.table(name), self.result.versions[name])
 
-    def step(self, name: str, key: str | None, tables: list[str], work: Callable[[], None]) -> None:
-        """Do a step, or take its tables from the open run if it had done it on the same inputs."""
-        res = self.result
+    def resume(self, name: str, key: str | None, tables: list[str]) -> bool:
+        """Take the tables of a step from the open run if it had done it on the same inputs."""
         done = self.manifest.done(name, key)
-        if done and all(self._there(t) for t in tables):
-            res.versions |= done["tables"]
-            res.counts |= done["counts"]
-            res.resumed.append(name)
-            return
+        if not done or not all(self._there(t) for t in tables):
+            return False
+        self.result.versions |= done["tables"]
+        self.result.counts |= done["counts"]
+        self.result.resumed.append(name)
+        return True
+
+    def step(self, name: str, key: str | None, tables: list[str], work: Callable[[], None]) -> None:
+        """Do a step and record it."""
         work()
-        res.versions |= {t: self.path(t) for t in tables}
+        versions = {t: self.path(t) for t in tables}
         counts = {t: int(self.observations[t].get["rows"]) for t in tables}
-        res.counts |= counts
-        self.manifest.add(name, key, {t: res.versions[t] for t in tables}, counts, self.s.as_of)
+        self.result.versions.update(versions)
+        self.result.counts.update(counts)
+        self.manifest.add(name, key, versions, counts, self.s.as_of)
+
+    def steps(self, *steps: tuple[str, str | None, list[str], Callable[[], None]]) -> None:
+        """Steps that do not read each other's tables: those not taken from the open run are
+        done together.  If one fails the others are still finished and recorded, so the next
+        run repeats only the failed one."""
+        todo = [s for s in steps if not self.resume(*s[:3])]
+        sinks.together([partial(self.step, *s) for s in todo])
 
     def _there(self, name: str) -> bool:
         return any(self.spark.catalog.tableExists(f"{sinks.quoted(self.db)}.{sinks.quoted(t)}")
@@ -175,29 +189,33 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
     def customers() -> None:
         checked = materialize(ingest.check_customers(inputs.customers, inputs.sanctioned, s), "checked-customers")
         accepted = ingest.customer_stage(checked)
-        sinks.write_customer_stage(
-            accepted, db, run.path("customer_stage"),
-            s.co_partition or sinks.directory_buckets(accepted, sinks.CUSTOMER_DIRECTORIES, s),
-            run.staged("customer_stage"), run.observe("customer_stage"))
-        sinks.write_rejects(ingest.customer_rejects(checked), db, run.path("customer_rejects"),
-                            run.staged("customer_rejects"), run.observe("customer_rejects"))
-        audit(checked, "customer", ingest.customer_casts())
+        sinks.together([
+            lambda: sinks.write_customer_stage(
+                accepted, db, run.path("customer_stage"),
+                s.co_partition or sinks.directory_buckets(accepted, sinks.CUSTOMER_DIRECTORIES, s),
+                run.staged("customer_stage"), run.observe("customer_stage")),
+            lambda: sinks.write_rejects(ingest.customer_rejects(checked), db, run.path("customer_rejects"),
+                                        run.staged("customer_rejects"), run.observe("customer_rejects")),
+            lambda: audit(checked, "customer", ingest.customer_casts())])
 
     def accounts() -> None:
         checked = materialize(ingest.check_accounts(inputs.accounts), "checked-accounts")
-        sinks.write_account_stage(ingest.account_stage(checked), db, run.path("account_stage"),
-                                  run.staged("account_stage"), run.observe("account_stage"), s.co_partition)
-        sinks.write_rejects(ingest.account_rejects(checked), db, run.path("account_rejects"),
-                            run.staged("account_rejects"), run.observe("account_rejects"))
-        audit(checked, "account", ingest.account_casts())
+        sinks.together([
+            lambda: sinks.write_account_stage(ingest.account_stage(checked), db, run.path("account_stage"),
+                                              run.staged("account_stage"), run.observe("account_stage"),
+                                              s.co_partition),
+            lambda: sinks.write_rejects(ingest.account_rejects(checked), db, run.path("account_rejects"),
+                                        run.staged("account_rejects"), run.observe("account_rejects")),
+            lambda: audit(checked, "account", ingest.account_casts())])
 
     def transactions() -> None:
         checked = materialize(ingest.check_transactions(inputs.transactions, s.transaction_key), "checked-transactions")
-        sinks.write_transaction_stage(ingest.transaction_stage(checked), db, run.path("transaction_stage"),
-                                      run.staged("transaction_stage"), run.observe("transaction_stage"),
-                                      s.co_partition)
-        sinks.write_rejects(ingest.transaction_rejects(checked), db, run.path("transaction_rejects"),
-                            run.staged("transaction_rejects"), run.observe("transaction_rejects"))
+        sinks.together([
+            lambda: sinks.write_transaction_stage(ingest.transaction_stage(checked), db, run.path("transaction_stage"),
+                                                  run.staged("transaction_stage"), run.observe("transaction_stage"),
+                                                  s.co_partition),
+            lambda: sinks.write_rejects(ingest.transaction_rejects(checked), db, run.path("transaction_rejects"),
+                                        run.staged("transaction_rejects"), run.observe("transaction_rejects"))])
 
     def transformed() -> None:
         """From the files of the stage tables, or from their buckets."""
@@ -207,7 +225,11 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
                 joined = materialize(transform.enrich_by_buckets(*[spark.table(run.table(n)) for n in stages], s.co_partition), "joined")
         else:
             joined = materialize(transform.enrich(*map(run.read, stages)), "joined")
-        sinks.write_rejects(transform.orphans(joined), db, run.path("orphans"), run.staged("orphans"), run.observe("orphans"))
+        sinks.together([lambda: sinks.write_rejects(transform.orphans(joined), db, run.path("orphans"),
+                                                    run.staged("orphans"), run.observe("orphans")),
+                        lambda: intermediate(joined)])
+
+    def intermediate(joined: DataFrame) -> None:
         inter = transform.within_limit(transform.metrics(transform.valid_joined(joined), s)).select(
             *transform.intermediate_columns(s))
         inter = materialize(run.observe("intermediate")(inter), "intermediate")
@@ -216,10 +238,10 @@ def run_steps(spark: SparkSession, inputs: RawInputs, s: Settings = Settings(),
             run.suffix(), f"/version={run.manifest.run}")
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('as_of' = '{s.as_of}')")
 
-    run.step("customers", keys["customers"], ["customer_stage", "customer_rejects"], customers)
-    run.step("accounts", keys["accounts"], ["account_stage", "account_rejects"], accounts)
-    run.step("transactions", keys["transactions"], ["transaction_stage", "transaction_rejects"], transactions)
-    run.step("transform", keys["transform"], ["orphans", "intermediate"], transformed)
+    run.steps(("customers", keys["customers"], ["customer_stage", "customer_rejects"], customers),
+              ("accounts", keys["accounts"], ["account_stage", "account_rejects"], accounts),
+              ("transactions", keys["transactions"], ["transaction_stage", "transaction_rejects"], transactions))
+    run.steps(("transform", keys["transform"], ["orphans", "intermediate"], transformed))
 
     # The tables take their names, and the views are made over them.
     for name, table in NAMES.items():

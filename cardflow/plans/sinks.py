@@ -160,7 +160,7 @@ def write_intermediate(df: DataFrame, db: str, path: str, buckets: int, suffix:
 def together(builds: list) -> tuple:
     """Run independent builds (each ends in a write job) from driver threads, so their jobs
     share the cluster instead of queueing one after another."""
-    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, len(builds))) as pool:
         return tuple(f.result() for f in [pool.submit(b) for b in builds])
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from cardflow.operators import ordered
 from cardflow.operators.ordered import lag_by_range
 
 
@@ -42,3 +43,14 @@ def test_lag_by_range_under_a_later_sort(spark):
     got = lag_by_range(agg, ["c", "y"], [F.col("card").asc()], "tot", "prev") \
         .select("c", "y", "nm", "tot", "prev").orderBy("y", "c")
     assert _rows(got) == _rows(expected)
+
+
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    """Few rows are not cut into as many ranges as there are shuffle partitions, each of which writes to all of them."""
+    assert [ordered.range_count(n, 200) for n in (0, 1000, 495_360, 3_000_000, 50_000_000, 10 ** 9)] == [
+        1, 1, 10, 60, 200, 1000]
+    monkeypatch.setattr(ordered, "LEAST_ROWS_PER_RANGE", 1000)
+    df = spark.range(6000).select(F.when(F.col("id") % 3 != 0, F.lit(0)).otherwise(F.col("id") % 50).alias("g"),
+                                  ((F.col("id") * 7919) % 6000).alias("o"), (F.col("id") * 1.5).alias("v"))
+    expected = df.withColumn("prev", F.lag("v").over(Window.partitionBy("g").orderBy("o")))
+    assert _rows(lag_by_range(df, ["g"], [F.col("o").asc_nulls_first()], "v", "prev")) == _rows(expected)

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import re
+import threading
 import uuid
 from dataclasses import replace
 
@@ -221,3 +222,35 @@ def test_a_bad_file_stops_the_run_before_it_writes(spark, tmp_path):
     audit = {(r["source"], r["column"]): r for n in ("customer", "account") for r in spark.table(f"{db}.{n}_cast_losses").collect()}
     assert audit["customer", "CUSTOMER_ID"]["present"] == 92 and audit["account", "cust_id"]["lost"] == 0
     sinks.drop_database(spark, db)
+
+
+def test_the_first_three_steps_run_together(spark, monkeypatch):
+    """None waits for another's tables: each goes on when all three have begun."""
+    met = threading.Barrier(3, timeout=120)
+
+    def meeting(check):
+        return lambda *a: (met.wait(), check(*a))[1]
+
+    for step in ("check_customers", "check_accounts", "check_transactions"):
+        monkeypatch.setattr(runner.ingest, step, meeting(getattr(runner.ingest, step)))
+    db = f"cardflow_m_{uuid.uuid4().hex[:8]}"
+    res = runner.run_steps(spark, runner.inputs_from_tables(spark, SF0001), SETTINGS, database=db)
+    assert res.counts["intermediate"] == 86 and list(res.tables) == [n for n in runner.NAMES if n not in runner.BESIDE]
+    sinks.drop_database(spark, db)
+
+
+def test_a_failed_first_step_leaves_the_others_done(spark, tmp_path, monkeypatch):
+    """It stops the transform; the next run repeats it and takes the others' tables."""
+    root, db = str(tmp_path / "root"), f"cardflow_o_{uuid.uuid4().hex[:8]}"
+    inputs = lambda: runner.inputs_from_tables(spark, SF0001)
+    whole, joined = runner.ingest.check_customers, []
+    monkeypatch.setattr(runner.ingest, "check_customers", lambda *a: 1 / 0)
+    monkeypatch.setattr(transform, "enrich", lambda *a: joined.append(a))
+    with pytest.raises(ZeroDivisionError):
+        runner.run_steps(spark, inputs(), SETTINGS, root=root, database=db)
+    assert not joined and not [t for t in spark.catalog.listTables(db) if t.name in runner.NAMES.values()]
+    monkeypatch.undo()
+    assert runner.ingest.check_customers is whole
+    res = runner.run_steps(spark, inputs(), SETTINGS, root=root, database=db)
+    assert res.resumed == ["accounts", "transactions"] and res.counts["intermediate"] == 86
+    sinks.drop_database(spark, db)
